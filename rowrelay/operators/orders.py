@@ -1,0 +1,69 @@
+"""The derived columns of the sample order table, as one projection."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rules of the sample order table
+INVITER_MODULUS = 44444
+PRICE_DIVISOR = 1000
+CATEGORY_DIVISOR = 100
+GOODS_NAME_PREFIX = "goodsName"
+COUPON_MODULUS = 9
+FREIGHT_STEP = 10
+ADDRESS_OFFSET = 30000
+STATUS_PAID = 2
+STATUS_SENT = 4
+STATUS_FINISHED = 5
+
+
+def _later(moment: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds, moment)
+
+
+def order_projection(drawn: DataFrame) -> DataFrame:
+    """Order rows from drawn values.
+
+    Input: ``id, user_id, goods_id, amount, coupon_id, freight_steps, status,
+    created_time`` and the waiting times ``pay_wait, send_wait, finish_wait`` in
+    seconds. Times a status has not reached yet are null. The update time of a
+    finished order stays the time it was sent.
+    """
+    c = F.col
+    priced = drawn.select(
+        "*",
+        (c("goods_id").cast("double") / PRICE_DIVISOR).alias("price"),
+        (c("coupon_id") % COUPON_MODULUS).alias("coupon_amount"),
+        (c("freight_steps") * FREIGHT_STEP).alias("freight_charge"),
+        F.when(c("status") >= STATUS_PAID, _later(c("created_time"), c("pay_wait"))).alias("pay_time"),
+    )
+    sent = priced.select(
+        "*",
+        (c("price") * c("amount")).alias("total_price"),
+        F.when(c("status") >= STATUS_SENT, _later(c("pay_time"), c("send_wait"))).alias("send_out_time"),
+    )
+    finished = F.when(c("status") >= STATUS_FINISHED, _later(c("send_out_time"), c("finish_wait")))
+    updated = F.when(c("status") >= STATUS_SENT, c("send_out_time")).otherwise(c("pay_time"))
+    return sent.select(
+        "id",
+        "user_id",
+        (c("user_id") % INVITER_MODULUS).alias("inviter_id"),
+        "goods_id",
+        F.floor(c("goods_id") / CATEGORY_DIVISOR).cast("bigint").alias("goods_cate_id"),
+        F.concat(F.lit(GOODS_NAME_PREFIX), c("goods_id").cast("string")).alias("goods_name"),
+        "price",
+        "amount",
+        "total_price",
+        "coupon_id",
+        "coupon_amount",
+        "freight_charge",
+        (c("total_price") - c("coupon_amount") + c("freight_charge")).alias("pay_amount"),
+        (c("user_id") + ADDRESS_OFFSET).alias("address_id"),
+        "status",
+        "created_time",
+        "pay_time",
+        "send_out_time",
+        finished.alias("finished_time"),
+        updated.alias("updated_time"),
+    )
