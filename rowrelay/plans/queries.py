@@ -534,8 +534,7 @@ def _drain(spark: SparkSession, source: str, opts: Options, out: str) -> None:
 
 
 def _delivered(spark: SparkSession, out: str) -> DataFrame:
-    written = spark.read.schema("value string, topic string, partition int").text(out)
-    return parse(written, keep=["topic", "partition"]).select(
+    return parse(spark.read.text(out), keep=["topic", "partition"]).select(
         F.col("row_id").cast("bigint").alias("row_id"), "topic", "partition"
     )
 
