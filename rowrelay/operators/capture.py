@@ -47,11 +47,19 @@ def is_after(mark: Position, source: str = "source") -> Column:
     )
 
 
+def last_position(changes: DataFrame, source: str = "source") -> DataFrame:
+    """One row, ``sequence``, ``pos`` and ``row``: the end of a bounded log.
+
+    Without grouping columns the struct maximum needs no sort: each task keeps one.
+    """
+    columns = [c.alias(n) for c, n in zip(position_order(source), ("sequence", "pos", "row"))]
+    return changes.agg(F.max(F.struct(*columns)).alias("last")).select("last.*")
+
+
 def high_water_mark(changes: DataFrame, source: str = "source") -> Position | None:
-    """The last position of a bounded log: one partially aggregated row."""
-    last = F.max(F.struct(*[c.alias(n) for c, n in zip(position_order(source), "spr")]))
-    found = changes.agg(last.alias("last")).first()["last"]
-    return None if found is None else Position(*found)
+    """The end of a bounded log as a value for a later start; ``None`` for an empty log."""
+    sequence, pos, row = last_position(changes, source).first()
+    return None if sequence is None else Position(sequence, pos, row)
 
 
 def processing_time() -> Column:

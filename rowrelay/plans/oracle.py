@@ -129,8 +129,9 @@ FROM orders""",
 SELECT {FLAT} FROM changes WHERE file > 'binlog.000001' OR pos > 30000""",
         "timestamp_start": f"""WITH {CHANGES}
 SELECT {FLAT} FROM changes WHERE {EPOCH_MS} + pos * 1000 >= {EPOCH_MS + 30000 * 1000}""",
-        "log_high_water_mark": f"""WITH {CHANGES}
-SELECT CAST(right(file, 6) AS BIGINT) AS log, max(pos) AS pos, CAST(0 AS INTEGER) AS row FROM changes GROUP BY file""",
+        "log_end": f"""WITH {CHANGES}
+SELECT CAST(right(file, 6) AS BIGINT) AS sequence, pos, CAST(0 AS INTEGER) AS row
+FROM changes ORDER BY file DESC, pos DESC LIMIT 1""",
         "start_mode_initial": f"WITH {HANDOFF} SELECT {FLAT} FROM handoff",
         "start_mode_latest": f"WITH {HANDOFF} SELECT {FLAT} FROM later",
         "start_mode_timestamp": f"""WITH {CHANGES}

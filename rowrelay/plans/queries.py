@@ -126,16 +126,9 @@ def timestamp_start(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def log_high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
-    """The last position of each log file, the mark a later start would use."""
-    sequence, pos, row = capture.position_order()
-    last = F.max(F.struct(pos.alias("pos"), row.alias("row")))
-    return (
-        _typed_wire(spark, folder)
-        .groupBy(sequence.alias("log"))
-        .agg(last.alias("last"))
-        .select("log", "last.pos", "last.row")
-    )
+def log_end(spark: SparkSession, folder: str) -> DataFrame:
+    """The mark a later start would use."""
+    return capture.last_position(_typed_wire(spark, folder))
 
 
 def _state_at_mark(spark: SparkSession, folder: str) -> DataFrame:
@@ -487,7 +480,7 @@ def id_wrap(spark: SparkSession, folder: str) -> DataFrame:
 def partition_order(spark: SparkSession, folder: str) -> DataFrame:
     """The place of each record in its topic partition under ordered delivery."""
     routed = deliveries(wire_log(spark, folder), FOUR, position=True)
-    numbered = ordering.delivery_sequence(routed, chunk_bytes=4096)
+    numbered = ordering.delivery_sequence(routed, chunk_bytes=16384)
     return numbered.select("topic", "partition", "file", "pos", "sequence")
 
 

@@ -39,5 +39,18 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**jdbc_options(opts, table, key, lower, upper, partitions)).load()
 
 
+def bounds_options(opts: Options, table: str, key: str) -> dict[str, str]:
+    """Reader options for the smallest and largest key, found by the database."""
+    options = jdbc_options(opts, table, key, 0, 0, 1)
+    connection = {k: options[k] for k in ("url", "user", "password")}
+    return {**connection, "query": f"SELECT min({key}) AS lower, max({key}) AS upper FROM {table}"}
+
+
+def key_bounds(spark: SparkSession, opts: Options, table: str, key: str) -> tuple[int, int]:
+    """The range to hand to :func:`read_jdbc`; one row comes back."""
+    row = spark.read.format("jdbc").options(**bounds_options(opts, table, key)).load().first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
 def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")

@@ -1,0 +1,178 @@
+"""Parsing, routing and partitioning of single records."""
+
+import json
+
+import golden
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from rowrelay import Options, deliveries
+from rowrelay.functions.record import decode, encode, parse
+from rowrelay.functions.values import wrap_to_int
+from rowrelay.sinks.records import kafka_record, pulsar_record
+
+SOURCE = {"db": "test", "table": "t"}
+
+
+def routed(wire, record, **options):
+    frame = deliveries(wire(record if isinstance(record, str) else json.dumps(record)), Options(**options))
+    return frame.select("topic", "partition", "value").first()
+
+
+def test_sample_record(wire):
+    row = kafka_record(deliveries(wire(golden.text()), Options(partitions=4))).first()
+    assert row.topic == "mysqlbinlog_test_tb_order"
+    assert row.partition == 1
+    assert row.key == row.value == golden.text()
+    message = pulsar_record(deliveries(wire(golden.text())))
+    assert message.columns == ["topic", "value"]
+
+
+def test_sample_record_round_trip(wire):
+    again = encode(decode(wire(golden.text()), golden.IMAGE_DDL)).first().value
+    assert json.loads(again) == golden.RECORD
+    assert again == golden.text()
+
+
+@pytest.mark.parametrize(
+    "source, topic",
+    [
+        ({"db": "test", "table": ""}, "mysqlbinlog_ddl"),
+        ({"db": "test", "table": None}, "mysqlbinlog_ddl"),
+        ({"db": "test"}, "mysqlbinlog_ddl"),
+        ({"db": "", "table": "t"}, "mysqlbinlog_ddl"),
+        ({"db": None, "table": "t"}, "mysqlbinlog_ddl"),
+        ({"db": "test", "table": "t"}, "mysqlbinlog_test_t"),
+        ({"db": "test", "table": " "}, "mysqlbinlog_test_ "),
+        ({"db": "测试", "table": "订单"}, "mysqlbinlog_测试_订单"),
+    ],
+)
+def test_topics(wire, source, topic):
+    row = routed(wire, {"source": source}, partitions=4)
+    assert (row.topic, row.partition) == (topic, 0)
+
+
+@pytest.mark.parametrize(
+    "row_id, slot",
+    [
+        (5, 5),
+        ("12", 5),
+        (4294967297, 1),
+        (2147483647, 2147483647 % 7),
+        (2147483648, -2147483648 % 7),
+        (-1, 6),
+        (18446744073709551615, 6),
+        (99999999999999999999999999999999999999, ((99999999999999999999999999999999999999 + 2**31) % 2**32 - 2**31) % 7),
+        (12.9, 5),
+        (-1.5, 6),
+        (1.2e1, 5),
+    ],
+)
+def test_partition_of_id(wire, row_id, slot):
+    assert routed(wire, {"after": {"id": row_id}, "source": SOURCE}, partitions=7).partition == slot
+
+
+def test_delete_goes_to_slot_0_or_follows_its_row(wire):
+    delete = {"before": {"id": 6}, "after": None, "source": SOURCE, "op": "d"}
+    assert routed(wire, delete, partitions=4).partition == 0
+    assert routed(wire, delete, partitions=4, delete_partition="before_id").partition == 2
+
+
+def test_partition_counts_by_topic(wire):
+    insert = {"after": {"id": 10}, "source": SOURCE}
+    assert routed(wire, insert, partitions={"mysqlbinlog_test_t": 7}).partition == 3
+    assert routed(wire, insert, partitions={"other": 7}, default_partitions=4).partition == 2
+    assert routed(wire, insert, partitions={}, default_partitions=4).partition == 2
+    many = {f"topic{i}": 2 for i in range(100)}
+    assert routed(wire, insert, partitions={**many, "mysqlbinlog_test_t": 7}).partition == 3
+    assert routed(wire, insert, partitions=many, default_partitions=4).partition == 2
+
+
+def test_other_key_column(wire):
+    insert = {"after": {"order no": 10}, "source": SOURCE}
+    assert routed(wire, insert, partitions=4, key_column="order no").partition == 2
+
+
+def test_own_router_and_partitioner(wire):
+    insert = {"after": {"id": 10}, "source": SOURCE}
+    row = routed(
+        wire,
+        insert,
+        partitions=4,
+        router=lambda db, table: F.concat(table, F.lit("."), db),
+        partitioner=lambda row_id, count: F.lit(9),
+    )
+    assert (row.topic, row.partition) == ("t.test", 9)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "",
+        "   ",
+        "not json",
+        "[]",
+        "null",
+        '{"source":',
+        "{}",
+        '{"op":"c"}',
+        '{"source":null,"op":"c"}',
+        '{"source":{"db":"a","table":"b"},"after":{"x":1}}',
+        '{"source":{"db":"a","table":"b"},"after":{}}',
+        '{"source":{"db":"a","table":"b"},"after":{"id":null}}',
+        '{"source":{"db":"a","table":"b"},"after":{"id":""}}',
+        '{"source":{"db":"a","table":"b"},"after":{"id":"x"}}',
+        '{"source":{"db":"a","table":"b"},"after":[1]}',
+    ],
+)
+def test_bad_records_fail(wire, text):
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        routed(wire, text, partitions=4)
+
+
+def test_value_is_passed_on_untouched(wire):
+    text = '{ "op":"c", "after" : {"price":0.0,"id":3}, "extra":[1, 2],"source":{"table":"t","db":"test"}}'
+    assert routed(wire, text).value == text
+
+
+def test_nulls_are_written(spark):
+    frame = spark.range(1).selectExpr(
+        "cast(null as struct<id: int>) as before",
+        "named_struct('id', 1, 'name', cast(null as string)) as after",
+        "named_struct('db', 'a', 'gtid', cast(null as string)) as source",
+        "'c' as op",
+        "1L as ts_ms",
+        "cast(null as string) as transaction",
+    )
+    assert encode(frame).first().value == (
+        '{"before":null,"after":{"id":1,"name":null},"source":{"db":"a","gtid":null},'
+        '"op":"c","ts_ms":1,"transaction":null}'
+    )
+
+
+def test_records_are_parsed_once(wire):
+    """A filter on parsed fields must not bring a second parse with it."""
+    frame = deliveries(wire(golden.text()), Options(databases="test", tables="test.tb_.*", partitions=4))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_routing_has_no_shuffle(wire):
+    frame = deliveries(wire(golden.text()), Options(databases="test", partitions={"a": 3}))
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wrap_matches_integer_arithmetic(spark):
+    ids = [s * (2**k + d) for k in (0, 5, 31, 32, 33, 59, 60, 63, 64, 100) for d in (-1, 0, 1) for s in (1, -1)]
+    rows = spark.createDataFrame([(str(i),) for i in ids], "text string")
+    wrapped = rows.select("text", wrap_to_int(F.col("text").cast("decimal(38,0)")).alias("w")).collect()
+    for row in wrapped:
+        assert row.w == (int(row.text) + 2**31) % 2**32 - 2**31, row.text
+
+
+def test_position_and_before_fields(wire):
+    row = parse(wire(golden.text()), position=True, before=True).first()
+    assert (row.file, row.pos, row.row, row.source_ts_ms) == ("host-bin.000005", 909, 0, 1694186699000)
+    assert int(row.before_id) == 1 and row.op == "u"
