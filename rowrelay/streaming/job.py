@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
@@ -14,6 +16,9 @@ from rowrelay.streaming.folders import shared_folder
 
 OBSERVATION = "deliveries"
 
+# Counters of the ordered jobs started here, by query id.
+_batch_counters: dict[str, dict[str, int]] = {}
+
 
 def checkpoint_location(wire: DataFrame, opts: Options) -> str:
     """One folder per job id. Spark keeps it when a query stops, so a job can resume."""
@@ -39,33 +44,47 @@ def start_stream(
     Records reach the target at least once; the unordered file target is exactly
     once.
     """
-    routed = deliveries(wire, opts).observe(OBSERVATION, *progress_columns())
+    routed = deliveries(wire, opts)
+    counters: dict[str, int] = {}
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     if opts.order == "partition":
         arrange = exclusive_order if target.single_writer else range_order
 
         def deliver(batch: DataFrame, batch_id: int) -> None:
-            target.write(arrange(batch, parallelism))
+            # Counted behind the exchange: a range exchange reads its input twice.
+            seen = Observation()
+            target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))
+            _add(counters, seen.get)
 
         writer = routed.writeStream.foreachBatch(deliver)
     else:
+        routed = routed.observe(OBSERVATION, *progress_columns())
         if parallelism:
             routed = routed.repartition(parallelism)
         writer = target.stream_writer(routed)
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}
-    return (
+    query = (
         writer.queryName(opts.job_id)
         .option("checkpointLocation", checkpoint_location(wire, opts))
         .trigger(**pace)
         .start()
     )
+    _batch_counters[str(query.id)] = counters
+    return query
+
+
+def _add(counters: dict[str, int], more: Mapping[str, int]) -> None:
+    for name, value in more.items():
+        counters[name] = counters.get(name, 0) + value
 
 
 def totals(query: StreamingQuery) -> dict[str, int]:
-    """The progress counters summed over the micro-batches Spark still remembers."""
-    result: dict[str, int] = {}
+    """The progress counters of a job: records, each operation, schema changes, fallback.
+
+    An unordered job's are summed over the micro-batches Spark still remembers.
+    """
+    result = dict(_batch_counters.get(str(query.id), {}))
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(OBSERVATION)
-        for name, value in (row.asDict() if row else {}).items():
-            result[name] = result.get(name, 0) + value
+        _add(result, row.asDict() if row else {})
     return result

@@ -1,0 +1,222 @@
+"""Streaming delivery: same answer as batch, resume, restart, order, progress."""
+
+import glob
+import json
+import os
+from pathlib import Path
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from rowrelay import Options, deliveries, run_batch, start_stream, totals
+from rowrelay.plans.tablelog import event_log, wire_log
+from rowrelay.sinks.messages import MessageSource
+from rowrelay.sinks.targets import Target, files, kafka, messages, pulsar
+from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text
+from rowrelay.sources.tables import bounds_options, jdbc_options
+from rowrelay.streaming.folders import new_folder, shared_folder
+
+
+@pytest.fixture
+def opts(tmp_path):
+    return Options(job_id="job1", partitions=4, checkpoint_dir=str(tmp_path / "checkpoints"))
+
+
+@pytest.fixture
+def source(spark, small, tmp_path):
+    folder = str(tmp_path / "source")
+    event_log(spark, small).repartition(4).write.text(folder)
+    return folder
+
+
+def drain(spark, source, opts, target, **limits):
+    query = start_stream(stream_text(spark, source, **limits), opts, target, available_now=True)
+    query.awaitTermination()
+    return query
+
+
+def written(spark, out):
+    return sorted(tuple(r) for r in spark.read.text(out).select("topic", "value").collect())
+
+
+def expected(spark, source, opts):
+    return sorted(tuple(r) for r in deliveries(read_text(spark, source), opts).select("topic", "value").collect())
+
+
+def test_stream_equals_batch(spark, source, opts, tmp_path):
+    out, batch = str(tmp_path / "out"), str(tmp_path / "batch")
+    query = drain(spark, source, opts, files(out), max_files=1)
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+    run_batch(read_text(spark, source), opts, files(batch))
+    assert written(spark, out) == written(spark, batch) == expected(spark, source, opts)
+    assert sorted(os.path.basename(d) for d in glob.glob(f"{out}/topic=*")) == sorted(
+        f"topic=mysqlbinlog_app_ev_{t}" for t in ("click", "error", "purchase", "signup", "view")
+    )
+
+
+def test_resume(spark, source, opts, small, tmp_path):
+    out = str(tmp_path / "out")
+    counts = []
+    for _ in range(2):
+        drain(spark, source, opts, files(out))
+        counts.append(spark.read.text(out).count())
+    wire_log(spark, small).write.mode("append").text(source)
+    drain(spark, source, opts, files(out))
+    counts.append(spark.read.text(out).count())
+    log = wire_log(spark, small).count()
+    assert counts == [1000, 1000, 1000 + log]
+    assert written(spark, out) == expected(spark, source, opts)
+    assert os.path.isdir(f"{opts.checkpoint_dir}/{opts.job_id}/offsets")
+
+
+class FailsOnce(Target):
+    """Fails in the middle of a micro-batch, after part of it was written."""
+
+    failed = False
+
+    def write(self, routed):
+        if not FailsOnce.failed:
+            FailsOnce.failed = True
+            super().write(routed.where("partition = 0"))
+            raise RuntimeError("lost")
+        super().write(routed)
+
+
+def test_restart_after_a_failure_loses_nothing(spark, source, opts, tmp_path):
+    out = str(tmp_path / "out")
+    plain = files(out)
+    FailsOnce.failed = False
+    target = FailsOnce(plain.format, plain.record, plain.options, plain.partition_by, plain.single_writer)
+    ordered = opts.with_(order="partition")
+    with pytest.raises(StreamingQueryException):
+        drain(spark, source, ordered, target)
+    drain(spark, source, ordered, target)
+    found, wanted = written(spark, out), expected(spark, source, opts)
+    assert set(found) == set(wanted)
+    assert len(found) > len(wanted)
+
+
+def test_ordered_stream(spark, small, opts, tmp_path):
+    source, out = str(tmp_path / "log"), str(tmp_path / "out")
+    wire_log(spark, small).repartition(3).write.text(source)
+    drain(spark, source, opts.with_(order="partition"), files(out, by_partition=True))
+    for folder in glob.glob(f"{out}/*/*/"):
+        positions = []
+        for name in sorted(glob.glob(f"{folder}part-*")):
+            for line in open(name, encoding="utf-8"):
+                where = json.loads(line)["source"]
+                positions.append((where["file"], where["pos"]))
+        assert positions == sorted(positions)
+    assert spark.read.text(out).count() == wire_log(spark, small).count()
+
+
+def test_one_writer_per_partition_on_a_live_target(spark, source, opts, tmp_path):
+    out = str(tmp_path / "out")
+    plain = files(out, by_partition=True)
+    live = Target(plain.format, plain.record, plain.options, plain.partition_by, single_writer=True)
+    drain(spark, source, opts.with_(order="partition", sink_parallelism=3), live)
+    for folder in glob.glob(f"{out}/*/*/"):
+        assert len(glob.glob(f"{folder}part-*")) == 1
+    assert written(spark, out) == expected(spark, source, opts)
+
+
+def test_progress(spark, small, opts, tmp_path):
+    source = str(tmp_path / "log")
+    wire_log(spark, small).write.text(source)
+    wanted = {"records": 2475, "op_r": 0, "op_c": 1650, "op_u": 500, "op_d": 300, "schema_changes": 25, "fallback": 25}
+    for order in ("none", "partition"):
+        job = opts.with_(order=order, job_id=f"job-{order}")
+        assert totals(drain(spark, source, job, files(str(tmp_path / order)))) == wanted
+
+
+def test_named_job_on_a_timer(spark, source, opts, tmp_path):
+    query = start_stream(stream_text(spark, source), opts, files(str(tmp_path / "out")), trigger="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.name == "job1" and query.isActive
+    finally:
+        query.stop()
+    assert spark.read.text(str(tmp_path / "out")).count() == 1000
+
+
+def test_stream_keeps_no_state(spark, source, opts, tmp_path):
+    query = drain(spark, source, opts.with_(databases="app"), files(str(tmp_path / "out")))
+    assert all(not p.stateOperators for p in query.recentProgress)
+    assert all("watermark" not in (p.eventTime or {}) for p in query.recentProgress)
+
+
+def test_bad_record_stops_the_stream(spark, source, opts, tmp_path):
+    with open(f"{source}/bad.txt", "w", encoding="utf-8") as out:
+        out.write("not json\n")
+    with pytest.raises(StreamingQueryException):
+        drain(spark, source, opts, files(str(tmp_path / "out")))
+
+
+@pytest.fixture
+def message_source(spark):
+    spark.sparkContext.addPyFile(str(Path(__file__).with_name("message_client.py")))
+    spark.dataSource.register(MessageSource)
+
+
+@pytest.mark.parametrize("stream", [True, False])
+def test_message_target(spark, source, opts, tmp_path, message_source, stream):
+    out = str(tmp_path / "out")
+    target = messages("message_client:connect", {"folder": out})
+    if stream:
+        drain(spark, source, opts, target)
+    else:
+        run_batch(read_text(spark, source), opts, target)
+    found = sorted(
+        (name.split("/")[-2], line.rstrip("\n")) for name in glob.glob(f"{out}/*/*") for line in open(name, encoding="utf-8")
+    )
+    assert found == expected(spark, source, opts)
+
+
+def test_ordered_message_target(spark, source, opts, tmp_path, message_source):
+    out = str(tmp_path / "out")
+    target = messages("message_client:connect", {"folder": out})
+    drain(spark, source, opts.with_(order="partition"), target)
+    for name in glob.glob(f"{out}/*/*"):
+        rows = [json.loads(line) for line in open(name, encoding="utf-8")]
+        for slot in range(4):
+            positions = [r["source"]["pos"] for r in rows if r["after"]["id"] % 4 == slot]
+            assert positions == sorted(positions)
+
+
+def test_connector_options(opts):
+    job = opts.with_(brokers="b:1", service_url="pulsar://p:1", admin_url="http://p:2", password="x", host="h")
+    assert kafka(job).options == {
+        "kafka.bootstrap.servers": "b:1",
+        "kafka.acks": "all",
+        "kafka.transaction.timeout.ms": "600000",
+    }
+    assert pulsar(job).options == {"service.url": "pulsar://p:1", "admin.url": "http://p:2"}
+    start = {m: kafka_source_options(job.with_(start_mode=m, start_timestamp=7), "t") for m in (0, 2, 4)}
+    assert start[0]["startingOffsets"] == "earliest"
+    assert start[2]["startingOffsets"] == "latest"
+    assert start[4]["startingTimestamp"] == "7" and "startingOffsets" not in start[4]
+    assert kafka_source_options(job, "t", 100)["maxOffsetsPerTrigger"] == "100"
+    jdbc = jdbc_options(job, "test.tb_order", "id", 1, 900, 8)
+    assert jdbc["url"].startswith("jdbc:mysql://h:3306/")
+    assert (jdbc["partitionColumn"], jdbc["lowerBound"], jdbc["upperBound"], jdbc["numPartitions"]) == ("id", "1", "900", "8")
+    assert bounds_options(job, "test.tb_order", "id")["query"] == "SELECT min(id) AS lower, max(id) AS upper FROM test.tb_order"
+    with pytest.raises(ValueError):
+        jdbc_options(opts, "t", "id", 0, 1, 1)
+
+
+def test_kafka_record_columns(spark, source, opts):
+    record = kafka(opts).record(deliveries(read_text(spark, source), opts))
+    assert {f.name: f.dataType.simpleString() for f in record.schema} == {
+        "topic": "string",
+        "key": "string",
+        "value": "string",
+        "partition": "int",
+    }
+    assert pulsar(opts).record(deliveries(read_text(spark, source), opts)).columns == ["__topic", "value"]
+
+
+def test_shared_folder_follows_the_session(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    if before:
+        assert shared_folder(spark) == before.rstrip("/")
+    assert new_folder(spark, "a") != new_folder(spark, "a")
