@@ -28,7 +28,8 @@ class Options:
     ``partitions`` is the partition count of the target topics: one number, or a
     map from topic to number (topics outside the map use ``default_partitions``).
     ``sink_parallelism`` of ``None`` or 1 keeps the natural parallelism of the
-    input. ``zone`` is the target zone of timestamps; ``None`` means the session
+    input. The ``max_batch_*`` limits bound one micro-batch of a stream: records of
+    a Kafka source, files or bytes of a folder. ``zone`` is the target zone of timestamps; ``None`` means the session
     zone. ``router`` and ``partitioner`` replace the topic and partition rules;
     each maps columns to a column, so a replacement stays inside the query plan.
     """
@@ -54,6 +55,9 @@ class Options:
     partitions: int | Mapping[str, int] = fixed.KAFKA_PARTITIONS
     default_partitions: int = fixed.KAFKA_PARTITIONS
     sink_parallelism: int | None = None
+    max_batch_records: int | None = None
+    max_batch_files: int | None = None
+    max_batch_bytes: int | None = None
 
     key_column: str = "id"
     delete_partition: str = "slot0"
@@ -73,6 +77,10 @@ class Options:
         if self.delete_partition not in DELETE_PARTITIONS:
             raise ValueError(f"delete_partition must be one of {DELETE_PARTITIONS}")
 
+    @property
+    def bounded_batches(self) -> bool:
+        return any((self.max_batch_records, self.max_batch_files, self.max_batch_bytes))
+
     def with_(self, **changes) -> Options:
         return replace(self, **changes)
 

@@ -522,8 +522,7 @@ def _stage(wire: DataFrame, name: str) -> str:
 
 def _drain(spark: SparkSession, source: str, opts: Options, out: str) -> None:
     target = files(out, by_partition=True)
-    query = start_stream(stream_text(spark, source), opts, target, available_now=True)
-    query.awaitTermination()
+    start_stream(stream_text(spark, source, opts), opts, target, available_now=True).awaitTermination()
 
 
 def _delivered(spark: SparkSession, out: str) -> DataFrame:

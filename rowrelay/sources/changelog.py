@@ -15,15 +15,13 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_text(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
-) -> DataFrame:
-    """A folder of text files as a stream; the limits bound one micro-batch."""
+def stream_text(spark: SparkSession, path: str, opts: Options = Options()) -> DataFrame:
+    """A folder of text files as a stream."""
     reader = spark.readStream.format("text")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if opts.max_batch_files:
+        reader = reader.option("maxFilesPerTrigger", opts.max_batch_files)
+    if opts.max_batch_bytes:
+        reader = reader.option("maxBytesPerTrigger", opts.max_batch_bytes)
     return reader.load(path)
 
 
@@ -38,22 +36,19 @@ def kafka_start_options(opts: Options) -> dict[str, str]:
     return {"startingOffsets": "latest"}
 
 
-def kafka_source_options(opts: Options, topics: str, max_records: int | None = None) -> dict[str, str]:
+def kafka_source_options(opts: Options, topics: str) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": opts.brokers,
         "subscribe": topics,
         "failOnDataLoss": "true",
         **kafka_start_options(opts),
     }
-    if max_records is not None:
-        options["maxOffsetsPerTrigger"] = str(max_records)
+    if opts.max_batch_records:
+        options["maxOffsetsPerTrigger"] = str(opts.max_batch_records)
     return options
 
 
-def stream_kafka(
-    spark: SparkSession, opts: Options, topics: str, max_records: int | None = None
-) -> DataFrame:
+def stream_kafka(spark: SparkSession, opts: Options, topics: str) -> DataFrame:
     """Topics that carry change records. Needs Spark's Kafka package."""
-    options = kafka_source_options(opts, topics, max_records)
-    stream = spark.readStream.format("kafka").options(**options).load()
+    stream = spark.readStream.format("kafka").options(**kafka_source_options(opts, topics)).load()
     return stream.select(F.col("value").cast("string").alias("value"))

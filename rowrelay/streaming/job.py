@@ -39,7 +39,9 @@ def start_stream(
     The query keeps no state and no watermark; its checkpoint holds source offsets
     only. Without an order each micro-batch is one stage from source to target.
     With an order every micro-batch is sorted by log position first; micro-batches
-    run one after another, so the order holds across them.
+    run one after another, so the order holds across them. On a live target an
+    ordered micro-batch puts a topic partition into one task, so it needs a limit
+    on the micro-batch.
 
     Records reach the target at least once; the unordered file target is exactly
     once.
@@ -48,6 +50,8 @@ def start_stream(
     counters: dict[str, int] = {}
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     if opts.order == "partition":
+        if target.single_writer and not opts.bounded_batches:
+            raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
         arrange = exclusive_order if target.single_writer else range_order
 
         def deliver(batch: DataFrame, batch_id: int) -> None:
@@ -58,10 +62,9 @@ def start_stream(
 
         writer = routed.writeStream.foreachBatch(deliver)
     else:
-        routed = routed.observe(OBSERVATION, *progress_columns())
         if parallelism:
             routed = routed.repartition(parallelism)
-        writer = target.stream_writer(routed)
+        writer = target.stream_writer(routed.observe(OBSERVATION, *progress_columns()))
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}
     query = (
         writer.queryName(opts.job_id)

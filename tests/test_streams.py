@@ -29,8 +29,8 @@ def source(spark, small, tmp_path):
     return folder
 
 
-def drain(spark, source, opts, target, **limits):
-    query = start_stream(stream_text(spark, source, **limits), opts, target, available_now=True)
+def drain(spark, source, opts, target):
+    query = start_stream(stream_text(spark, source, opts), opts, target, available_now=True)
     query.awaitTermination()
     return query
 
@@ -45,7 +45,7 @@ def expected(spark, source, opts):
 
 def test_stream_equals_batch(spark, source, opts, tmp_path):
     out, batch = str(tmp_path / "out"), str(tmp_path / "batch")
-    query = drain(spark, source, opts, files(out), max_files=1)
+    query = drain(spark, source, opts.with_(max_batch_files=1), files(out))
     assert len([p for p in query.recentProgress if p.numInputRows]) == 4
     run_batch(read_text(spark, source), opts, files(batch))
     assert written(spark, out) == written(spark, batch) == expected(spark, source, opts)
@@ -114,7 +114,7 @@ def test_one_writer_per_partition_on_a_live_target(spark, source, opts, tmp_path
     out = str(tmp_path / "out")
     plain = files(out, by_partition=True)
     live = Target(plain.format, plain.record, plain.options, plain.partition_by, single_writer=True)
-    drain(spark, source, opts.with_(order="partition", sink_parallelism=3), live)
+    drain(spark, source, opts.with_(order="partition", sink_parallelism=3, max_batch_bytes=10**9), live)
     for folder in glob.glob(f"{out}/*/*/"):
         assert len(glob.glob(f"{folder}part-*")) == 1
     assert written(spark, out) == expected(spark, source, opts)
@@ -175,7 +175,10 @@ def test_message_target(spark, source, opts, tmp_path, message_source, stream):
 def test_ordered_message_target(spark, source, opts, tmp_path, message_source):
     out = str(tmp_path / "out")
     target = messages("message_client:connect", {"folder": out})
-    drain(spark, source, opts.with_(order="partition"), target)
+    ordered = opts.with_(order="partition")
+    with pytest.raises(ValueError, match="limit"):
+        drain(spark, source, ordered, target)
+    drain(spark, source, ordered.with_(max_batch_files=2), target)
     for name in glob.glob(f"{out}/*/*"):
         rows = [json.loads(line) for line in open(name, encoding="utf-8")]
         for slot in range(4):
@@ -195,7 +198,7 @@ def test_connector_options(opts):
     assert start[0]["startingOffsets"] == "earliest"
     assert start[2]["startingOffsets"] == "latest"
     assert start[4]["startingTimestamp"] == "7" and "startingOffsets" not in start[4]
-    assert kafka_source_options(job, "t", 100)["maxOffsetsPerTrigger"] == "100"
+    assert kafka_source_options(job.with_(max_batch_records=100), "t")["maxOffsetsPerTrigger"] == "100"
     jdbc = jdbc_options(job, "test.tb_order", "id", 1, 900, 8)
     assert jdbc["url"].startswith("jdbc:mysql://h:3306/")
     assert (jdbc["partitionColumn"], jdbc["lowerBound"], jdbc["upperBound"], jdbc["numPartitions"]) == ("id", "1", "900", "8")
