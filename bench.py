@@ -1,9 +1,10 @@
 """Time the main jobs and print one JSON line.
 
-``BENCH_SF_DIR`` names the folder of tables, ``BENCH_CPUS`` the cores. The change
-log is written once as text before timing; every other run is read from there to
-the ``noop`` sink or, for the fan-out jobs, to files. Each time is the median of
-``BENCH_RUNS`` runs after one warm-up.
+``BENCH_SF_DIR`` names the folder of tables, ``BENCH_CPUS`` the cores. Before timing,
+the change log is written as text and the tables are written in as many files as
+tasks need; a table of one file with one row group would be read by one task.
+Runs go from there to the ``noop`` sink or, for the fan-out jobs, to files. Each
+time is the median of ``BENCH_RUNS`` runs after one warm-up.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from rowrelay.functions.record import decode, encode
 from rowrelay.operators import capture
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.ordering import delivery_sequence
+from rowrelay.operators.orders import ORDER_TYPES, order_rows
 from rowrelay.operators.replay import apply_changes, replay
 from rowrelay.operators.routing import fanout_counts
-from rowrelay.plans.tablelog import IMAGE, order_versions, wire_log
+from rowrelay.plans.tablelog import IMAGE, drawn_orders, order_versions, wire_log
 from rowrelay.sinks.targets import files
 from rowrelay.sources.changelog import read_text, stream_text
 from rowrelay.sources.tables import read_parquet
@@ -52,10 +54,10 @@ def session() -> SparkSession:
     return spark
 
 
-def typed_rows(spark: SparkSession) -> DataFrame:
+def typed_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with a column for every conversion rule."""
     shipped = F.col("l_shipdate")
-    return read_parquet(spark, FOLDER, "lineitem").select(
+    return read_parquet(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("price"),
         F.col("l_partkey").cast("decimal(20,0)").alias("part"),
@@ -67,9 +69,9 @@ def typed_rows(spark: SparkSession) -> DataFrame:
     )
 
 
-def encoded(spark: SparkSession) -> DataFrame:
+def encoded(spark: SparkSession, folder: str) -> DataFrame:
     declared = {"part": "bigint unsigned", "instant": "timestamp"}
-    rows = convert_row(typed_rows(spark), declared, zone="Asia/Shanghai")
+    rows = convert_row(typed_rows(spark, folder), declared, zone="Asia/Shanghai")
     return encode(capture.snapshot(rows, "test", "tb_item", mark=MARK))
 
 
@@ -78,7 +80,12 @@ def main() -> None:
     log = new_folder(spark, "bench-log")
     wire_log(spark, FOLDER).repartition(CPUS * 2).write.text(log)
     wire = read_text(spark, log)
-    old, new = order_versions(spark, FOLDER)
+    staged = new_folder(spark, "bench-tables")
+    for table in ("lineitem", "orders"):
+        rows = read_parquet(spark, FOLDER, table).repartition(CPUS * 2)
+        rows.write.parquet(f"{staged}/{table}.parquet")
+    old, new = order_versions(spark, staged)
+    orders = order_rows(drawn_orders(spark, staged))
     counts = {
         "records": wire.count(),
         "rows": read_parquet(spark, FOLDER, "lineitem").count(),
@@ -96,9 +103,16 @@ def main() -> None:
         target = files(new_folder(spark, "bench-out"))
         start_stream(stream_text(spark, log, opts), opts, target, available_now=True).awaitTermination()
 
+    def full_snapshot() -> DataFrame:
+        rows = convert_row(orders, ORDER_TYPES, zone="Asia/Shanghai")
+        return capture.snapshot(rows, "test", "tb_order", mark=MARK)
+
     def difference() -> DataFrame:
         return capture.diff(old, new, ["id"], "test", "tb_order", mark=MARK)
 
+    def numbered() -> DataFrame:
+        return delivery_sequence(deliveries(wire, OPTS, position=True), chunk_bytes=16384)
+
     jobs = {
         "route": ("records", lambda: noop(deliveries(wire, OPTS))),
         "route_filtered": (
@@ -106,11 +120,12 @@ def main() -> None:
             lambda: noop(deliveries(wire, OPTS.with_(databases="test", tables=r"test\.tb_.*"))),
         ),
         "fanout_counts": ("records", lambda: noop(fanout_counts(deliveries(wire, OPTS)))),
-        "encode": ("rows", lambda: noop(encoded(spark))),
+        "encode": ("rows", lambda: noop(encoded(spark, staged))),
+        "encode_orders": ("orders", lambda: noop(encode(full_snapshot()))),
         "table_diff": ("orders", lambda: noop(difference())),
         "diff_applied": ("orders", lambda: noop(apply_changes(old, difference(), ["id"]))),
         "replay": ("records", lambda: noop(replay(decode(wire, IMAGE)))),
-        "delivery_sequence": ("records", lambda: noop(delivery_sequence(deliveries(wire, OPTS, position=True)))),
+        "delivery_sequence": ("records", lambda: noop(numbered())),
         "fanout_files": ("records", lambda: fan_out("none")),
         "fanout_files_ordered": ("records", lambda: fan_out("partition")),
         "stream_files": ("records", stream),

@@ -1,6 +1,6 @@
 """Change-record pipelines on Spark DataFrames and Structured Streaming."""
 
-from rowrelay.operators.capture import Position
+from rowrelay.functions.position import Position
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, run_batch
 from rowrelay.streaming.job import start_stream, totals

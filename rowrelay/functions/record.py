@@ -119,8 +119,3 @@ def parse(
             F.when(F.col("before").isNotNull(), _id_number(before_id, key_column)).alias("before_id")
         ]
     return parsed.select(*columns)
-
-
-def log_sequence(file: Column) -> Column:
-    """The number at the end of a log file name; names do not order as text."""
-    return F.substring_index(file, ".", -1).cast("bigint")

@@ -64,14 +64,16 @@ def datetime_to_string(c: Column, data_type: T.DataType) -> Column:
 def timestamp_to_string(c: Column, data_type: T.DataType, zone: str | None = None) -> Column:
     """An instant as the local date and time in ``zone`` (default: the session zone).
 
-    TIMESTAMP_NTZ input is read as UTC. TIMESTAMP input goes through its
-    microsecond count, so an instant inside a clock change keeps its own text.
+    TIMESTAMP_NTZ input is read as UTC. The value travels as its microsecond count,
+    so no step but the shift to ``zone`` looks at a zone, and instants around a
+    clock change keep texts of their own.
     """
-    if isinstance(data_type, T.TimestampType):
-        utc = F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(NTZ_EPOCH))
-    elif isinstance(data_type, T.TimestampNTZType):
-        utc = c
+    epoch = F.expr(NTZ_EPOCH)
+    if isinstance(data_type, T.TimestampNTZType):
+        instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c))
+    elif isinstance(data_type, T.TimestampType):
+        instant = c
     else:
         return c.cast("string")
-    target = F.lit(zone) if zone else F.current_timezone()
-    return F.convert_timezone(F.lit("UTC"), target, utc).cast("string")
+    local = F.from_utc_timestamp(instant, F.lit(zone) if zone else F.current_timezone())
+    return F.timestamp_add("MICROSECOND", F.unix_micros(local), epoch).cast("string")

@@ -8,43 +8,13 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowrelay import fixed
-from rowrelay.functions.record import ENVELOPE, log_sequence, source_struct
-
-
-@dataclass(frozen=True, order=True)
-class Position:
-    """A place in the change log: log file number, offset in the file, row of the event."""
-
-    sequence: int
-    pos: int
-    row: int = 0
-
-    @property
-    def file(self) -> str:
-        return f"binlog.{self.sequence:06d}"
-
-
-def position_order(source: str = "source") -> list[Column]:
-    """Sort columns that put records in log order."""
-    field = f"{source}." if source else ""
-    return [
-        log_sequence(F.col(f"{field}file")),
-        F.col(f"{field}pos"),
-        F.col(f"{field}row"),
-    ]
-
-
-def is_after(mark: Position, source: str = "source") -> Column:
-    sequence, pos, row = position_order(source)
-    return (sequence > mark.sequence) | (
-        (sequence == mark.sequence) & ((pos > mark.pos) | ((pos == mark.pos) & (row > mark.row)))
-    )
+from rowrelay.functions.position import Position, is_after, position_order
+from rowrelay.functions.record import ENVELOPE, source_struct
 
 
 def last_position(changes: DataFrame, source: str = "source") -> DataFrame:

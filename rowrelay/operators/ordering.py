@@ -11,10 +11,10 @@ follow the order of the tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowrelay.operators.capture import position_order
+from rowrelay.functions.position import position_order
 
 GROUP = ("topic", "partition")
 
@@ -45,8 +45,6 @@ def delivery_sequence(routed: DataFrame, chunk_bytes: int = 64 * 1024 * 1024) ->
     such a stretch; the count of everything before it comes from a small table of
     per-stretch counts. No task ever holds a whole topic partition.
     """
-    from pyspark.sql import Window
-
     chunk = [*GROUP, "_log", "_chunk"]
     sequence, pos, row = position_order("")
     placed = routed.withColumn("_log", sequence).withColumn(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowrelay.operators.capture import position_order
+from rowrelay.functions.position import position_order
 
 
 def _key(name: str) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column
 
 from rowrelay import fixed
+from rowrelay.functions.position import Position
 
 ORDERS = ("none", "partition")
 DELETE_PARTITIONS = ("slot0", "before_id")
@@ -29,7 +30,8 @@ class Options:
     map from topic to number (topics outside the map use ``default_partitions``).
     ``sink_parallelism`` of ``None`` or 1 keeps the natural parallelism of the
     input. The ``max_batch_*`` limits bound one micro-batch of a stream: records of
-    a Kafka source, files or bytes of a folder. ``zone`` is the target zone of timestamps; ``None`` means the session
+    a Kafka source, files or bytes of a folder. ``start_after`` drops records up to
+    a log position, the mark of a snapshot delivered before. ``zone`` is the target zone of timestamps; ``None`` means the session
     zone. ``router`` and ``partitioner`` replace the topic and partition rules;
     each maps columns to a column, so a replacement stays inside the query plan.
     """
@@ -44,6 +46,7 @@ class Options:
     timezone: str = fixed.TIMEZONE
     start_mode: int = fixed.START_INITIAL
     start_timestamp: int = 0
+    start_after: Position | None = None
     databases: str = ""
     tables: str = ""
     include_schema_changes: bool = True

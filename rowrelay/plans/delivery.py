@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowrelay import fixed
+from rowrelay.functions.position import is_after
 from rowrelay.functions.record import parse
 from rowrelay.operators.filters import include
 from rowrelay.operators.ordering import range_order
@@ -27,11 +28,13 @@ def deliveries(wire: DataFrame, opts: Options = Options(), position: bool = Fals
     records = parse(
         wire,
         key_column=opts.key_column,
-        position=position or timed or opts.order == "partition",
+        position=position or timed or opts.start_after is not None or opts.order == "partition",
         before=opts.delete_partition == "before_id",
     )
     if timed:
         records = records.where(F.col("source_ts_ms") >= opts.start_timestamp)
+    if opts.start_after is not None:
+        records = records.where(is_after(opts.start_after, ""))
     records = include(records, opts.databases, opts.tables, opts.include_schema_changes)
     return route(records, opts)
 

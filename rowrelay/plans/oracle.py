@@ -84,6 +84,29 @@ new_rows AS (
 )"""
 
 
+# Order rows from functions of the key, step by step.
+ORDER_STEPS = """
+drawn AS (
+  SELECT o_orderkey AS id, 10000 + o_custkey AS user_id, 10000 + o_orderkey % 90000 AS goods_id,
+    1 + o_orderkey % 10 AS amount, 10000 + (o_orderkey * 7) % 90000 AS coupon_id, 1 + o_orderkey % 6 AS status,
+    10 * (1 + o_orderkey % 5) AS freight_charge, o_orderdate AS created_time FROM orders),
+paid AS (SELECT *, CAST(goods_id AS DOUBLE) / 1000 AS price,
+    CASE WHEN status >= 2 THEN created_time + (10 + id % 291) * INTERVAL '1' SECOND END AS pay_time FROM drawn),
+sent AS (SELECT *, price * amount AS total_price, coupon_id % 9 AS coupon_amount,
+    CASE WHEN status >= 4 THEN pay_time + (16400 + id % 70001) * INTERVAL '1' SECOND END AS send_out_time FROM paid),
+final AS (SELECT *,
+    CASE WHEN status >= 5 THEN send_out_time + (16400 + (id * 3) % 70001) * INTERVAL '1' SECOND END AS finished_time,
+    CASE WHEN status >= 4 THEN send_out_time WHEN status >= 2 THEN pay_time END AS updated_time FROM sent)"""
+
+
+def _cents(expression: str) -> str:
+    return f"CAST(CAST({expression} AS DECIMAL(14,2)) AS DOUBLE)"
+
+
+def _shanghai(expression: str) -> str:
+    return _local_time(f"({expression})", "Asia/Shanghai")
+
+
 def _low32(expression: str) -> str:
     """The low 32 bits of a HUGEINT expression as a signed integer."""
     return (
@@ -237,21 +260,33 @@ SELECT topic, file, pos, CAST(after_id AS DECIMAL(38,0)) AS row_id, op FROM rout
         "stream_route": EVENT_ROUTES.format(n=4),
         "stream_resume": f"""WITH {ROUTED} {EVENT_ROUTES.format(n=4)}
 UNION ALL SELECT after_id, topic, part FROM routed""",
-        "order_projection": """WITH drawn AS (
-  SELECT o_orderkey AS id, 10000 + o_custkey AS user_id, 10000 + o_orderkey % 90000 AS goods_id,
-    1 + o_orderkey % 10 AS amount, 10000 + (o_orderkey * 7) % 90000 AS coupon_id, 1 + o_orderkey % 6 AS status,
-    10 * (1 + o_orderkey % 5) AS freight_charge, o_orderdate AS created_time FROM orders),
-paid AS (SELECT *, CAST(goods_id AS DOUBLE) / 1000 AS price,
-    CASE WHEN status >= 2 THEN created_time + (10 + id % 291) * INTERVAL '1' SECOND END AS pay_time FROM drawn),
-sent AS (SELECT *, price * amount AS total_price, coupon_id % 9 AS coupon_amount,
-    CASE WHEN status >= 4 THEN pay_time + (16400 + id % 70001) * INTERVAL '1' SECOND END AS send_out_time FROM paid)
+        "order_projection": f"""WITH {ORDER_STEPS}
 SELECT id, user_id, user_id % 44444 AS inviter_id, goods_id, CAST(floor(goods_id / 100) AS BIGINT) AS goods_cate_id,
   concat('goodsName', CAST(goods_id AS VARCHAR)) AS goods_name, price, amount, total_price, coupon_id, coupon_amount,
   freight_charge, total_price - coupon_amount + freight_charge AS pay_amount, user_id + 30000 AS address_id, status,
-  created_time, pay_time, send_out_time,
-  CASE WHEN status >= 5 THEN send_out_time + (16400 + (id * 3) % 70001) * INTERVAL '1' SECOND END AS finished_time,
-  CASE WHEN status >= 4 THEN send_out_time WHEN status >= 2 THEN pay_time END AS updated_time
-FROM sent""",
+  created_time, pay_time, send_out_time, finished_time, updated_time
+FROM final""",
+        "order_snapshot": f"""WITH {ORDER_STEPS}, exact AS (
+  SELECT *, CAST(goods_id AS DECIMAL(14,0)) * CAST(0.001 AS DECIMAL(3,3)) AS price3,
+    CAST(goods_id AS DECIMAL(14,0)) * CAST(0.001 AS DECIMAL(3,3)) * CAST(amount AS DECIMAL(4,0)) AS total3,
+    strftime(created_time, '%Y%m%d%H%M%S') AS stamp FROM final)
+SELECT CAST(id AS INTEGER) AS id, stamp || CAST(id % 90000 + 10000 AS VARCHAR) AS order_no,
+  stamp || CAST(id % 9000000 + 1000000 AS VARCHAR) AS third_order_no, CAST(user_id AS INTEGER) AS user_id,
+  CAST(user_id % 44444 AS INTEGER) AS inviter_id, CAST(id % 3001 + 1000 AS INTEGER) AS shop_id,
+  CAST(goods_id AS INTEGER) AS goods_id, CAST(floor(goods_id / 100) AS INTEGER) AS goods_cate_id,
+  'goodsName' || CAST(goods_id AS VARCHAR) AS goods_name, {_cents("price3")} AS price, CAST(amount AS INTEGER) AS amount,
+  {_cents("total3")} AS total_price, {_shanghai("created_time")} AS created_time,
+  '优惠劵' || CAST(coupon_id AS VARCHAR) AS coupon_name, CAST(id % 4 + 1 AS INTEGER) AS pay_channel,
+  CAST(coupon_id AS INTEGER) AS coupon_id, CAST(status AS INTEGER) AS status,
+  '用户备注' || CAST(user_id AS VARCHAR) || CAST(id % 9000 + 1000 AS VARCHAR) AS user_remark,
+  CAST(freight_charge AS DOUBLE) AS freight_charge,
+  {_cents("total3 + CAST(freight_charge AS DECIMAL(6,0)) - CAST(coupon_amount AS DECIMAL(6,0))")} AS pay_amount,
+  'P' || CAST(id + 100000000 AS VARCHAR) AS pay_order_no, CAST(user_id + 30000 AS INTEGER) AS address_id,
+  {_shanghai("pay_time")} AS pay_time, {_shanghai("updated_time")} AS updated_time,
+  {_shanghai("send_out_time")} AS send_out_time, {_shanghai("finished_time")} AS finished_time,
+  CAST(coupon_amount AS DOUBLE) AS coupon_amount, CAST(0 AS INTEGER) AS order_month,
+  {_shanghai("coalesce(updated_time, created_time)")} AS change_time, '' AS create_date
+FROM exact""",
         "replay_state": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FROM newest WHERE rn = 1 AND op <> 'd'""",
         "last_change_per_row": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})

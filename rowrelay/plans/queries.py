@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from rowrelay import fixed
 from rowrelay.functions import values as V
+from rowrelay.functions.position import Position, is_after
 from rowrelay.functions.record import decode, encode, parse
 from rowrelay.operators import capture, filters, ordering, routing
-from rowrelay.operators.capture import Position
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators import orders as order_rules
 from rowrelay.operators.replay import apply_changes, last_changes, replay
@@ -25,6 +25,7 @@ from rowrelay.plans.tablelog import (
     EPOCH_MS,
     IMAGE,
     change_log,
+    drawn_orders,
     event_log,
     order_versions,
     wire_log,
@@ -134,7 +135,7 @@ def log_end(spark: SparkSession, folder: str) -> DataFrame:
 def _state_at_mark(spark: SparkSession, folder: str) -> DataFrame:
     """The order rows as they were at the mark, as snapshot records."""
     changes = change_log(spark, folder)
-    past = changes.where(~capture.is_after(MARK) & (F.col("source.db") == "test"))
+    past = changes.where(~is_after(MARK) & (F.col("source.db") == "test"))
     rows = replay(past).select("after.*")
     return capture.snapshot(
         rows, "test", "tb_order", mark=MARK, ts_ms=F.lit(START_MS), processed_ms=F.lit(START_MS)
@@ -562,21 +563,17 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def order_projection(spark: SparkSession, folder: str) -> DataFrame:
     """Order rows with every draw replaced by a function of the order key."""
-    key = F.col("o_orderkey")
-    drawn = read_parquet(spark, folder, "orders").select(
-        key.alias("id"),
-        (F.col("o_custkey") + 10000).alias("user_id"),
-        (key % 90000 + 10000).alias("goods_id"),
-        (key % 10 + 1).alias("amount"),
-        (key * 7 % 90000 + 10000).alias("coupon_id"),
-        (key % 5 + 1).alias("freight_steps"),
-        (key % 6 + 1).alias("status"),
-        F.col("o_orderdate").alias("created_time"),
-        (key % 291 + 10).alias("pay_wait"),
-        (key % 70001 + 16400).alias("send_wait"),
-        (key * 3 % 70001 + 16400).alias("finish_wait"),
-    )
-    return order_rules.order_projection(drawn)
+    return order_rules.order_projection(drawn_orders(spark, folder))
+
+
+@query
+def order_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The full order table captured, converted by its declared types, written and read back."""
+    rows = order_rules.order_rows(drawn_orders(spark, folder))
+    converted = convert_row(rows, order_rules.ORDER_TYPES, zone="Asia/Shanghai")
+    image = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in converted.schema.fields)
+    records = encode(capture.snapshot(converted, "test", "tb_order", mark=MARK))
+    return decode(records, image).select("after.*")
 
 
 @query

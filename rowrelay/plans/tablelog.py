@@ -148,3 +148,28 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("transaction"),
     )
     return encode(changes)
+
+
+def drawn_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Draws for the sample order table, each a function of the order key."""
+    key = F.col("o_orderkey")
+    draws = {
+        "id": key,
+        "user_id": F.col("o_custkey") + 10000,
+        "goods_id": key % 90000 + 10000,
+        "amount": key % 10 + 1,
+        "coupon_id": key * 7 % 90000 + 10000,
+        "freight_steps": key % 5 + 1,
+        "status": key % 6 + 1,
+        "created_time": F.col("o_orderdate"),
+        "pay_wait": key % 291 + 10,
+        "send_wait": key % 70001 + 16400,
+        "finish_wait": key * 3 % 70001 + 16400,
+        "shop_id": key % 3001 + 1000,
+        "pay_channel": key % 4 + 1,
+        "order_draw": key % 90000 + 10000,
+        "third_draw": key % 9000000 + 1000000,
+        "remark_draw": key % 9000 + 1000,
+        "pay_draw": key + 100000000,
+    }
+    return read_parquet(spark, folder, "orders").select(*[c.alias(n) for n, c in draws.items()])

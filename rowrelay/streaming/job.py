@@ -39,9 +39,9 @@ def start_stream(
     The query keeps no state and no watermark; its checkpoint holds source offsets
     only. Without an order each micro-batch is one stage from source to target.
     With an order every micro-batch is sorted by log position first; micro-batches
-    run one after another, so the order holds across them. On a live target an
-    ordered micro-batch puts a topic partition into one task, so it needs a limit
-    on the micro-batch.
+    run one after another, so the order holds across them. A limit on the
+    micro-batch lets one task take a topic partition, which a live target needs;
+    without a limit, files are written by position range.
 
     Records reach the target at least once; the unordered file target is exactly
     once.
@@ -52,7 +52,7 @@ def start_stream(
     if opts.order == "partition":
         if target.single_writer and not opts.bounded_batches:
             raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
-        arrange = exclusive_order if target.single_writer else range_order
+        arrange = exclusive_order if opts.bounded_batches else range_order
 
         def deliver(batch: DataFrame, batch_id: int) -> None:
             # Counted behind the exchange: a range exchange reads its input twice.

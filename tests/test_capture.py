@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowrelay import Position
+from rowrelay.functions.position import is_after
 from rowrelay.functions.record import parse
 from rowrelay.operators import capture
 from rowrelay.operators.filters import include, include_pattern
@@ -98,7 +99,7 @@ def test_handoff_at_any_mark_gives_the_final_table(spark, small):
     final = rows_of(replay(log).select("db", "table", "after.*"))
     for pos in (0, 1, 2999, 3000, 10**9):
         mark = Position(1, pos)
-        past = log.where(~capture.is_after(mark) & (F.col("source.db") == "test"))
+        past = log.where(~is_after(mark) & (F.col("source.db") == "test"))
         shot = capture.snapshot(replay(past).select("after.*"), "test", "tb_order", mark=mark)
         both = capture.handoff(shot, log, mark)
         assert rows_of(replay(both).select("db", "table", "after.*")) == final

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowrelay import Options, deliveries, run_batch
-from rowrelay.operators.capture import position_order
+from rowrelay.functions.position import position_order
 from rowrelay.operators.ordering import delivery_sequence, exclusive_order, range_order
 from rowrelay.plans.queries import order_projection
 from rowrelay.plans.tablelog import wire_log
