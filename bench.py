@@ -4,7 +4,7 @@
 the change log is written as text and the tables are written in as many files as
 tasks need; a table of one file with one row group would be read by one task.
 Runs go from there to the ``noop`` sink or, for the fan-out jobs, to files. Each
-time is the median of ``BENCH_RUNS`` runs after one warm-up.
+time is the median of ``BENCH_RUNS`` runs after one warm-up. ``BENCH_ONLY`` may list the jobs to run.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from rowrelay.streaming.folders import new_folder
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+ONLY = os.environ.get("BENCH_ONLY", "").split()
 
 OPTS = Options(partitions=4)
 MARK = capture.Position(1, 30000)
@@ -130,6 +131,7 @@ def main() -> None:
         "fanout_files_ordered": ("records", lambda: fan_out("partition")),
         "stream_files": ("records", stream),
     }
+    jobs = {name: job for name, job in jobs.items() if not ONLY or name in ONLY}
     times = {}
     for name, (_, run) in jobs.items():
         run()

@@ -22,8 +22,12 @@ class Position:
 
 
 def log_sequence(file: Column) -> Column:
-    """The number at the end of a log file name; names do not order as text."""
-    return F.substring_index(file, ".", -1).cast("bigint")
+    """The number at the end of a log file name; names do not order as text.
+
+    Null for a record without a log file, such as one read by a snapshot. It sorts
+    before every place in the log.
+    """
+    return F.substring_index(file, ".", -1).try_cast("bigint")
 
 
 def position_order(source: str = "source") -> list[Column]:
@@ -37,7 +41,9 @@ def position_order(source: str = "source") -> list[Column]:
 
 
 def is_after(mark: Position, source: str = "source") -> Column:
+    """Later than ``mark``. A record that does not say where it comes from is kept."""
     sequence, pos, row = position_order(source)
-    return (sequence > mark.sequence) | (
+    later = (sequence > mark.sequence) | (
         (sequence == mark.sequence) & ((pos > mark.pos) | ((pos == mark.pos) & (row > mark.row)))
     )
+    return F.coalesce(later, F.lit(True))

@@ -75,11 +75,15 @@ def latest(changes: DataFrame, mark: Position) -> DataFrame:
     return changes.where(is_after(mark))
 
 
+def since(ts_ms: Column, epoch_ms: int) -> Column:
+    return F.coalesce(ts_ms >= epoch_ms, F.lit(True))
+
+
 def from_timestamp(changes: DataFrame, epoch_ms: int) -> DataFrame:
-    """Changes made at the database at or after ``epoch_ms``."""
+    """Changes made at the database at or after ``epoch_ms``; undated ones are kept."""
     if epoch_ms == 0:
         raise ValueError("a timestamp start needs a start_timestamp in epoch milliseconds")
-    return changes.where(F.col("source.ts_ms") >= epoch_ms)
+    return changes.where(since(F.col("source.ts_ms"), epoch_ms))
 
 
 def handoff(snapshot_changes: DataFrame, changes: DataFrame, mark: Position) -> DataFrame:

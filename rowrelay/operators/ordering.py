@@ -18,6 +18,9 @@ from rowrelay.functions.position import position_order
 
 GROUP = ("topic", "partition")
 
+# Stretches that hold the records without a place in the log.
+SPREAD = 65536
+
 
 def exclusive_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """One task per topic partition, sorted by position. Bounded micro-batches only."""
@@ -41,14 +44,21 @@ def delivery_sequence(routed: DataFrame, chunk_bytes: int = 64 * 1024 * 1024) ->
     """Number the records of each topic partition from 0 in log order, as ``sequence``.
 
     A log event takes up space in its file, so a stretch of ``chunk_bytes`` of one
-    log file holds a bounded number of events. Records are numbered inside
-    such a stretch; the count of everything before it comes from a small table of
+    log file holds a bounded number of events. Records are numbered inside such a
+    stretch; the count of everything before it comes from a small table of
     per-stretch counts. No task ever holds a whole topic partition.
+
+    Snapshot records and records without a place in the log have no order among
+    themselves; they come first and are spread over stretches by their text.
     """
     chunk = [*GROUP, "_log", "_chunk"]
     sequence, pos, row = position_order("")
-    placed = routed.withColumn("_log", sequence).withColumn(
-        "_chunk", F.floor(pos / F.lit(chunk_bytes)).cast("bigint")
+    in_log = sequence.isNotNull() & pos.isNotNull() & ~F.col("op").eqNullSafe("r")
+    spread = F.pmod(F.xxhash64("value"), F.lit(SPREAD)).cast("bigint")
+    placed = routed.select(
+        "*",
+        F.when(in_log, sequence).otherwise(F.lit(-1)).alias("_log"),
+        F.when(in_log, F.floor(pos / F.lit(chunk_bytes)).cast("bigint")).otherwise(spread).alias("_chunk"),
     )
     earlier = (
         Window.partitionBy(*GROUP)
@@ -61,9 +71,9 @@ def delivery_sequence(routed: DataFrame, chunk_bytes: int = 64 * 1024 * 1024) ->
         .select(*chunk, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
     local = Window.partitionBy(*chunk).orderBy(pos, row)
-    numbered = placed.withColumn("_local", F.row_number().over(local) - 1)
     return (
-        numbered.join(offsets, chunk)
+        placed.withColumn("_local", F.row_number().over(local) - 1)
+        .join(offsets, chunk)
         .withColumn("sequence", F.col("_offset") + F.col("_local"))
         .drop("_log", "_chunk", "_local", "_offset")
     )

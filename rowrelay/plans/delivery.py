@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowrelay import fixed
 from rowrelay.functions.position import is_after
 from rowrelay.functions.record import parse
+from rowrelay.operators.capture import since
 from rowrelay.operators.filters import include
 from rowrelay.operators.ordering import range_order
 from rowrelay.operators.routing import route
@@ -32,7 +33,7 @@ def deliveries(wire: DataFrame, opts: Options = Options(), position: bool = Fals
         before=opts.delete_partition == "before_id",
     )
     if timed:
-        records = records.where(F.col("source_ts_ms") >= opts.start_timestamp)
+        records = records.where(since(F.col("source_ts_ms"), opts.start_timestamp))
     if opts.start_after is not None:
         records = records.where(is_after(opts.start_after, ""))
     records = include(records, opts.databases, opts.tables, opts.include_schema_changes)

@@ -204,3 +204,17 @@ def test_replay_keeps_one_record_per_key_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert state.count() == 20001
     assert state.where("_key_id = 0").first().after.v == 29997
+
+
+def test_records_without_a_place_in_the_log(spark):
+    """Snapshot records may carry an empty log file: kept by every start, oldest in a replay."""
+    log = change(
+        spark,
+        ("r", "", 0, 0, None, 1, "row"),
+        ("r", None, None, None, None, 2, "row"),
+        ("u", "bin.1", 5, 0, 1, 1, "new"),
+    )
+    assert ids(capture.latest(log, Position(1, 5))) == [1, 2]
+    assert ids(capture.from_timestamp(log, 50)) == [1, 2]
+    assert sorted(tuple(r.after) for r in replay(log).collect()) == [(1, "new"), (2, "row")]
+    assert capture.high_water_mark(log) == Position(1, 5, 0)

@@ -100,3 +100,24 @@ def test_order_rules(spark, small):
     assert rows.where("(finished_time IS NOT NULL) <> (status >= 5)").count() == 0
     assert rows.where("(send_out_time IS NOT NULL) <> (status >= 4)").count() == 0
     assert rows.where("abs(pay_amount - (price * amount - coupon_id % 9 + freight_charge)) > 1e-9").count() == 0
+
+
+def test_sequence_of_a_snapshot_and_its_changes(spark):
+    """Snapshot rows come first, in any order, and every record gets its own number."""
+    rows = spark.range(3000).selectExpr(
+        "'t' AS topic",
+        "CAST(id % 2 AS INT) AS partition",
+        "CASE WHEN id % 3 = 0 THEN '' ELSE 'bin.2' END AS file",
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id * 10 END AS pos",
+        "0 AS row",
+        "CASE WHEN id % 3 < 2 THEN 'r' WHEN id % 5 = 0 THEN NULL ELSE 'c' END AS op",
+        "CAST(id AS STRING) AS value",
+    )
+    numbered = delivery_sequence(rows, 1000).collect()
+    for partition in (0, 1):
+        group = sorted((r.sequence, r.op == "r", r.pos) for r in numbered if r.partition == partition)
+        assert [n for n, _, _ in group] == list(range(1500))
+        snapshot_rows = sum(is_row for _, is_row, _ in group)
+        assert all(is_row for _, is_row, _ in group[:snapshot_rows])
+        live = [pos for _, is_row, pos in group if not is_row]
+        assert live == sorted(live)
