@@ -1,4 +1,4 @@
-"""Log order inside each topic partition.
+"""Log order inside each topic partition, and records gathered by topic partition.
 
 ``exclusive_order`` gives each topic partition to one task. A live target needs
 that, because two writers to the same partition would interleave; it is meant for
@@ -40,6 +40,15 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     return numbered.repartitionByRange(*size, *order).sortWithinPartitions(*order).drop("_arrival")
 
 
+def gather(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Bring the records of a topic partition together, in no order.
+
+    Without it every task writes a small file for each topic it meets. A rebalance
+    lets Spark cut heavy topic partitions and merge light ones by measured size.
+    """
+    return routed.hint("rebalance", *([parallelism] if parallelism else []), *GROUP)
+
+
 def delivery_sequence(routed: DataFrame, chunk_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Number the records of each topic partition from 0 in log order, as ``sequence``.
 

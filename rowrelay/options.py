@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from rowrelay import fixed
 from rowrelay.functions.position import Position
 
-ORDERS = ("none", "partition")
+# none: as the input comes; gathered: few files per topic; partition: in log order
+ORDERS = ("none", "gathered", "partition")
 DELETE_PARTITIONS = ("slot0", "before_id")
 
 

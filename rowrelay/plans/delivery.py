@@ -10,7 +10,7 @@ from rowrelay.functions.position import is_after
 from rowrelay.functions.record import parse
 from rowrelay.operators.capture import since
 from rowrelay.operators.filters import include
-from rowrelay.operators.ordering import range_order
+from rowrelay.operators.ordering import gather, range_order
 from rowrelay.operators.routing import route
 from rowrelay.options import Options
 from rowrelay.sinks.targets import Target
@@ -65,6 +65,8 @@ def run_batch(wire: DataFrame, opts: Options, target: Target) -> None:
         if target.single_writer:
             raise ValueError("ordered delivery to a live target runs as a stream")
         routed = range_order(routed, parallelism)
+    elif opts.order == "gathered":
+        routed = gather(routed, parallelism)
     elif parallelism:
         routed = routed.repartition(parallelism)
     target.write(routed)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
-from rowrelay.operators.ordering import exclusive_order, range_order
+from rowrelay.operators.ordering import exclusive_order, gather, range_order
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
@@ -49,10 +49,15 @@ def start_stream(
     routed = deliveries(wire, opts)
     counters: dict[str, int] = {}
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    if opts.order == "partition":
-        if target.single_writer and not opts.bounded_batches:
+    if opts.order != "none":
+        if opts.order == "gathered":
+            arrange = gather
+        elif opts.bounded_batches:
+            arrange = exclusive_order
+        elif target.single_writer:
             raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
-        arrange = exclusive_order if opts.bounded_batches else range_order
+        else:
+            arrange = range_order
 
         def deliver(batch: DataFrame, batch_id: int) -> None:
             # Counted behind the exchange: a range exchange reads its input twice.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowrelay import Options, deliveries, run_batch
 from rowrelay.functions.position import position_order
-from rowrelay.operators.ordering import delivery_sequence, exclusive_order, range_order
+from rowrelay.operators.ordering import delivery_sequence, exclusive_order, gather, range_order
 from rowrelay.plans.queries import order_projection
 from rowrelay.plans.tablelog import wire_log
 from rowrelay.sinks.targets import files, kafka
@@ -78,6 +78,34 @@ def test_unordered_batch_delivery(spark, small, tmp_path):
     assert len({n.split("/part-")[1][:5] for n in glob.glob(f"{out}/*/part-*")}) <= 3
 
 
+def test_gathered_files(spark, small, tmp_path):
+    """One file for each light topic partition instead of one per task."""
+    wire, counts = wire_log(spark, small).repartition(12), {}
+    for order in ("none", "gathered"):
+        out = str(tmp_path / order)
+        run_batch(wire, Options(partitions=4, order=order), files(out, by_partition=True))
+        assert spark.read.text(out).count() == wire.count()
+        counts[order] = len(glob.glob(f"{out}/*/*/part-*"))
+    assert counts["gathered"] == 9 < counts["none"]
+
+
+def test_gathering_cuts_a_heavy_partition(spark):
+    """A topic partition with most of the data is spread over several tasks."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "2m")
+        rows = spark.range(0, 400000, 1, 8).selectExpr(
+            "IF(id % 10 = 0, 'light', 'heavy') AS topic", "0 AS partition", "sha2(CAST(id AS STRING), 256) AS value"
+        )
+        placed = gather(rows).withColumn("task", F.spark_partition_id())
+        tasks = placed.groupBy("topic", "task").agg(F.count("value").alias("n"), F.max("value")).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert sum(r.n for r in tasks) == 400000
+    assert len({r.task for r in tasks if r.topic == "heavy"}) > 4
+
+
 def test_ordered_batch_to_a_live_target_is_refused(spark, small):
     with pytest.raises(ValueError, match="stream"):
         run_batch(wire_log(spark, small), OPTS, kafka(OPTS))

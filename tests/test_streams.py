@@ -124,7 +124,7 @@ def test_progress(spark, small, opts, tmp_path):
     source = str(tmp_path / "log")
     wire_log(spark, small).write.text(source)
     wanted = {"records": 2475, "op_r": 0, "op_c": 1650, "op_u": 500, "op_d": 300, "schema_changes": 25, "fallback": 25}
-    for order in ("none", "partition"):
+    for order in ("none", "gathered", "partition"):
         job = opts.with_(order=order, job_id=f"job-{order}")
         assert totals(drain(spark, source, job, files(str(tmp_path / order)))) == wanted
 
