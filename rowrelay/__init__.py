@@ -2,7 +2,7 @@
 
 from rowrelay.functions.position import Position
 from rowrelay.options import Options
-from rowrelay.plans.delivery import deliveries, run_batch
+from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
 from rowrelay.streaming.job import start_stream, totals
 
-__all__ = ["Options", "Position", "deliveries", "run_batch", "start_stream", "totals"]
+__all__ = ["Options", "Position", "deliveries", "run_batch", "start_stream", "table_snapshot", "totals"]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowrelay import fixed
-from rowrelay.functions.position import is_after
-from rowrelay.functions.record import parse
-from rowrelay.operators.capture import since
+from rowrelay.functions.position import Position, is_after
+from rowrelay.functions.record import encode, parse
+from rowrelay.operators.capture import since, snapshot
+from rowrelay.operators.convert import convert_row
 from rowrelay.operators.filters import include
 from rowrelay.operators.ordering import gather, range_order
 from rowrelay.operators.routing import route
@@ -40,6 +43,23 @@ def deliveries(wire: DataFrame, opts: Options = Options(), position: bool = Fals
     return route(records, opts)
 
 
+def table_snapshot(
+    rows: DataFrame,
+    opts: Options,
+    db: str,
+    table: str,
+    mark: Position,
+    sql_types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A table's current rows as record texts, converted by their SQL types.
+
+    Deliver them with :func:`run_batch` and follow with a stream whose options have
+    ``start_after=mark``. Take the mark before reading the rows: a change made in
+    between is then delivered again, never missed, and a replay ranks it last.
+    """
+    return encode(snapshot(convert_row(rows, sql_types, opts.zone), db, table, mark=mark))
+
+
 def progress_columns() -> list[Column]:
     """Counters for ``DataFrame.observe``: all records, each operation, schema changes."""
     ops = [F.count_if(F.col("op") == op).alias(f"op_{op}") for op in OPERATIONS]
