@@ -40,6 +40,11 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     return numbered.repartitionByRange(*size, *order).sortWithinPartitions(*order).drop("_arrival")
 
 
+def spread(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """The input's own partitioning, or ``parallelism`` even parts."""
+    return routed.repartition(parallelism) if parallelism else routed
+
+
 def gather(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Bring the records of a topic partition together, in no order.
 

@@ -13,7 +13,7 @@ from rowrelay.functions.record import encode, parse
 from rowrelay.operators.capture import since, snapshot
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.filters import include
-from rowrelay.operators.ordering import gather, range_order
+from rowrelay.operators.ordering import gather, range_order, spread
 from rowrelay.operators.routing import route
 from rowrelay.options import Options
 from rowrelay.sinks.targets import Target
@@ -81,12 +81,7 @@ def run_batch(wire: DataFrame, opts: Options, target: Target) -> None:
     """
     routed = deliveries(wire, opts)
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    if opts.order == "partition":
-        if target.single_writer:
-            raise ValueError("ordered delivery to a live target runs as a stream")
-        routed = range_order(routed, parallelism)
-    elif opts.order == "gathered":
-        routed = gather(routed, parallelism)
-    elif parallelism:
-        routed = routed.repartition(parallelism)
-    target.write(routed)
+    if opts.order == "partition" and target.single_writer:
+        raise ValueError("ordered delivery to a live target runs as a stream")
+    arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
+    target.write(arrange(routed, parallelism))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
-from rowrelay.operators.ordering import exclusive_order, gather, range_order
+from rowrelay.operators.ordering import exclusive_order, gather, range_order, spread
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
@@ -16,7 +16,7 @@ from rowrelay.streaming.folders import shared_folder
 
 OBSERVATION = "deliveries"
 
-# Counters of the ordered jobs started here, by query id.
+# Counters of the jobs started here that write batch by batch, by query id.
 _batch_counters: dict[str, dict[str, int]] = {}
 
 
@@ -36,40 +36,39 @@ def start_stream(
 ) -> StreamingQuery:
     """Deliver a stream of record texts (column ``value``), named after the job.
 
-    The query keeps no state and no watermark; its checkpoint holds source offsets
-    only. Without an order each micro-batch is one stage from source to target.
-    With an order every micro-batch is sorted by log position first; micro-batches
-    run one after another, so the order holds across them. A limit on the
-    micro-batch lets one task take a topic partition, which a live target needs;
-    without a limit, files are written by position range.
-
-    Records reach the target at least once; the unordered file target is exactly
-    once.
+    Records reach the target at least once. The query keeps no state and no
+    watermark; its checkpoint holds source offsets only. Without an order each
+    micro-batch is one stage from source to target. With an order every micro-batch
+    is sorted by log position first; micro-batches run one after another, so the
+    order holds across them. A limit on the micro-batch lets one task take a topic
+    partition, which a live target needs; without a limit, files are written by
+    position range.
+
+    Files are written batch by batch rather than by Spark's file stream sink. That
+    sink keeps a list of all its files, which grows with the job's life, and hides
+    files of other writers, such as a snapshot delivered to the same folder.
     """
     routed = deliveries(wire, opts)
     counters: dict[str, int] = {}
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    if opts.order != "none":
-        if opts.order == "gathered":
-            arrange = gather
-        elif opts.bounded_batches:
-            arrange = exclusive_order
-        elif target.single_writer:
-            raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
-        else:
-            arrange = range_order
-
-        def deliver(batch: DataFrame, batch_id: int) -> None:
-            # Counted behind the exchange: a range exchange reads its input twice.
-            seen = Observation()
-            target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))
-            _add(counters, seen.get)
+    if opts.order == "partition" and opts.bounded_batches:
+        arrange = exclusive_order
+    elif opts.order == "partition" and target.single_writer:
+        raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
+    else:
+        arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
 
-        writer = routed.writeStream.foreachBatch(deliver)
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        # Counted behind the exchange: a range exchange reads its input twice.
+        seen = Observation()
+        target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))
+        _add(counters, seen.get)
+
+    if opts.order == "none" and target.single_writer:
+        observed = arrange(routed, parallelism).observe(OBSERVATION, *progress_columns())
+        writer = target.stream_writer(observed)
     else:
-        if parallelism:
-            routed = routed.repartition(parallelism)
-        writer = target.stream_writer(routed.observe(OBSERVATION, *progress_columns()))
+        writer = routed.writeStream.foreachBatch(deliver)
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}
     query = (
         writer.queryName(opts.job_id)
@@ -89,7 +88,7 @@ def _add(counters: dict[str, int], more: Mapping[str, int]) -> None:
 def totals(query: StreamingQuery) -> dict[str, int]:
     """The progress counters of a job: records, each operation, schema changes, fallback.
 
-    An unordered job's are summed over the micro-batches Spark still remembers.
+    On a live target without order they cover the micro-batches Spark still remembers.
     """
     result = dict(_batch_counters.get(str(query.id), {}))
     for progress in query.recentProgress:

