@@ -47,7 +47,12 @@ def date_to_string(c: Column, data_type: T.DataType) -> Column:
 
 
 def time_to_string(c: Column, data_type: T.DataType) -> Column:
-    """A day-time interval inside one day as ``HH:mm:ss`` with the digits needed."""
+    """A day-time interval inside one day as ``HH:mm:ss`` with the digits needed.
+
+    Spark's JDBC reader gives a TIME as a timestamp on 1970-01-01; its time of day counts.
+    """
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return F.substring(c.cast("string"), 12, 15)
     if not isinstance(data_type, T.DayTimeIntervalType):
         return c.cast("string")
     inside = (c >= F.expr("INTERVAL '0' SECOND")) & (c < F.expr("INTERVAL '24' HOUR"))

@@ -39,6 +39,11 @@ def convert_column(c: Column, data_type: T.DataType, sql_type: str | None, zone:
         return V.decimal_to_double(c)
     if sql_type == "BIGINT UNSIGNED":
         return V.unsigned_to_long(c)
+    # Numbers that Spark's JDBC reader gives as another type.
+    if sql_type == "YEAR" and isinstance(data_type, T.DateType):
+        return F.year(c)
+    if sql_type == "TINYINT" and isinstance(data_type, T.BooleanType):
+        return c.cast("int")
     return c
 
 

@@ -77,6 +77,14 @@ def test_numbers(spark):
     assert one(spark, "CAST('9223372036854775807' AS DECIMAL(20,0))", "bigint unsigned") == 2**63 - 1
 
 
+def test_types_of_a_database_read(spark):
+    assert one(spark, "TIMESTAMP'1970-01-01 23:05:06'", "time") == "23:05:06"
+    assert one(spark, "TIMESTAMP_NTZ'1970-01-01 01:02:03.25'", "TIME(2)") == "01:02:03.25"
+    assert one(spark, "TIMESTAMP'2024-01-02 03:04:05'", "datetime") == "2024-01-02 03:04:05"
+    assert one(spark, "DATE'2024-01-01'", "year(4)") == 2024
+    assert one(spark, "true", "tinyint(1)") == 1
+
+
 def test_other_types_pass_through(spark):
     assert one(spark, "2024", "year") == 2024
     assert one(spark, "'x'", "varchar(3)") == "x"
