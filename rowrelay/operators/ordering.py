@@ -31,13 +31,17 @@ def exclusive_order(routed: DataFrame, parallelism: int | None = None) -> DataFr
 def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Consecutive ranges of (topic, partition, position) per task, sorted.
 
-    The arrival number breaks ties, so records that share a position, such as the
-    rows of a snapshot, can be split over tasks as well.
+    Records that share a position, such as the rows of a snapshot, are told apart by
+    their text, so a rerun task sends each to the same range again; the arrival
+    number only lets exact copies be split over tasks as well.
     """
     size = [parallelism] if parallelism else []
-    numbered = routed.withColumn("_arrival", F.monotonically_increasing_id())
-    order = [*GROUP, *position_order(""), "_arrival"]
-    return numbered.repartitionByRange(*size, *order).sortWithinPartitions(*order).drop("_arrival")
+    numbered = routed.select(
+        "*", F.xxhash64("value").alias("_text"), F.monotonically_increasing_id().alias("_arrival")
+    )
+    order = [*GROUP, *position_order(""), "_text", "_arrival"]
+    arranged = numbered.repartitionByRange(*size, *order).sortWithinPartitions(*order)
+    return arranged.drop("_text", "_arrival")
 
 
 def spread(routed: DataFrame, parallelism: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from rowrelay import Options, deliveries, run_batch
 from rowrelay.functions.position import position_order
 from rowrelay.operators.ordering import delivery_sequence, exclusive_order, gather, range_order
 from rowrelay.plans.queries import order_projection
+from rowrelay.plans.session import cluster_conf
 from rowrelay.plans.tablelog import wire_log
 from rowrelay.sinks.targets import files, kafka
 
@@ -48,10 +49,11 @@ def test_range_order_splits_a_heavy_partition(spark, small):
     assert max(map(len, tasks)) < len(rows) / 4
 
 
-def test_range_order_splits_records_of_one_position(spark):
-    """Snapshot rows share their position and still spread over the tasks."""
+@pytest.mark.parametrize("value", ["CAST(id AS STRING)", "'copy'"])
+def test_range_order_splits_records_of_one_position(spark, value):
+    """Snapshot rows share their position, copies their text too, and still spread."""
     frame = spark.range(20000).selectExpr(
-        "'t' AS topic", "0 AS partition", "'bin.1' AS file", "1L AS pos", "0 AS row", "id"
+        "'t' AS topic", "0 AS partition", "'bin.1' AS file", "1L AS pos", "0 AS row", f"{value} AS value"
     )
     sizes = [len(task) for task in layout(range_order(frame, 8))]
     assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 6000
@@ -149,3 +151,10 @@ def test_sequence_of_a_snapshot_and_its_changes(spark):
         assert all(is_row for _, is_row, _ in group[:snapshot_rows])
         live = [pos for _, is_row, pos in group if not is_row]
         assert live == sorted(live)
+
+
+def test_cluster_settings():
+    conf = cluster_conf(100 * 2**40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 40000
+    assert int(cluster_conf(10 * 2**30, 100)["spark.sql.shuffle.partitions"]) == 200
+    assert int(cluster_conf(2**40, 100)["spark.sql.shuffle.partitions"]) == 4096
