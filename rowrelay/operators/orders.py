@@ -140,7 +140,8 @@ def order_rows(drawn: DataFrame) -> DataFrame:
     def text(*parts: Column) -> Column:
         return F.concat(*[p.cast("string") for p in parts])
 
-    stamp = F.date_format("created_time", "yyyyMMddHHmmss")
+    # yyyyMMddHHmmss; date_format would read the time in the session zone
+    stamp = F.translate(F.substring(c("created_time").cast("string"), 1, 19), "-: ", "")
     price = c("goods_id").cast("decimal(14,0)") * F.lit(Decimal(1) / PRICE_DIVISOR)
     total = price * c("amount").cast("decimal(4,0)")
     extras = c("freight_charge").cast("decimal(6,0)") - c("coupon_amount").cast("decimal(6,0)")
