@@ -132,6 +132,11 @@ def test_bad_records_fail(wire, text):
         routed(wire, text, partitions=4)
 
 
+def test_a_target_without_partitions_needs_no_id(wire):
+    text = '{"source":{"db":"a","table":"b"},"after":{"x":1}}'
+    assert pulsar_record(deliveries(wire(text))).first().topic == "mysqlbinlog_a_b"
+
+
 def test_value_is_passed_on_untouched(wire):
     text = '{ "op":"c", "after" : {"price":0.0,"id":3}, "extra":[1, 2],"source":{"table":"t","db":"test"}}'
     assert routed(wire, text).value == text

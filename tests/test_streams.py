@@ -152,6 +152,15 @@ def test_progress(spark, small, opts, tmp_path):
         assert totals(drain(spark, source, job, files(str(tmp_path / order)))) == wanted
 
 
+@pytest.mark.parametrize("order", ["none", "gathered", "partition"])
+@pytest.mark.parametrize("limit", [None, 2])
+def test_batches_that_keep_nothing(spark, source, opts, tmp_path, order, limit):
+    """Micro-batches whose records are all filtered out finish and count as empty."""
+    job = opts.with_(order=order, databases="elsewhere", max_batch_files=limit)
+    counted = totals(drain(spark, source, job, files(str(tmp_path / "out"))))
+    assert set(counted.values()) <= {0}
+
+
 def test_named_job_on_a_timer(spark, source, opts, tmp_path):
     query = start_stream(stream_text(spark, source), opts, files(str(tmp_path / "out")), trigger="1 second")
     try:
