@@ -15,31 +15,48 @@ def _key(name: str) -> Column:
     return F.coalesce(F.col(f"after.`{name}`"), F.col(f"before.`{name}`"))
 
 
-def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """The last change of each row: ``db``, ``table``, the keys, ``op`` and ``after``.
+def _newest(rows: DataFrame, keys: Sequence[str], position: Sequence[Column]) -> DataFrame:
+    """The row with the last position of each key.
 
     Filtering on ``row_number() = 1`` lets Spark keep one record per key in each
     map task before the shuffle (WindowGroupLimit), so a key with very many changes
-    does not collect in one task. Records without an operation are schema changes
-    and do not take part. Repeated delivery of a record changes nothing, because
-    records are ranked by position.
+    does not collect in one task. Repeated delivery of a record changes nothing,
+    because records are ranked by position.
     """
+    order = [c.desc() for c in position]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
+def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """The last change of each row: ``db``, ``table``, the keys, ``op`` and ``after``.
+
+    Records without an operation are schema changes and do not take part.
+    """
+    place = ("_log", "_pos", "_row")
     rows = changes.where(F.col("op").isNotNull()).select(
         F.col("source.db").alias("db"),
         F.col("source.table").alias("table"),
         *[_key(k).alias(f"_key_{k}") for k in keys],
-        *[c.alias(n) for c, n in zip(position_order(), ("_log", "_pos", "_row"))],
+        *[c.alias(n) for c, n in zip(position_order(), place)],
         "op",
         "after",
     )
-    newest = Window.partitionBy("db", "table", *[f"_key_{k}" for k in keys]).orderBy(
-        F.desc("_log"), F.desc("_pos"), F.desc("_row")
-    )
-    return (
-        rows.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") == 1)
-        .drop("_rank", "_log", "_pos", "_row")
+    names = ["db", "table", *[f"_key_{k}" for k in keys]]
+    return _newest(rows, names, [F.col(c) for c in place]).drop(*place)
+
+
+def replay_records(records: DataFrame) -> DataFrame:
+    """The last record of each row that still exists, for any mix of tables.
+
+    Works on records parsed with ``position`` and ``before``; the texts stay as they
+    are, so no table's columns need to be known.
+    """
+    rows = records.where(F.col("op").isNotNull()).withColumn(
+        "_key", F.coalesce("row_id", "before_id")
     )
+    last = _newest(rows, ("db", "table", "_key"), position_order(""))
+    return last.where(F.col("op") != "d").drop("_key")
 
 
 def replay(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:

@@ -289,6 +289,9 @@ SELECT CAST(id AS INTEGER) AS id, stamp || CAST(id % 90000 + 10000 AS VARCHAR) A
 FROM exact""",
         "replay_state": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FROM newest WHERE rn = 1 AND op <> 'd'""",
+        "replay_mixed_tables": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
+SELECT db, tbl, after_id AS id, op, pos FROM newest WHERE rn = 1 AND op <> 'd'
+UNION ALL SELECT 'app', 'ev_' || event_type, event_id, 'c', event_id * 100 FROM events""",
         "last_change_per_row": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, coalesce(after_id, before_id) AS id, op FROM newest WHERE rn = 1""",
     }

@@ -18,7 +18,7 @@ from rowrelay.functions.record import decode, encode, parse
 from rowrelay.operators import capture, filters, ordering, routing
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators import orders as order_rules
-from rowrelay.operators.replay import apply_changes, last_changes, replay
+from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries
 from rowrelay.plans.tablelog import (
@@ -587,3 +587,11 @@ def last_change_per_row(spark: SparkSession, folder: str) -> DataFrame:
     """The last operation on each row, deletes included."""
     last = last_changes(_typed_wire(spark, folder))
     return last.select("db", F.col("table").alias("tbl"), F.col("_key_id").alias("id"), "op")
+
+
+@query
+def replay_mixed_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The last record of every row in two logs of unlike tables, none of them decoded."""
+    wire = wire_log(spark, folder).unionByName(event_log(spark, folder))
+    last = replay_records(parse(wire, position=True, before=True))
+    return last.select("db", F.col("table").alias("tbl"), F.col("row_id").cast("bigint").alias("id"), "op", "pos")

@@ -1,6 +1,7 @@
 """Capture, filters, difference and replay."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,24 @@ def test_diff_applied_gives_the_other_version(spark, small):
         assert rows_of(apply_changes(a, changes, ["id"])) == rows_of(b)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_diff_and_apply_of_random_tables(spark, seed):
+    """Nulls, repeated values, added, lost and changed rows in any mix."""
+    draw = random.Random(seed)
+
+    def table():
+        keys = draw.sample(range(40), draw.randrange(0, 40))
+        rows = [(k, draw.choice([None, "", "a", "b"]), draw.choice([None, 0.0, 1.5])) for k in keys]
+        return spark.createDataFrame(rows, "id int, v string, x double")
+
+    old, new = table(), table()
+    changes = capture.diff(old, new, ["id"], "d", "t", mark=MARK)
+    assert rows_of(apply_changes(old, changes, ["id"])) == rows_of(new)
+    before, after = ({r[0]: tuple(r) for r in t.collect()} for t in (old, new))
+    changed = sum(before.get(k) != after.get(k) for k in before.keys() | after.keys())
+    assert changes.count() == changed
+
+
 def test_replay_ranks_by_position(spark):
     log = change(
         spark,
