@@ -153,7 +153,7 @@ SELECT {FLAT} FROM changes WHERE file > 'binlog.000001' OR pos > 30000""",
         "timestamp_start": f"""WITH {CHANGES}
 SELECT {FLAT} FROM changes WHERE {EPOCH_MS} + pos * 1000 >= {EPOCH_MS + 30000 * 1000}""",
         "log_end": f"""WITH {CHANGES}
-SELECT CAST(right(file, 6) AS BIGINT) AS sequence, pos, CAST(0 AS INTEGER) AS row
+SELECT CAST(right(file, 6) AS BIGINT) AS sequence, pos, CAST(0 AS INTEGER) AS row_no
 FROM changes ORDER BY file DESC, pos DESC LIMIT 1""",
         "start_mode_initial": f"WITH {HANDOFF} SELECT {FLAT} FROM handoff",
         "start_mode_latest": f"WITH {HANDOFF} SELECT {FLAT} FROM later",
@@ -173,12 +173,13 @@ SELECT file, pos, db, tbl, op FROM changes WHERE db = 'test'""",
 SELECT file, pos, db, tbl, op FROM changes WHERE db = 'test' AND op IS NOT NULL""",
         "table_diff": f"""WITH {ORDER_VERSIONS}
 SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END AS op,
-  o.id AS before_id, o.user_id AS before_user_id, o.status AS before_status, o.price AS before_price,
-  n.id AS after_id, n.user_id AS after_user_id, n.status AS after_status, n.price AS after_price
+  o.id AS before_id, o.user_id AS before_user_id, o.status AS before_status, CAST(o.price AS DOUBLE) AS before_price,
+  n.id AS after_id, n.user_id AS after_user_id, n.status AS after_status, CAST(n.price AS DOUBLE) AS after_price
 FROM old_rows o FULL OUTER JOIN new_rows n ON o.id = n.id
 WHERE o.id IS NULL OR n.id IS NULL OR o.user_id IS DISTINCT FROM n.user_id OR o.status IS DISTINCT FROM n.status
   OR o.price IS DISTINCT FROM n.price OR o.created_time IS DISTINCT FROM n.created_time""",
-        "diff_applied": f"WITH {ORDER_VERSIONS} SELECT * FROM new_rows",
+        "diff_applied": f"""WITH {ORDER_VERSIONS}
+SELECT id, user_id, status, CAST(price AS DOUBLE) AS price, created_time FROM new_rows""",
         "envelope_roundtrip": f"""WITH {CHANGES}
 SELECT before_id, before_status, before_price, after_id, after_status, after_price, 'mysql' AS connector,
   'false' AS snapshot, db, tbl, file, pos, CAST(0 AS INTEGER) AS row_no, {EPOCH_MS} + pos * 1000 AS source_ts_ms,
@@ -227,9 +228,9 @@ SELECT o_orderkey,
   CASE WHEN o_orderstatus = 'F' THEN CASE WHEN o_custkey > 500 THEN 'true' ELSE 'false' END END AS instant_other
 FROM orders""",
         "parse_source": f"WITH {CHANGES} SELECT file, pos, db, tbl, op FROM changes",
-        "extract_row_id": f"WITH {CHANGES} SELECT file, pos, CAST(after_id AS DECIMAL(38,0)) AS row_id FROM changes",
+        "extract_row_id": f"WITH {CHANGES} SELECT file, pos, after_id AS row_id FROM changes",
         "extract_wide_id": f"""WITH ids AS ({wide_ids})
-SELECT o_orderkey, CAST(v AS DECIMAL(38,0)) AS row_id, {_low32("v")} AS id32 FROM ids""",
+SELECT o_orderkey, CAST(v AS VARCHAR) AS row_id, {_low32("v")} AS id32 FROM ids""",
         "route_topic": f"WITH {ROUTED} SELECT file, pos, topic FROM routed",
         "route_fallback": """WITH named AS (
   SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN 'test' END AS db,
@@ -247,16 +248,16 @@ SELECT file, pos, op, topic, CAST(0 AS INTEGER) AS "partition" FROM routed WHERE
         "partition_deletes_by_before_id": f"""WITH {ROUTED}
 SELECT file, pos, op, topic, CAST(coalesce(after_id, before_id, 0) % 4 AS INTEGER) AS "partition" FROM routed""",
         "id_wrap": f"""WITH ids AS ({wrap_values})
-SELECT o_orderkey, CAST(v AS DECIMAL(38,0)) AS row_id, {_low32("v")} AS id32,
+SELECT o_orderkey, CAST(v AS VARCHAR) AS row_id, {_low32("v")} AS id32,
   {_slot(_low32("v"), 7)} AS "partition" FROM ids""",
         "partition_order": f"""WITH {ROUTED}
 SELECT topic, part AS "partition", file, pos,
   row_number() OVER (PARTITION BY topic, part ORDER BY file, pos) - 1 AS sequence FROM routed""",
         "kafka_record": f"""WITH {ROUTED}
-SELECT topic, part AS "partition", file, pos, CAST(after_id AS DECIMAL(38,0)) AS row_id, op, TRUE AS key_is_value
+SELECT topic, part AS "partition", file, pos, after_id AS row_id, op, TRUE AS key_is_value
 FROM routed""",
         "pulsar_record": f"""WITH {ROUTED}
-SELECT topic, file, pos, CAST(after_id AS DECIMAL(38,0)) AS row_id, op FROM routed""",
+SELECT topic, file, pos, after_id AS row_id, op FROM routed""",
         "stream_route": EVENT_ROUTES.format(n=4),
         "stream_resume": f"""WITH {ROUTED} {EVENT_ROUTES.format(n=4)}
 UNION ALL SELECT after_id, topic, part FROM routed""",

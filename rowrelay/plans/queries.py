@@ -129,7 +129,7 @@ def timestamp_start(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def log_end(spark: SparkSession, folder: str) -> DataFrame:
     """The mark a later start would use."""
-    return capture.last_position(_typed_wire(spark, folder))
+    return capture.last_position(_typed_wire(spark, folder)).withColumnRenamed("row", "row_no")
 
 
 def _state_at_mark(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,8 +216,9 @@ def _order_diff(spark: SparkSession, folder: str) -> DataFrame:
 def table_diff(spark: SparkSession, folder: str) -> DataFrame:
     return _order_diff(spark, folder).select(
         "op",
-        *[F.col(f"before.{c}").alias(f"before_{c}") for c in ("id", "user_id", "status", "price")],
-        *[F.col(f"after.{c}").alias(f"after_{c}") for c in ("id", "user_id", "status", "price")],
+        *[F.col(f"before.{c}").alias(f"before_{c}") for c in ("id", "user_id", "status")],
+        *[F.col(f"after.{c}").alias(f"after_{c}") for c in ("id", "user_id", "status")],
+        *[V.decimal_to_double(F.col(f"{i}.price")).alias(f"{i}_price") for i in ("before", "after")],
     )
 
 
@@ -225,7 +226,8 @@ def table_diff(spark: SparkSession, folder: str) -> DataFrame:
 def diff_applied(spark: SparkSession, folder: str) -> DataFrame:
     """The old version with the difference applied is the new version."""
     old, _ = order_versions(spark, folder)
-    return apply_changes(old, _order_diff(spark, folder), ["id"])
+    rows = apply_changes(old, _order_diff(spark, folder), ["id"])
+    return rows.withColumn("price", V.decimal_to_double(F.col("price")))
 
 
 # --- encoding ----------------------------------------------------------------
@@ -391,7 +393,7 @@ def parse_source(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def extract_row_id(spark: SparkSession, folder: str) -> DataFrame:
-    return _records(spark, folder).select("file", "pos", F.col("row_id").cast("decimal(38,0)").alias("row_id"))
+    return _records(spark, folder).select("file", "pos", F.col("row_id").cast("bigint").alias("row_id"))
 
 
 @query
@@ -402,8 +404,9 @@ def extract_wide_id(spark: SparkSession, folder: str) -> DataFrame:
     number = F.concat(F.lit('{"after":{"id":'), wide, F.lit('},"source":{"db":"a","table":"b"}}'))
     text = F.concat(F.lit('{"after":{"id":"'), key, F.lit('"},"source":{"db":"a","table":"b"}}'))
     orders = read_parquet(spark, folder, "orders")
-    return parse(orders.select("o_orderkey", F.explode(F.array(number, text)).alias("value")), keep=["o_orderkey"]).select(
-        "o_orderkey", "row_id", V.wrap_to_int(F.col("row_id")).alias("id32")
+    records = orders.select("o_orderkey", F.explode(F.array(number, text)).alias("value"))
+    return parse(records, keep=["o_orderkey"]).select(
+        "o_orderkey", F.col("row_id").cast("string").alias("row_id"), V.wrap_to_int(F.col("row_id")).alias("id32")
     )
 
 
@@ -471,7 +474,7 @@ def id_wrap(spark: SparkSession, folder: str) -> DataFrame:
     )
     return rows.select(
         "o_orderkey",
-        "row_id",
+        F.col("row_id").cast("string").alias("row_id"),
         V.wrap_to_int(F.col("row_id")).alias("id32"),
         routing.partition(F.col("row_id"), F.lit(7)).alias("partition"),
     )
@@ -498,7 +501,7 @@ def kafka_record(spark: SparkSession, folder: str) -> DataFrame:
         "partition",
         "file",
         "pos",
-        "row_id",
+        F.col("row_id").cast("bigint").alias("row_id"),
         "op",
         (F.col("key") == F.col("value")).alias("key_is_value"),
     )
@@ -508,7 +511,7 @@ def kafka_record(spark: SparkSession, folder: str) -> DataFrame:
 def pulsar_record(spark: SparkSession, folder: str) -> DataFrame:
     out = outgoing.pulsar_record(deliveries(wire_log(spark, folder), FOUR))
     record = parse(out, keep=["topic"], position=True)
-    return record.select("topic", "file", "pos", "row_id", "op")
+    return record.select("topic", "file", "pos", F.col("row_id").cast("bigint").alias("row_id"), "op")
 
 
 # --- streams -----------------------------------------------------------------

@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+from inspect import signature
 from pathlib import Path
 
 import pytest
@@ -162,6 +163,7 @@ def test_batches_that_keep_nothing(spark, source, opts, tmp_path, order, limit):
 
 
 def test_named_job_on_a_timer(spark, source, opts, tmp_path):
+    assert signature(start_stream).parameters["trigger"].default == "3 seconds"
     query = start_stream(stream_text(spark, source), opts, files(str(tmp_path / "out")), trigger="1 second")
     try:
         query.processAllAvailable()
