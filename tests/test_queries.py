@@ -4,8 +4,10 @@ import check
 import pytest
 
 import __spark_entry__ as entry
+from rowrelay.plans.oracle import all_oracles
+from rowrelay.plans.queries import all_queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_oracles()
 STREAMS = {"stream_route", "stream_resume"}
 
 
@@ -16,6 +18,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert sorted(QUERIES) == sorted(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
