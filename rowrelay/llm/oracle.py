@@ -2,6 +2,59 @@
 
 from __future__ import annotations
 
+#: The letters that are folded.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+c AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM c)),
+dw AS (SELECT rid, n, i, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw))),
+hit AS (SELECT rid, i, dw.n, dw.win FROM dw JOIN (SELECT DISTINCT n, win FROM iw) k ON k.n = dw.n AND k.win = dw.win),
+inside AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT rid, item FROM hit JOIN iw ON iw.win = hit.win AND iw.n = hit.n) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN inside USING (rid) LEFT JOIN items USING (rid)
+"""
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    -ln((CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
+      / coalesce(1.0::DOUBLE / (1.0::DOUBLE + 100.0::DOUBLE * (length(text) - length(translate(text, '#*$%&|<>', ''))) / greatest(length(text), 1)), 1.0::DOUBLE) AS k
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight FROM s),
+f AS (SELECT *, 2.0::DOUBLE * source_size / weight AS ratio, sum(source_size) OVER () AS sizes, sum(weight) OVER () AS weights,
+    row_number() OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST) AS place FROM r),
+g AS (SELECT *, coalesce(sum(source_size) OVER w, 0) AS size_before, coalesce(sum(weight) OVER w, 0) AS weight_before
+  FROM f WINDOW w AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT *, ratio < (1.5::DOUBLE * CAST(sizes AS DOUBLE) - 2 * CAST(size_before AS DOUBLE)) / CAST(weights - weight_before AS DOUBLE) AS filled FROM g),
+l AS (SELECT (1.5::DOUBLE * CAST(max(sizes) AS DOUBLE) - 2 * CAST(coalesce(sum(source_size) FILTER (filled), 0) AS DOUBLE))
+    / CAST(max(weights) - coalesce(sum(weight) FILTER (filled), 0) AS DOUBLE) AS level FROM h),
+t AS (SELECT source, source_size, round(CASE WHEN filled THEN 2.0::DOUBLE * source_size ELSE level * weight END, 6) AS target FROM h, l),
+x AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, CAST(floor(target - epochs * source_size) AS BIGINT) - before)) AS BIGINT) AS taken
+FROM x
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op4_benchmark_decontamination": DECONTAMINATION,
+        "op6_source_mixing": MIXING,
+    }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowrelay.llm import simhash
+from rowrelay.llm import decontaminate, likelihood, mixture, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +18,24 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.mix(table(spark, folder, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents")).drop("digest")
+
+
+def op10_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return likelihood.judged(table(spark, folder, "documents"), trusted)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op")]
     return {f.__name__: f for f in found}

@@ -1,0 +1,84 @@
+"""Hashed n-gram ratios and base rules against plain Python."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import xxhash
+
+from rowrelay.llm import likelihood
+from rowrelay.llm.queries import op10_likelihood_rules
+
+BUCKETS, STEP, MASK = likelihood.BUCKETS, 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def slow_base(text):
+    text = text or ""
+    own = words(text)
+    windows = [tuple(own[i : i + 5]) for i in range(len(own) - 4)]
+    many, inside = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if many[w] > 1:
+            inside |= set(range(i, i + 5))
+    lines = [x for x in text.split("\n") if words(x)]
+    failed = len(own) < 10 or 100 * len(inside) > 20 * len(own)
+    return len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(inside), failed
+
+
+def slow_buckets(text):
+    h = [xxhash.xxh3_64_intdigest(w.encode()) for w in words(text)]
+    pairs = [(a * STEP + b) & MASK for a, b in zip(h, h[1:])]
+    return [((x * STEP & MASK) >> 40) % BUCKETS for x in h + pairs]
+
+
+def slow_scores(docs, trusted):
+    corpus, target = Counter(), Counter()
+    for k, text in docs:
+        own = slow_buckets(text)
+        corpus.update(own)
+        if k in trusted:
+            target.update(own)
+    c, t = sum(corpus.values()) + 0.5 * BUCKETS, sum(target.values()) + 0.5 * BUCKETS
+    ratio = lambda b: math.log((target[b] + 0.5) / t) - math.log((corpus[b] + 0.5) / c)
+    return [sum(map(ratio, own)) / (len(own) + likelihood.PRIOR) if (own := slow_buckets(x)) else None for _, x in docs]
+
+
+def test_query_against_plain_python(spark, small):
+    docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    trusted = {r.doc_id for r in spark.read.parquet(f"{small}/labels.parquet").collect() if r.quality == 1 and r.toxic == 0}
+    found = {r.doc_id: r for r in op10_likelihood_rules(spark, small).collect()}
+    assert len(found) == len(docs)
+    for (k, text), score in zip(docs, slow_scores(docs, trusted)):
+        r = found[k]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == slow_base(text)
+        assert abs(r.score - score) < 2e-6
+        assert r.kept == (not r.base_failed and r.score >= likelihood.LEAST)
+
+
+def test_held_out_labels(spark):
+    """Of labelled documents that pass the base rules, clean ones stay and junk goes."""
+    folder = "/root/testdata/sf0.01"
+    found = op10_likelihood_rules(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("NOT base_failed").collect()
+    assert all(r.kept for r in found if r.quality == 1)
+    assert sum(not r.kept for r in found if r.quality == 0) > 0.8 * sum(r.quality == 0 for r in found)
+
+
+def test_edge_rows(spark):
+    rng = random.Random(2)
+    long = " ".join(rng.choice("abcdefgh") for _ in range(100_000))
+    rows = [(1, None, 0), (2, "", 0), (3, " \x0b\x0c\r\n\n", 0), (4, "é ü\x85 # | a\nb\n b\nb", 0), (5, long, 0), (5, long, 0), (None, "a b c d e " * 3, 0), (6, "x\n\nx\n \nx", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    ids = spark.createDataFrame([(5,), (5,), (None,), (99,)], "doc_id long")
+    found = likelihood.judged(docs, ids).collect()
+    key = lambda x: (x is None, x or 0)
+    got = sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in found), key=lambda x: key(x[0]))
+    assert got == sorted([(k, *slow_base(t)) for k, t, _ in rows], key=lambda x: key(x[0]))
+    assert {r.score for r in found if r.n_words == 0} == {None}
+    assert likelihood.judged(docs.limit(0), ids).count() == 0
+    none = likelihood.judged(docs, ids.limit(0)).collect()
+    assert all(r.score is None and r.kept == (not r.base_failed) for r in none)
