@@ -100,6 +100,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key = -F.log(draw(seed, doc_id)) / heavy
     rows = docs.select(doc_id.alias("doc_id"), source.isNull().alias("unnamed"), F.coalesce(source, F.lit("")).alias("source"), size.alias("size"), key.alias("key"))
     group = ["unnamed", "source"]
+    rows = saved(rows, "drawn")  # dealing out by ranges samples its input, which would read the texts twice
     rows = saved(running(rows, group, ["key", "doc_id", "size"], {"before": "size"}), "keys")
     goals = targets(rows.groupBy(*group).agg(F.sum("size").alias("source_size")), weights, share, most)
     rows = rows.join(goals, group)
