@@ -117,7 +117,8 @@ def judged(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text
     text = column(docs, text_col).cast("string")
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("__id")).distinct().withColumn("trusted", F.lit(True))
     narrow = docs.select(column(docs, id_col).alias("doc_id"), text.alias("text"))
-    marked = narrow.join(ids, F.col("doc_id") == F.col("__id"), "left").select("text", F.col("trusted").isNotNull().alias("trusted"))
+    # The ids grow with the corpus, so they are never broadcast: one plan for every size.
+    marked = narrow.join(ids.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("text", F.col("trusted").isNotNull().alias("trusted"))
     table = ratios(bucket_counts(marked, buckets), buckets, smoothing)
     known = docs.sparkSession.sparkContext.broadcast(table)
     kind = narrow.schema["doc_id"].dataType.simpleString()
