@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowrelay.llm import decontaminate, likelihood, mixture, secrets, simhash
+from rowrelay.llm import cotraining, decontaminate, likelihood, mixture, secrets, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
 
 
+def quality_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+
+
+def op5_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return cotraining.classified(table(spark, folder, "documents"), quality_labels(spark, folder)).drop("digest")
+
+
 def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"))
 
