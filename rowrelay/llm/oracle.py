@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rowrelay.llm import licenses, warc
+
 #: The letters that are folded.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,8 +55,97 @@ FROM x
 """
 
 
+_RATIO = licenses.LEAST / (2 - licenses.LEAST)
+_TEMPLATES = ", ".join(f"('{name}', '{' '.join(licenses.words_of(text))}')" for name, text in licenses.TEMPLATES.items())
+LICENSES = rf"""
+WITH t AS (SELECT license, string_split(words, ' ') AS w, len(string_split(words, ' ')) - 1 AS m FROM (VALUES {_TEMPLATES}) v(license, words)),
+tg AS (SELECT license, m, gram, count(*) AS times
+  FROM (SELECT license, m, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT license, m, w, unnest(range(1, len(w))) AS i FROM t)) GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^a-z0-9\n]+', ' ', 'g') AS plain FROM documents),
+u AS (SELECT DISTINCT rid, unnest(list_concat(
+    list_transform(string_split(plain, chr(10)), lambda x: trim(x)),
+    list_transform(list_filter(string_split_regex(plain, '\n *\n'), lambda x: contains(x, chr(10))), lambda x: trim(regexp_replace(x, '[ \n]+', ' ', 'g'))),
+    [trim(regexp_replace(plain, '[ \n]+', ' ', 'g'))])) AS words FROM d),
+n AS (SELECT rid, words, string_split(words, ' ') AS w, length(words) - length(replace(words, ' ', '')) AS n FROM u),
+near AS (SELECT rid, words, n, license, m FROM n JOIN t ON least(n, m) >= {_RATIO!r} * greatest(n, m) AND n > 0),
+counted AS (SELECT rid, count(DISTINCT words) AS n_units FROM near GROUP BY rid),
+ug AS (SELECT rid, words, gram, count(*) AS times FROM (
+    SELECT rid, words, w[i] || ' ' || w[i + 1] AS gram
+    FROM (SELECT rid, words, w, unnest(range(1, len(w))) AS i FROM n SEMI JOIN near USING (rid, words))) GROUP BY ALL),
+shared AS (SELECT rid, words, license, sum(least(ug.times, tg.times)) AS s FROM ug JOIN tg USING (gram) GROUP BY ALL),
+dice AS (SELECT rid, license, words, round(2.0::DOUBLE * s / (n + m), 6) AS dice FROM near JOIN shared USING (rid, words, license)),
+best AS (SELECT rid, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice
+  FROM dice WHERE dice >= {licenses.LEAST} GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, CAST(coalesce(n_matches, 0) AS BIGINT) AS n_matches,
+  coalesce(licenses, '') AS licenses, coalesce(best_dice, 0.0::DOUBLE) AS best_dice
+FROM d LEFT JOIN counted USING (rid) LEFT JOIN best USING (rid)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _decoded(text: str) -> str:
+    for name, sign in warc.REFERENCES:
+        text = f"replace({text}, {_quoted(name)}, {_quoted(sign)})"
+    return text
+
+
+def _uuid(*parts: str) -> str:
+    code = "md5(" + " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + ")"
+    return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({code}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
+
+
+_CRLF = "chr(13) || chr(10)"
+_LINE = r"trim(regexp_replace({}, '[ \t\r\n\f]+', ' ', 'g'))"
+WARC = rf"""
+WITH p AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS payload, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
+r AS (SELECT *, {_uuid("'response'", "page_id", "target_uri", "source_digest")} AS refers_to,
+    {_LINE.format(_decoded(f"regexp_extract(payload, {_quoted(warc.TITLE)}, 1)"))} AS title,
+    list_transform(regexp_extract_all(payload, {_quoted(warc.LINKS)}, 1), lambda x: 'outlink: ' || {_LINE.format(_decoded("x"))}) AS links,
+    {_decoded(f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(payload, {_quoted(warc.SKIPPED)}, '', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g'), {_quoted(warc.BREAKS)}, chr(10), 'g'), {_quoted(warc.TAGS)}, '', 'g')")} AS stripped
+  FROM p),
+b AS (SELECT page_id, target_uri, source_digest, refers_to, 'metadata' AS warc_type,
+    array_to_string(list_concat(['title: ' || title, 'source-payload-digest: ' || source_digest,
+      'source-header: Content-Type: text/html; charset=utf-8', 'source-header: Content-Length: ' || strlen(payload)], links), {_CRLF}) || {_CRLF} AS block FROM r
+  UNION ALL SELECT page_id, target_uri, source_digest, refers_to, 'conversion',
+    regexp_replace(regexp_replace(regexp_replace(stripped, ' *\n[ \n]*', chr(10), 'g'), ' +', ' ', 'g'), '^[ \n]+|[ \n]+$', '', 'g') FROM r),
+c AS (SELECT *, {_uuid("warc_type", "refers_to")} AS record_id, 'sha256:' || sha256(block) AS block_digest, CAST(strlen(block) AS BIGINT) AS content_length FROM b)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, source_digest, block_digest, content_length,
+  sha256(concat_ws({_CRLF}, '{warc.VERSION}', 'WARC-Type: ' || warc_type, 'WARC-Record-ID: ' || record_id, 'WARC-Refers-To: ' || refers_to,
+    'WARC-Refers-To-Target-URI: ' || target_uri, 'WARC-Target-URI: ' || target_uri, 'WARC-Date: {warc.DATE}', 'WARC-Block-Digest: ' || block_digest,
+    'WARC-Source-Payload-Digest: ' || source_digest,
+    'Content-Type: ' || CASE WHEN warc_type = 'conversion' THEN 'text/plain; charset=utf-8' ELSE 'application/warc-fields' END,
+    'Content-Length: ' || content_length)) AS header_sha256
+FROM c
+"""
+
+TOOL_CALLS = r"""
+WITH u AS (SELECT CAST(conv_id AS VARCHAR) AS conv, turn, text, conv_id || ':' || turn AS id, conv_id || ':' || (turn - 2) AS after,
+    turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
+  FROM conversations WHERE role = 'user'),
+c AS (SELECT *, row_number() OVER (PARTITION BY conv, turn % 2, island ORDER BY turn) - 1 AS level FROM u),
+a AS (SELECT CAST(conv_id AS VARCHAR) AS conv, conv_id || ':' || (turn - 1) AS id, count(*) AS n_results, min(text) AS content
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+j AS (SELECT c.*, n_results, content FROM c LEFT JOIN a ON a.conv = c.conv AND a.id = c.id)
+SELECT conv, id, CASE WHEN n_results > 0 THEN 'linked' ELSE 'unanswered' END AS status, level, false AS cyclic, coalesce(n_results, 0) AS n_results,
+  '' AS faults, true AS valid, sha256('{"after":"' || after || '","arguments":{"chars":' || length(text) || ',"text":' || CAST(to_json(text) AS VARCHAR)
+    || ',"turn":' || turn || '},"conversation":"' || conv || '","id":"' || id || '","level":' || level || ',"name":"reply","result":'
+    || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}') AS json_sha256
+FROM j
+UNION ALL SELECT conv, id, 'orphan', NULL, false, n_results, 'no call', false,
+  sha256('{"conversation":"' || conv || '","id":"' || id || '","result":' || CAST(to_json(content) AS VARCHAR) || '}')
+FROM a ANTI JOIN c ON a.conv = c.conv AND a.id = c.id
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
+        "op1_license_scan": LICENSES,
+        "op2_warc_derivatives": WARC,
         "op4_benchmark_decontamination": DECONTAMINATION,
         "op6_source_mixing": MIXING,
+        "op9_tool_call_linking": TOOL_CALLS,
     }

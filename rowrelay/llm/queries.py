@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowrelay.llm import cotraining, decontaminate, likelihood, mixture, secrets, simhash
+from rowrelay.llm import cotraining, decontaminate, licenses, likelihood, mixture, secrets, simhash, templates, toolcalls, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    names = F.array_join(F.array_distinct(F.transform("matches", lambda m: m["license"])), ",")
+    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m["dice"])), F.lit(0.0))
+    return found.select("doc_id", "n_units", F.size("matches").cast("long").alias("n_matches"), names.alias("licenses"), best.alias("best_dice"))
+
+
+def op2_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.derivatives(warc.responses(table(spark, folder, "pages")))
+    return found.withColumn("header_sha256", F.sha2("header", 256)).drop("header", "block")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -35,10 +47,20 @@ def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"))
 
 
+def op7_site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.extracted(table(spark, folder, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents")).drop("digest")
 
 
+def op9_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = toolcalls.exchanges(table(spark, folder, "conversations"))
+    found = toolcalls.linked(calls, results, toolcalls.REPLY)
+    return found.withColumn("json_sha256", F.sha2("json", 256)).drop("json")
+
+
 def op10_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = table(spark, folder, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
     return likelihood.judged(table(spark, folder, "documents"), trusted)
