@@ -55,26 +55,37 @@ def words_of(text: str) -> list[str]:
 
 
 def _known(templates: dict[str, str]) -> Column:
-    """The templates as one literal array: id, number of bigrams, and how often each one occurs."""
+    """The templates as one literal array: id, number of bigrams, how often each occurs, and the most that one does."""
     rows = []
     for name, text in sorted(templates.items()):
         words = words_of(text)
         grams = Counter(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))
         if grams:
             each = F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(n).alias("times")) for g, n in sorted(grams.items())])
-            rows.append(F.struct(F.lit(name).alias("license"), F.lit(len(words) - 1).alias("size"), each.alias("grams")))
+            names = F.array(*[F.lit(g) for g in sorted(grams)])
+            rows.append(F.struct(F.lit(name).alias("license"), F.lit(len(words) - 1).alias("size"), each.alias("grams"), names.alias("names"), F.lit(max(grams.values())).alias("most")))
     if not rows:
         raise ValueError("no template has two words")
     return F.array(*rows)
 
 
-def units(text: Column) -> Column:
-    """The normalised parts of a text that may be a licence: each line, each paragraph of several lines, and all of it."""
-    plain = F.regexp_replace(F.translate(text, UPPER, LOWER), r"[^a-z0-9\n]+", " ")
+def units(rows: DataFrame) -> DataFrame:
+    """(doc_id, units) from (doc_id, text): the normalised parts of a text that may be a licence.
+
+    They are each line, each paragraph of several lines, and all of it, as structs of
+    words and size, the number of bigrams; parts without words are left out. Each step
+    is a projection of its own, as what stands in one expression twice is computed twice.
+    """
+    plain = F.lower(F.regexp_replace("text", r"[^A-Za-z0-9\n]+", " "))
+    rows = rows.select("doc_id", plain.alias("plain"))
+    lines = F.filter(F.transform(F.split("plain", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     flat = lambda part: F.trim(F.regexp_replace(part, "[ \n]+", " "))
-    paragraphs = F.filter(F.split(plain, "\n *\n"), lambda p: F.contains(p, F.lit("\n")))
-    parts = F.concat(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), F.transform(paragraphs, flat), F.array(flat(plain)))
-    return F.array_distinct(parts)
+    blank = F.contains("plain", F.lit("\n\n")) | F.contains("plain", F.lit("\n \n"))
+    several = F.transform(F.filter(F.split("plain", "\n *\n"), lambda p: F.contains(p, F.lit("\n"))), flat)
+    rows = rows.select("doc_id", lines.alias("lines"), F.when(blank, several).otherwise(F.array().cast("array<string>")).alias("paragraphs"))
+    parts = F.array_distinct(F.concat("lines", "paragraphs", F.array(F.array_join("lines", " "))))
+    gaps = lambda u: F.octet_length(u) - F.octet_length(F.replace(u, F.lit(" "), F.lit("")))
+    return rows.select("doc_id", F.transform(parts, lambda u: F.struct(u.alias("words"), gaps(u).alias("size"))).alias("units"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
@@ -93,23 +104,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     ratio = least / (2 - least)
     text = F.coalesce(column(docs, text_col).cast("string"), F.lit(""))
     sizes = [len(words_of(t)) - 1 for t in (TEMPLATES if templates is None else templates).values()]
-    low, high = min(s for s in sizes if s > 0) * ratio, max(sizes) / ratio
-    bigrams = lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit("")))
+    low, high = min(n for n in sizes if n > 0) * ratio, max(sizes) / ratio
     near = lambda n, m: (F.least(n, m) >= ratio * F.greatest(n, m)) & (n > 0)
-    some = F.filter(units(text), lambda u: (bigrams(u) >= low) & (bigrams(u) <= high))
-    some = F.filter(some, lambda u: F.exists(known, lambda t: near(bigrams(u), t["size"])))
-    rows = docs.select(column(docs, id_col).alias("doc_id"), some.alias("units"))
+    rows = units(docs.select(column(docs, id_col).alias("doc_id"), text.alias("text")))
+    some = F.filter("units", lambda u: (u["size"] >= low) & (u["size"] <= high))
+    some = F.filter(some, lambda u: F.exists(known, lambda t: near(u["size"], t["size"])))
+    rows = rows.select("doc_id", some.alias("units"))
 
     def compared(u: Column) -> Column:
-        words = F.split(u, " ")
-        grams = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        paired = F.struct(u.alias("words"), F.size(grams).alias("size"), grams.alias("grams"))
+        words = F.split(u["words"], " ")
+        grams = F.zip_with(F.slice(words, 1, u["size"]), F.slice(words, 2, u["size"]), lambda a, b: F.concat(a, F.lit(" "), b))
 
-        def one(p: Column, t: Column) -> Column:
-            shared = F.aggregate(t["grams"], F.lit(0), lambda total, g: total + F.least(g["times"], F.size(F.filter(p["grams"], lambda x: x == g["gram"]))))
-            return F.struct(t["license"].alias("license"), F.round(2.0 * shared / (p["size"] + t["size"]), 6).alias("dice"), p["words"].alias("words"))
+        def one(own: Column, t: Column) -> Column:
+            shared = F.aggregate(t["grams"], F.lit(0), lambda total, g: total + F.least(g["times"], F.size(F.filter(own, lambda x: x == g["gram"]))))
+            return F.struct(t["license"].alias("license"), F.round(2.0 * shared / (u["size"] + t["size"]), 6).alias("dice"), u["words"].alias("words"))
 
-        return F.flatten(F.transform(F.array(paired), lambda p: F.transform(F.filter(known, lambda t: near(p["size"], t["size"])), lambda t: one(p, t))))
+        # The different bigrams in common bound the coefficient, before they are counted.
+        hopeful = lambda own, t: 2 * F.size(F.array_intersect(own, t["names"])) * t["most"] >= least * (u["size"] + t["size"]) - 1e-6
+        chosen = lambda own: F.filter(F.filter(known, lambda t: near(u["size"], t["size"])), lambda t: hopeful(own, t))
+        return F.flatten(F.transform(F.array(grams), lambda own: F.transform(chosen(own), lambda t: one(own, t))))
 
     matches = F.filter(F.flatten(F.transform("units", compared)), lambda m: m["dice"] >= least)
-    return rows.select("doc_id", F.size("units").cast("long").alias("n_units"), F.array_sort(F.transform(matches, lambda m: F.struct(m["license"].alias("license"), m["dice"].alias("dice"), m["words"].alias("words")))).alias("matches"))
+    return rows.select("doc_id", F.size("units").cast("long").alias("n_units"), F.array_sort(matches).alias("matches"))
