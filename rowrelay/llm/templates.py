@@ -158,17 +158,22 @@ def _template_of(element: Element) -> bool:
     return element.tag in BLOCK and element.tag not in ("html", "body", "head", "title", "article", "main", "hr") and bool(element.parts) and not (element.kind and element.tag in PROSE)
 
 
-def subtrees(page: str) -> tuple[int, list[int]]:
-    """A hash of the page's own text, and the hashes of the subtrees that may be a template."""
+def _on_site(code: int, site: str) -> int:
+    """One number for a subtree of a site."""
+    return xxhash.xxh3_64_intdigest(code.to_bytes(8, "big") + site.encode("utf-8", "replace"))
+
+
+def subtrees(page: str, site: str = "") -> tuple[int, list[int]]:
+    """A hash of the page's own text, and those of the site's subtrees that may be a template."""
     blocks, every = parse(page)
-    own = xxhash.xxh3_64_intdigest("\n".join(_chosen(blocks, every, frozenset())).encode("utf-8", "replace"))
-    return own, sorted({e.code for e in every if _template_of(e)})
+    own = xxhash.xxh3_64_intdigest("\n".join(_chosen(blocks, every, "", frozenset())).encode("utf-8", "replace"))
+    return own, sorted({_on_site(e.code, site) for e in every if _template_of(e)})
 
 
-def _chosen(blocks: list[tuple[str, Element]], every: list[Element], templates: frozenset[int]) -> list[str]:
+def _chosen(blocks: list[tuple[str, Element]], every: list[Element], site: str, templates: frozenset[int]) -> list[str]:
     if templates:
         for element in every:  # outer elements come before inner ones
-            element.dropped |= element.above.dropped or element.code in templates and _template_of(element)
+            element.dropped |= element.above.dropped or _template_of(element) and _on_site(element.code, site) in templates
     left = [(text, element.kind) for text, element in blocks if not element.dropped]
     for kind in ("article", "main"):
         if any(k == kind for _, k in left):
@@ -176,9 +181,9 @@ def _chosen(blocks: list[tuple[str, Element]], every: list[Element], templates:
     return [t for t, _ in left]
 
 
-def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
+def main_text(page: str, site: str = "", templates: frozenset[int] = frozenset()) -> str:
     """The blocks of a page's article, else of its main element, else of all, without what is dropped."""
-    return "\n".join(_chosen(*parse(page), templates))
+    return "\n".join(_chosen(*parse(page), site, templates))
 
 
 def _signed(number: int) -> int:
@@ -207,25 +212,26 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, codes = [], []
-            for value in batch.column(3):
-                page, found = subtrees(value.as_py() or "")
+            for value, site in zip(batch.column(3), batch.column(2).to_pylist(), strict=True):
+                page, found = subtrees(value.as_py() or "", site)
                 own.append(_signed(page))
-                codes.append([_signed(c) for c in found])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(own, pa.int64()), pa.array(codes, pa.list_(pa.int64()))], names=["page_id", "digest", "host", "own", "codes"])
+                codes.append([_signed(c) for c in found] if site else [])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(own, pa.int64()), pa.array(codes, pa.list_(pa.int64()))], names=["page_id", "digest", "own", "codes"])
 
-    hashed = narrow.select("page_id", "digest", host.alias("host"), "html").mapInArrow(hash_all, f"page_id {kind}, digest long, host string, own long, codes array<long>")
+    hashed = narrow.select("page_id", "digest", host.alias("host"), "html").mapInArrow(hash_all, f"page_id {kind}, digest long, own long, codes array<long>")
     hashed = saved(hashed, "subtrees")
-    each = hashed.where("host <> ''").select("page_id", "digest", "host", "own", F.explode("codes").alias("code"))
-    often = each.groupBy("host", "code", "own").agg(F.count("*").alias("pages")).groupBy("host", "code").agg(F.count("*").alias("texts"))
-    often = often.where(F.col("texts") >= min_pages).select("host", "code")
-    gone = each.join(often, ["host", "code"]).groupBy("page_id", "digest").agg(F.collect_set("code").alias("gone"))
+    each = hashed.select("page_id", "digest", "own", F.explode("codes").alias("code"))  # a code is a subtree of a host
+    often = each.groupBy("code", "own").agg(F.lit(1).alias("one")).groupBy("code").agg(F.count("*").alias("texts"))
+    often = often.where(F.col("texts") >= min_pages).select("code")
+    gone = each.select("page_id", "digest", "code").join(often, "code").groupBy("page_id", "digest").agg(F.collect_set("code").alias("gone"))
     gone = gone.select(F.col("page_id").alias("__id"), F.col("digest").alias("__of"), "gone")
     same = F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__of"))
-    joined = narrow.join(gone.hint("merge"), same, "left").select("page_id", "url", "html", "gone")
+    joined = narrow.join(gone.hint("merge"), same, "left").select("page_id", "url", "html", host.alias("host"), "gone")
 
     def extract_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py() or "", frozenset(c & (1 << 64) - 1 for c in g.as_py() or ())) for h, g in zip(batch.column(2), batch.column(3), strict=True)]
+            rows = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+            texts = [main_text(page.as_py() or "", site, frozenset(c & (1 << 64) - 1 for c in codes or ())) for page, site, codes in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     out = joined.mapInArrow(extract_all, f"page_id {kind}, url {link_kind}, text string")
