@@ -181,9 +181,16 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
     return rows.select("doc_id", "digest", "content", "meta").mapInArrow(run, f"doc_id {kind}, digest long, p_content double, p_meta double, score double")
 
 
-def _first(rows: DataFrame, most: int) -> DataFrame:
-    """At most so many rows, those with the smallest hashes of id and text: the same in every run."""
-    return rows.withColumn("draw", F.xxhash64("doc_id", "digest")).orderBy("draw", "doc_id", "digest").limit(most)
+def _first(rows: DataFrame, total: int, most: int) -> DataFrame:
+    """At most so many of ``total`` rows, those with the smallest hashes of id and text: the same in every run.
+
+    Rows are drawn by their hash first, about a tenth more than are wanted, so that all
+    tasks together send no more than that to the driver.
+    """
+    drawn = rows.withColumn("draw", F.xxhash64("doc_id", "digest"))
+    if total > most:
+        drawn = drawn.where(F.col("draw") < int(-(2**63) + 2**64 * min(1.0, 1.1 * most / total)))
+    return drawn.orderBy("draw", "doc_id", "digest").limit(most)
 
 
 def _sure(rows: DataFrame, model: Model, sure: float, pseudo: int) -> list:
@@ -193,10 +200,12 @@ def _sure(rows: DataFrame, model: Model, sure: float, pseudo: int) -> list:
     """
     blank = rows.where("label IS NULL")
     scored = saved(_scored(blank, model).distinct(), "scored")
+    sides = [F.col(p) >= sure if given else F.col(p) <= 1 - sure for p in ("p_content", "p_meta") for given in (0, 1)]
+    totals = iter(scored.agg(*[F.count_if(side) for side in sides]).first())
     chosen = None
     for giver, p in enumerate((F.col("p_content"), F.col("p_meta"))):
         for given, wanted in ((0, p <= 1 - sure), (1, p >= sure)):
-            own = _first(scored.where(wanted), pseudo).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), F.lit(giver).alias("giver"), F.lit(given).alias("given"))
+            own = _first(scored.where(wanted), next(totals), pseudo).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), F.lit(giver).alias("giver"), F.lit(given).alias("given"))
             chosen = own if chosen is None else chosen.unionByName(own)
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__of"))
     found = blank.join(F.broadcast(chosen), same).dropDuplicates(["doc_id", "digest", "giver", "given"])
@@ -210,7 +219,8 @@ def train(rows: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO, round
     ``pseudo`` pseudo-labelled rows of each label from each view, chosen by hash. The
     search for documents that a view is sure of covers all of them.
     """
-    marked = _first(rows.where("label IS NOT NULL"), labelled).collect()
+    known = rows.where("label IS NOT NULL")
+    marked = _first(known, known.count(), labelled).collect()
     truth = np.array([r.label for r in marked], np.int64)
     if len(set(truth.tolist())) < 2:
         return None
