@@ -20,14 +20,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is the session's ``spark.checkpoint.dir``. Only a local session without that
-    setting, as in tests, gets a temporary folder, which is then set for the session.
+    setting, as in tests, gets a temporary folder, which is then set for the context.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rowrelay-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
