@@ -120,7 +120,7 @@ def main() -> None:
         "encode": ("rows", encoded(spark, staged)),
         "encode_orders": ("orders", encode(full_snapshot())),
         "table_diff": ("orders", difference()),
-        "diff_applied": ("orders", apply_changes(old, difference(), ["id"])),
+        "diff_applied": ("orders", apply_changes(old, difference(), ["id"], "test", "tb_order")),
         "replay": ("records", replay(decode(wire, IMAGE))),
     }
     jobs = {name: (unit, partial(noop, frame)) for name, (unit, frame) in plans.items()}

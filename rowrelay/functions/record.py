@@ -63,13 +63,19 @@ def decode(wire: DataFrame, image: str) -> DataFrame:
 
 
 def _id_number(text: Column, name: str) -> Column:
-    """An id as a whole number; a fractional or exponent form is cut toward zero."""
-    plain = text.cast("decimal(38,0)")
-    cut = text.cast("decimal(38,10)")
+    """An id as a whole number; a fractional or exponent form is cut toward zero.
+
+    An id of more than 38 digits, or 28 before a fraction or exponent, or one that is
+    no number, fails the job with an error that names it.
+    """
+    plain = text.try_cast("decimal(38,0)")
+    cut = text.try_cast("decimal(38,10)")
     cut = F.when(cut < 0, F.ceil(cut)).otherwise(F.floor(cut)).cast("decimal(38,0)")
     number = F.when(text.rlike("[.eE]"), cut).otherwise(plain)
     missing = F.raise_error(F.lit(f"change record without '{name}' in its row image"))
-    return F.when(F.coalesce(text, F.lit("")) == "", missing.cast("decimal(38,0)")).otherwise(number)
+    unfit = F.raise_error(F.concat(F.lit(f"'{name}' is no number of at most 38 digits: "), text))
+    empty = F.coalesce(text, F.lit("")) == ""
+    return F.when(empty, missing.cast("decimal(38,0)")).when(number.isNull(), unfit.cast("decimal(38,0)")).otherwise(number)
 
 
 def parse(

@@ -54,12 +54,16 @@ def convert_row(
 
     ``sql_types`` maps column names to declared SQL types, in any case; columns it
     leaves out use the type implied by the Spark type. Types without a rule pass
-    through unchanged.
+    through unchanged. A whole DECIMAL of 20 digits, as which an unsigned BIGINT is
+    read, must be declared: as a DECIMAL it would lose digits.
     """
     declared = {name: sql_type_name(t) for name, t in (sql_types or {}).items()}
     unknown = set(declared) - set(df.columns)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
+    wide = [f.name for f in df.schema.fields if f.dataType == T.DecimalType(20, 0) and f.name not in declared]
+    if wide:
+        raise ValueError(f"declare the SQL type of {wide}: DECIMAL(20) or BIGINT UNSIGNED")
     return df.select(
         *[
             convert_column(

@@ -28,10 +28,17 @@ def _newest(rows: DataFrame, keys: Sequence[str], position: Sequence[Column]) ->
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def _no_truncate(op: Column) -> Column:
+    """The operation; a truncate has no row image, so it can't be replayed row by row."""
+    refused = F.raise_error(F.lit("a truncate can't be replayed; replay the records after it"))
+    return F.when(op == "t", refused.cast("string")).otherwise(op)
+
+
 def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """The last change of each row: ``db``, ``table``, the keys, ``op`` and ``after``.
 
-    Records without an operation are schema changes and do not take part.
+    Records without an operation are schema changes and do not take part. A truncate
+    fails the job.
     """
     place = ("_log", "_pos", "_row")
     rows = changes.where(F.col("op").isNotNull()).select(
@@ -39,7 +46,7 @@ def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame
         F.col("source.table").alias("table"),
         *[_key(k).alias(f"_key_{k}") for k in keys],
         *[c.alias(n) for c, n in zip(position_order(), place)],
-        "op",
+        _no_truncate(F.col("op")).alias("op"),
         "after",
     )
     names = ["db", "table", *[f"_key_{k}" for k in keys]]
@@ -55,6 +62,7 @@ def replay_records(records: DataFrame) -> DataFrame:
     rows = records.where(F.col("op").isNotNull()).withColumn(
         "_key", F.coalesce("row_id", "before_id")
     )
+    rows = rows.withColumn("op", _no_truncate(F.col("op")))
     last = _newest(rows, ("db", "table", "_key"), position_order(""))
     return last.where(F.col("op") != "d").drop("_key")
 
@@ -64,14 +72,18 @@ def replay(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     return last_changes(changes, keys).where(F.col("op") != "d").select("db", "table", "after")
 
 
-def apply_changes(rows: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A table's rows after one table's ``changes``, all of them later than the rows.
+def apply_changes(
+    rows: DataFrame, changes: DataFrame, keys: Sequence[str], db: str, table: str
+) -> DataFrame:
+    """The rows of ``db.table`` after its ``changes``, all of them later than the rows.
 
+    Changes of other tables in the same log are left out.
     Rows without a change pass through an anti join, so a few changes to a huge
     table are joined by broadcast (chosen by Spark from the size it measures) and
     the table itself is not shuffled.
     """
-    last = last_changes(changes, keys)
+    own = (F.col("source.db") == db) & (F.col("source.table") == table)
+    last = last_changes(changes.where(own), keys)
     same = [F.col(f"_old.`{k}`") == F.col(f"_last.`_key_{k}`") for k in keys]
     kept = rows.alias("_old").join(last.alias("_last"), same, "left_anti")
     return kept.unionByName(last.where(F.col("op") != "d").select("after.*"))

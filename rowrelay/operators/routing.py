@@ -11,10 +11,8 @@ from rowrelay import fixed
 from rowrelay.functions.values import wrap_to_int
 from rowrelay.options import Options, check_partitions
 
-# Above this many topics a partition count is looked up by join instead of by expression.
-TOPIC_MAP_LIMIT = 64
-# A topic map this long is still far below Spark's own broadcast limits.
-TOPIC_BROADCAST_LIMIT = 100_000
+# The map of partition counts is broadcast; one this long takes about 100 MB.
+TOPIC_LIMIT = 1_000_000
 
 
 def topic(db: Column, table: Column) -> Column:
@@ -39,7 +37,12 @@ def with_topic(records: DataFrame, opts: Options = Options()) -> DataFrame:
 
 
 def with_partition(records: DataFrame, opts: Options = Options()) -> DataFrame:
-    """Add ``partition``, given ``topic`` and ``row_id``."""
+    """Add ``partition``, given ``topic`` and ``row_id``.
+
+    A map of counts, an option that the driver holds already, is broadcast at every
+    size, so records are never shuffled by topic; a map of over ``TOPIC_LIMIT`` topics
+    is refused.
+    """
     check_partitions(opts.partitions)
     chooser = opts.partitioner or partition
     row_id = F.col("row_id")
@@ -50,13 +53,9 @@ def with_partition(records: DataFrame, opts: Options = Options()) -> DataFrame:
         return records.withColumn("partition", chooser(row_id, F.lit(counts)))
     if not counts:
         return records.withColumn("partition", chooser(row_id, default))
-    if len(counts) <= TOPIC_MAP_LIMIT:
-        lookup = F.create_map(*[F.lit(v) for item in counts.items() for v in item])
-        count = F.coalesce(F.try_element_at(lookup, F.col("topic")), default)
-        return records.withColumn("partition", chooser(row_id, count))
-    table = records.sparkSession.createDataFrame(list(counts.items()), "topic string, _count int")
-    if len(counts) <= TOPIC_BROADCAST_LIMIT:
-        table = F.broadcast(table)
+    if len(counts) > TOPIC_LIMIT:
+        raise ValueError(f"partition counts of {len(counts)} topics; at most {TOPIC_LIMIT} are broadcast")
+    table = F.broadcast(records.sparkSession.createDataFrame(list(counts.items()), "topic string, _count int"))
     columns = [*records.columns, "partition"]
     count = F.coalesce(F.col("_count"), default)
     joined = records.join(table, "topic", "left")

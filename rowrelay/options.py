@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
@@ -72,6 +73,10 @@ class Options:
     def __post_init__(self) -> None:
         check_partitions(self.partitions)
         check_partitions(self.default_partitions)
+        for name in ("start_mode", "start_timestamp", "port"):
+            value = getattr(self, name)
+            if isinstance(value, bool) or not isinstance(value, int):
+                raise ValueError(f"{name} must be a whole number, got {value!r}")
         if self.sink_parallelism is not None and self.sink_parallelism < 1:
             raise ValueError("sink_parallelism must be at least 1")
         if self.start_mode == fixed.START_TIMESTAMP and self.start_timestamp == 0:
@@ -115,4 +120,6 @@ class Options:
         }
         texts = {"job_id", "username", "password", "databases", "tables"}
         values = {k: str(v) if k in texts else v for k, v in found.items() if v is not None}
+        if values.get("sink_parallelism") == 1 and "order" not in extra:
+            warnings.warn("parallelism 1 does not order records; ask for order='partition'", stacklevel=2)
         return cls(**{**values, **extra})

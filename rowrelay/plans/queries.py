@@ -226,7 +226,7 @@ def table_diff(spark: SparkSession, folder: str) -> DataFrame:
 def diff_applied(spark: SparkSession, folder: str) -> DataFrame:
     """The old version with the difference applied is the new version."""
     old, _ = order_versions(spark, folder)
-    rows = apply_changes(old, _order_diff(spark, folder), ["id"])
+    rows = apply_changes(old, _order_diff(spark, folder), ["id"], "test", "tb_order")
     return rows.withColumn("price", V.decimal_to_double(F.col("price")))
 
 

@@ -16,7 +16,9 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_text(spark: SparkSession, path: str, opts: Options = Options()) -> DataFrame:
-    """A folder of text files as a stream."""
+    """A folder of text files as a stream. Files can't be limited by records."""
+    if opts.max_batch_records:
+        raise ValueError("a text stream can't apply max_batch_records; use max_batch_files or max_batch_bytes")
     reader = spark.readStream.format("text")
     if opts.max_batch_files:
         reader = reader.option("maxFilesPerTrigger", opts.max_batch_files)
@@ -30,13 +32,19 @@ def kafka_start_options(opts: Options) -> dict[str, str]:
     if opts.start_mode == fixed.START_INITIAL:
         return {"startingOffsets": "earliest"}
     if opts.start_mode == fixed.START_TIMESTAMP:
-        return {"startingTimestamp": str(opts.start_timestamp)}
+        # A partition without a record that late starts at its end instead of failing.
+        return {
+            "startingTimestamp": str(opts.start_timestamp),
+            "startingOffsetsByTimestampStrategy": "latest",
+        }
     if opts.start_mode in (fixed.START_EARLIEST, fixed.START_SPECIFIC):
         warnings.warn(f"start mode {opts.start_mode} is treated as latest", stacklevel=2)
     return {"startingOffsets": "latest"}
 
 
 def kafka_source_options(opts: Options, topics: str) -> dict[str, str]:
+    if opts.max_batch_files or opts.max_batch_bytes:
+        raise ValueError("a Kafka stream can only apply max_batch_records")
     options = {
         "kafka.bootstrap.servers": opts.brokers,
         "subscribe": topics,
@@ -49,6 +57,14 @@ def kafka_source_options(opts: Options, topics: str) -> dict[str, str]:
 
 
 def stream_kafka(spark: SparkSession, opts: Options, topics: str) -> DataFrame:
-    """Topics that carry change records. Needs Spark's Kafka package."""
+    """Topics that carry change records. Needs Spark's Kafka package.
+
+    The records without a value that follow deletes in compacted topics are left out.
+    """
     stream = spark.readStream.format("kafka").options(**kafka_source_options(opts, topics)).load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    return with_values(stream)
+
+
+def with_values(stream: DataFrame) -> DataFrame:
+    """The text of each message that has a value."""
+    return stream.where(F.col("value").isNotNull()).select(F.col("value").cast("string").alias("value"))

@@ -29,6 +29,8 @@ def jdbc_options(
         "upperBound": str(upper),
         "numPartitions": str(partitions),
         "fetchsize": "10000",
+        # Else a DATETIME is read as a point in time and moved to another zone.
+        "preferTimestampNTZ": "true",
     }
 
 

@@ -12,7 +12,6 @@ from rowrelay.operators.ordering import exclusive_order, gather, range_order, sp
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
-from rowrelay.streaming.folders import shared_folder
 
 OBSERVATION = "deliveries"
 
@@ -21,8 +20,14 @@ _batch_counters: dict[str, dict[str, int]] = {}
 
 
 def checkpoint_location(wire: DataFrame, opts: Options) -> str:
-    """One folder per job id. Spark keeps it when a query stops, so a job can resume."""
-    root = opts.checkpoint_dir or shared_folder(wire.sparkSession)
+    """One folder per job id. Spark keeps it when a query stops, so a job can resume.
+
+    It is in the option ``checkpoint_dir`` or the session's ``spark.checkpoint.dir``.
+    Without either the job is refused: a new folder each time would deliver all again.
+    """
+    root = opts.checkpoint_dir or wire.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("a streaming job needs checkpoint_dir or spark.checkpoint.dir to resume from")
     return f"{root.rstrip('/')}/{opts.job_id}"
 
 
@@ -40,9 +45,9 @@ def start_stream(
     watermark; its checkpoint holds source offsets only. Without an order each
     micro-batch is one stage from source to target. With an order every micro-batch
     is sorted by log position first; micro-batches run one after another, so the
-    order holds across them. A limit on the micro-batch lets one task take a topic
-    partition, which a live target needs; without a limit, files are written by
-    position range.
+    order holds across them. Files are written by position range. A live target needs
+    one task for a topic partition and so a limit on the micro-batch, one that the
+    source can apply (sources refuse others).
 
     Files are written batch by batch rather than by Spark's file stream sink. That
     sink keeps a list of all its files, which grows with the job's life, and hides
@@ -51,12 +56,11 @@ def start_stream(
     routed = deliveries(wire, opts)
     counters: dict[str, int] = {}
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    if opts.order == "partition" and opts.bounded_batches:
+    arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
+    if opts.order == "partition" and target.single_writer:
+        if not opts.bounded_batches:
+            raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
         arrange = exclusive_order
-    elif opts.order == "partition" and target.single_writer:
-        raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
-    else:
-        arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         # Counted behind the exchange: a range exchange reads its input twice.

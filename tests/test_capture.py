@@ -11,7 +11,7 @@ from rowrelay.functions.position import is_after
 from rowrelay.functions.record import parse
 from rowrelay.operators import capture
 from rowrelay.operators.filters import include, include_pattern
-from rowrelay.operators.replay import apply_changes, last_changes, replay
+from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
 from rowrelay.plans.tablelog import change_log, order_versions
 from rowrelay.sources.tables import read_parquet
 
@@ -164,14 +164,14 @@ def test_diff_on_several_keys(spark):
     new = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "a", 1)], "k int, l string, v int")
     changes = capture.diff(old, new, ["k", "l"], "d", "t", mark=Position(1, 1))
     assert sorted(r.op for r in changes.collect()) == ["c", "u"]
-    assert rows_of(apply_changes(old, changes, ["k", "l"])) == rows_of(new)
+    assert rows_of(apply_changes(old, changes, ["k", "l"], "d", "t")) == rows_of(new)
 
 
 def test_diff_applied_gives_the_other_version(spark, small):
     old, new = order_versions(spark, small)
     for a, b in ((old, new), (new, old)):
         changes = capture.diff(a, b, ["id"], "test", "tb_order", mark=MARK)
-        assert rows_of(apply_changes(a, changes, ["id"])) == rows_of(b)
+        assert rows_of(apply_changes(a, changes, ["id"], "test", "tb_order")) == rows_of(b)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -186,7 +186,9 @@ def test_diff_and_apply_of_random_tables(spark, seed):
 
     old, new = table(), table()
     changes = capture.diff(old, new, ["id"], "d", "t", mark=MARK)
-    assert rows_of(apply_changes(old, changes, ["id"])) == rows_of(new)
+    other = capture.diff(new, old, ["id"], "d", "other", mark=MARK)
+    both = changes.unionByName(other)
+    assert rows_of(apply_changes(old, both, ["id"], "d", "t")) == rows_of(new)
     before, after = ({r[0]: tuple(r) for r in t.collect()} for t in (old, new))
     changed = sum(before.get(k) != after.get(k) for k in before.keys() | after.keys())
     assert changes.count() == changed
@@ -237,3 +239,11 @@ def test_records_without_a_place_in_the_log(spark):
     assert ids(capture.from_timestamp(log, 50)) == [1, 2]
     assert sorted(tuple(r.after) for r in replay(log).collect()) == [(1, "new"), (2, "row")]
     assert capture.high_water_mark(log) == Position(1, 5, 0)
+
+
+def test_truncates_are_refused(spark):
+    """A truncate has no row image; replaying around it would keep the rows that it ended."""
+    changes = capture.diff(*[spark.createDataFrame(r, "id int, v int") for r in ([(1, 1)], [(1, 2)])], ["id"], "d", "t", mark=MARK)
+    for frame in (replay(changes.withColumn("op", F.lit("t"))), replay_records(changes.select("op", "source.file", "source.pos", "source.row", "source.db", "source.table", F.lit(1).alias("row_id"), F.lit(1).alias("before_id"), F.lit("t").alias("value")).withColumn("op", F.lit("t")))):
+        with pytest.raises(Exception, match="truncate"):
+            frame.collect()

@@ -60,3 +60,15 @@ def test_defaults():
 def test_wrong_options(wrong):
     with pytest.raises(ValueError):
         Options(**wrong)
+
+
+@pytest.mark.parametrize("name", ["start_mode", "start_timestamp", "port"])
+@pytest.mark.parametrize("value", ["4", 4.0, True, None])
+def test_numbers_must_be_numbers(name, value):
+    with pytest.raises(ValueError, match=name):
+        Options(**{name: value})
+
+
+def test_parallelism_of_one_warns():
+    with pytest.warns(UserWarning, match="order"):
+        Options.from_mapping({"sink": {"kafka": {"parallelism": 1}}})

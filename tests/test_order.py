@@ -155,6 +155,6 @@ def test_sequence_of_a_snapshot_and_its_changes(spark):
 
 def test_cluster_settings():
     conf = cluster_conf(100 * 2**40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 40000
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // 2**28
     assert int(cluster_conf(10 * 2**30, 100)["spark.sql.shuffle.partitions"]) == 200
     assert int(cluster_conf(2**40, 100)["spark.sql.shuffle.partitions"]) == 4096

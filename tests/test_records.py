@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowrelay import Options, deliveries
 from rowrelay.functions.record import decode, encode, parse
 from rowrelay.functions.values import wrap_to_int
+from rowrelay.operators import routing
 from rowrelay.sinks.records import kafka_record, pulsar_record
 
 SOURCE = {"db": "test", "table": "t"}
@@ -166,7 +167,8 @@ def test_records_are_parsed_once(wire):
 
 def test_routing_has_no_shuffle(wire):
     frame = deliveries(wire(golden.text()), Options(databases="test", partitions={"a": 3}))
-    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
 
 
 def test_wrap_matches_integer_arithmetic(spark):
@@ -181,3 +183,25 @@ def test_position_and_before_fields(wire):
     row = parse(wire(golden.text()), position=True, before=True).first()
     assert (row.file, row.pos, row.row, row.source_ts_ms) == ("host-bin.000005", 909, 0, 1694186699000)
     assert int(row.before_id) == 1 and row.op == "u"
+
+
+def test_very_many_topics_are_looked_up_without_a_shuffle(wire):
+    counts = {f"mysqlbinlog_d_t{i}": 1 + i % 7 for i in range(120_000)}
+    text = '{"op":"c","after":{"id":12},"source":{"db":"d","table":"t119998"}}'
+    found = deliveries(wire(text), Options(partitions=counts, default_partitions=5))
+    assert found.first().partition == 12 % counts["mysqlbinlog_d_t119998"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_too_many_topics_are_refused(wire, monkeypatch):
+    monkeypatch.setattr(routing, "TOPIC_LIMIT", 2)
+    with pytest.raises(ValueError, match="3 topics"):
+        deliveries(wire("{}"), Options(partitions={"a": 1, "b": 1, "c": 1}))
+
+
+@pytest.mark.parametrize("number", ["1" * 39, "1" * 60, '"x1"'])
+def test_ids_that_do_not_fit_are_named(wire, number):
+    text = '{"op":"c","after":{"id":%s},"source":{"db":"d","table":"t"}}' % number
+    with pytest.raises(Exception, match="no number of at most 38 digits: " + number.strip('"')):
+        deliveries(wire(text)).collect()

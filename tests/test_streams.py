@@ -5,6 +5,7 @@ import json
 import os
 from inspect import signature
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -17,9 +18,10 @@ from rowrelay.operators.replay import replay
 from rowrelay.plans.tablelog import IMAGE, change_log, event_log, wire_log
 from rowrelay.sinks.messages import MessageSource
 from rowrelay.sinks.targets import Target, files, kafka, messages, pulsar
-from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text
+from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text, with_values
 from rowrelay.sources.tables import bounds_options, jdbc_options
 from rowrelay.streaming.folders import new_folder, shared_folder
+from rowrelay.streaming.job import checkpoint_location
 
 
 @pytest.fixture
@@ -232,8 +234,10 @@ def test_connector_options(opts):
     assert start[0]["startingOffsets"] == "earliest"
     assert start[2]["startingOffsets"] == "latest"
     assert start[4]["startingTimestamp"] == "7" and "startingOffsets" not in start[4]
+    assert start[4]["startingOffsetsByTimestampStrategy"] == "latest"
     assert kafka_source_options(job.with_(max_batch_records=100), "t")["maxOffsetsPerTrigger"] == "100"
     jdbc = jdbc_options(job, "test.tb_order", "id", 1, 900, 8)
+    assert jdbc["preferTimestampNTZ"] == "true"
     assert jdbc["url"].startswith("jdbc:mysql://h:3306/")
     assert (jdbc["partitionColumn"], jdbc["lowerBound"], jdbc["upperBound"], jdbc["numPartitions"]) == ("id", "1", "900", "8")
     assert bounds_options(job, "test.tb_order", "id")["query"] == "SELECT min(id) AS lower, max(id) AS upper FROM test.tb_order"
@@ -252,6 +256,27 @@ def test_kafka_record_columns(spark, source, opts):
     assert pulsar(opts).record(deliveries(read_text(spark, source), opts)).columns == ["__topic", "value"]
 
 
+@pytest.mark.parametrize("limit", ["max_batch_files", "max_batch_bytes"])
+def test_limits_that_a_source_cannot_apply(spark, source, opts, limit):
+    with pytest.raises(ValueError):
+        kafka_source_options(opts.with_(**{limit: 5}), "t")
+    with pytest.raises(ValueError):
+        stream_text(spark, source, opts.with_(max_batch_records=10))
+
+
+def test_messages_without_a_value_are_left_out(spark):
+    messages = spark.createDataFrame([(bytearray(b"{}"),), (None,), (bytearray(b""),)], "value binary")
+    assert [r.value for r in with_values(messages).collect()] == ["{}", ""]
+
+
+def test_no_folder_to_resume_from(spark, opts):
+    """The setting can't be taken from a running session, so a stand-in has none."""
+    bare = SimpleNamespace(sparkSession=SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default)))
+    with pytest.raises(ValueError, match="checkpoint_dir"):
+        checkpoint_location(bare, opts.with_(checkpoint_dir=None))
+    assert checkpoint_location(spark.range(1), opts.with_(checkpoint_dir="/a/", job_id="j")) == "/a/j"
+
+
 def test_shared_folder_follows_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     if before:

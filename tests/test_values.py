@@ -123,3 +123,10 @@ def test_python_values_agree(spark):
         assert out.d == day.isoformat()
         assert out.t == (dt.datetime(1970, 1, 1) + clock).isoformat()[11:].rstrip("0" if clock.microseconds else "")
         assert out.m == float(money)
+
+
+def test_unsigned_ids_must_be_declared(spark):
+    frame = spark.sql("SELECT CAST('9007199254740993' AS DECIMAL(20,0)) AS id")
+    with pytest.raises(ValueError, match="id"):
+        convert_row(frame)
+    assert convert_row(frame, {"id": "BIGINT UNSIGNED"}).first().id == 9007199254740993
