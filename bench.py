@@ -23,7 +23,7 @@ from rowrelay import Options, deliveries, run_batch, start_stream
 from rowrelay.functions.record import decode, encode
 from rowrelay.operators import capture
 from rowrelay.operators.convert import convert_row
-from rowrelay.operators.orders import ORDER_TYPES, order_rows
+from rowrelay.plans.orders import ORDER_TYPES, order_rows
 from rowrelay.operators.replay import apply_changes, replay
 from rowrelay.operators.routing import fanout_counts
 from rowrelay.plans.tablelog import IMAGE, drawn_orders, order_versions, wire_log

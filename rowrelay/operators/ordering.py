@@ -11,16 +11,13 @@ follow the order of the tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowrelay.functions.position import position_order
 
 GROUP = ("topic", "partition")
 
-# Stretches that hold the records without a place in the log.
-SPREAD = 65536
-
 
 def exclusive_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """One task per topic partition, sorted by position. Bounded micro-batches only."""
@@ -34,19 +31,30 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     Records that share a position, such as the rows of a snapshot, are told apart by
     their text, so a rerun task sends each to the same range again; the arrival
     number only lets exact copies be split over tasks as well.
+
+    Topic and partition come out of a generator. Catalyst drops a constant one from the
+    sort order; the file writer would then miss it there and sort by topic and
+    partition once more, which loses the log order.
     """
     size = [parallelism] if parallelism else []
     numbered = routed.select(
-        "*", F.xxhash64("value").alias("_text"), F.monotonically_increasing_id().alias("_arrival")
+        *[F.col(f"`{c}`") for c in routed.columns if c not in GROUP],
+        F.xxhash64("value").alias("_text"),
+        F.monotonically_increasing_id().alias("_arrival"),
+        F.inline(F.array(F.struct(*GROUP))),
     )
     order = [*GROUP, *position_order(""), "_text", "_arrival"]
     arranged = numbered.repartitionByRange(*size, *order).sortWithinPartitions(*order)
-    return arranged.drop("_text", "_arrival")
+    return arranged.select(*routed.columns)
 
 
 def spread(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """The input's own partitioning, or ``parallelism`` even parts."""
-    return routed.repartition(parallelism) if parallelism else routed
+    """The input's own partitioning, or at most ``parallelism`` of its tasks put together.
+
+    No record is shuffled. More writers than the input has parts come from smaller
+    input splits (``spark.sql.files.maxPartitionBytes``).
+    """
+    return routed.coalesce(parallelism) if parallelism else routed
 
 
 def gather(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
@@ -56,42 +64,3 @@ def gather(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     lets Spark cut heavy topic partitions and merge light ones by measured size.
     """
     return routed.hint("rebalance", *([parallelism] if parallelism else []), *GROUP)
-
-
-def delivery_sequence(routed: DataFrame, chunk_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Number the records of each topic partition from 0 in log order, as ``sequence``.
-
-    A log event takes up space in its file, so a stretch of ``chunk_bytes`` of one
-    log file holds a bounded number of events. Records are numbered inside such a
-    stretch; the count of everything before it comes from a small table of
-    per-stretch counts. No task ever holds a whole topic partition.
-
-    Snapshot records and records without a place in the log have no order among
-    themselves; they come first and are spread over stretches by their text.
-    """
-    chunk = [*GROUP, "_log", "_chunk"]
-    sequence, pos, row = position_order("")
-    in_log = sequence.isNotNull() & pos.isNotNull() & ~F.col("op").eqNullSafe("r")
-    spread = F.pmod(F.xxhash64("value"), F.lit(SPREAD)).cast("bigint")
-    placed = routed.select(
-        "*",
-        F.when(in_log, sequence).otherwise(F.lit(-1)).alias("_log"),
-        F.when(in_log, F.floor(pos / F.lit(chunk_bytes)).cast("bigint")).otherwise(spread).alias("_chunk"),
-    )
-    earlier = (
-        Window.partitionBy(*GROUP)
-        .orderBy("_log", "_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        placed.groupBy(*chunk)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*chunk, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    local = Window.partitionBy(*chunk).orderBy(pos, row)
-    return (
-        placed.withColumn("_local", F.row_number().over(local) - 1)
-        .join(offsets, chunk)
-        .withColumn("sequence", F.col("_offset") + F.col("_local"))
-        .drop("_log", "_chunk", "_local", "_offset")
-    )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowrelay.functions.position import position_order
+from rowrelay.streaming.folders import staged
 
 
 def _key(name: str) -> Column:
@@ -34,11 +35,26 @@ def _no_truncate(op: Column) -> Column:
     return F.when(op == "t", refused.cast("string")).otherwise(op)
 
 
-def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+def _past_truncates(rows: DataFrame, place: Sequence[Column]) -> DataFrame:
+    """The rows that no truncate of their table ended; ``db``, ``table`` and ``op`` are read.
+
+    There is one end per truncated table, so the join is a broadcast unless a great
+    many tables are truncated.
+    """
+    at = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(place)])
+    ends = rows.where(F.col("op") == "t").groupBy("db", "table").agg(F.max(at).alias("_end"))
+    ends = ends.select(F.col("db").alias("_db"), F.col("table").alias("_table"), "_end")
+    same = F.col("db").eqNullSafe(F.col("_db")) & F.col("table").eqNullSafe(F.col("_table"))
+    left = rows.where(F.col("op") != "t").join(ends, same, "left")
+    return left.where(F.col("_end").isNull() | (at > F.col("_end"))).drop("_db", "_table", "_end")
+
+
+def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",), truncates: bool = False) -> DataFrame:
     """The last change of each row: ``db``, ``table``, the keys, ``op`` and ``after``.
 
-    Records without an operation are schema changes and do not take part. A truncate
-    fails the job.
+    Records without an operation are schema changes and do not take part. With
+    ``truncates`` the changes before the last truncate of their table are left out,
+    which reads the log twice; without, a truncate fails the job.
     """
     place = ("_log", "_pos", "_row")
     rows = changes.where(F.col("op").isNotNull()).select(
@@ -46,30 +62,35 @@ def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame
         F.col("source.table").alias("table"),
         *[_key(k).alias(f"_key_{k}") for k in keys],
         *[c.alias(n) for c, n in zip(position_order(), place)],
-        _no_truncate(F.col("op")).alias("op"),
+        (F.col("op") if truncates else _no_truncate(F.col("op"))).alias("op"),
         "after",
     )
+    if truncates:
+        rows = _past_truncates(rows, [F.col(c) for c in place])
     names = ["db", "table", *[f"_key_{k}" for k in keys]]
     return _newest(rows, names, [F.col(c) for c in place]).drop(*place)
 
 
-def replay_records(records: DataFrame) -> DataFrame:
+def replay_records(records: DataFrame, truncates: bool = False) -> DataFrame:
     """The last record of each row that still exists, for any mix of tables.
 
     Works on records parsed with ``position`` and ``before``; the texts stay as they
-    are, so no table's columns need to be known.
+    are, so no table's columns need to be known. ``truncates`` as for ``last_changes``.
     """
     rows = records.where(F.col("op").isNotNull()).withColumn(
         "_key", F.coalesce("row_id", "before_id")
     )
-    rows = rows.withColumn("op", _no_truncate(F.col("op")))
+    if truncates:
+        rows = _past_truncates(rows, position_order(""))
+    else:
+        rows = rows.withColumn("op", _no_truncate(F.col("op")))
     last = _newest(rows, ("db", "table", "_key"), position_order(""))
     return last.where(F.col("op") != "d").drop("_key")
 
 
-def replay(changes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+def replay(changes: DataFrame, keys: Sequence[str] = ("id",), truncates: bool = False) -> DataFrame:
     """Columns ``db``, ``table`` and ``after``: the last image of each row that still exists."""
-    return last_changes(changes, keys).where(F.col("op") != "d").select("db", "table", "after")
+    return last_changes(changes, keys, truncates).where(F.col("op") != "d").select("db", "table", "after")
 
 
 def apply_changes(
@@ -77,13 +98,14 @@ def apply_changes(
 ) -> DataFrame:
     """The rows of ``db.table`` after its ``changes``, all of them later than the rows.
 
-    Changes of other tables in the same log are left out.
-    Rows without a change pass through an anti join, so a few changes to a huge
+    Changes of other tables in the same log are left out. The last changes are written
+    to the session's folder, because they are read twice: to drop old images and to
+    add new ones. Rows without a change pass through an anti join, so a few changes to a huge
     table are joined by broadcast (chosen by Spark from the size it measures) and
     the table itself is not shuffled.
     """
     own = (F.col("source.db") == db) & (F.col("source.table") == table)
-    last = last_changes(changes.where(own), keys)
+    last = staged(last_changes(changes.where(own), keys), "last-changes")
     same = [F.col(f"_old.`{k}`") == F.col(f"_last.`_key_{k}`") for k in keys]
     kept = rows.alias("_old").join(last.alias("_last"), same, "left_anti")
     return kept.unionByName(last.where(F.col("op") != "d").select("after.*"))

@@ -148,6 +148,10 @@ SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS status,
   o_orderpriority AS priority, TRUE AS no_before, 'test' AS db, 'tb_order' AS tbl, 'true' AS snapshot,
   CAST(30000 AS BIGINT) AS pos, 'r' AS op, CAST({EPOCH_MS} AS BIGINT) AS ts_ms
 FROM orders""",
+        "snapshot_unsigned": """
+SELECT o_orderkey, CAST(CASE WHEN CAST(o_orderkey AS HUGEINT) * 9007199254740993 % 18446744073709551616 >= 9223372036854775808
+  THEN CAST(o_orderkey AS HUGEINT) * 9007199254740993 % 18446744073709551616 - 18446744073709551616
+  ELSE CAST(o_orderkey AS HUGEINT) * 9007199254740993 % 18446744073709551616 END AS BIGINT) AS id FROM orders""",
         "latest_changes": f"""WITH {CHANGES}
 SELECT {FLAT} FROM changes WHERE file > 'binlog.000001' OR pos > 30000""",
         "timestamp_start": f"""WITH {CHANGES}
@@ -180,6 +184,12 @@ WHERE o.id IS NULL OR n.id IS NULL OR o.user_id IS DISTINCT FROM n.user_id OR o.
   OR o.price IS DISTINCT FROM n.price OR o.created_time IS DISTINCT FROM n.created_time""",
         "diff_applied": f"""WITH {ORDER_VERSIONS}
 SELECT id, user_id, status, CAST(price AS DOUBLE) AS price, created_time FROM new_rows""",
+        "apply_mixed_log": f"""WITH {ORDER_VERSIONS}
+SELECT id, user_id, status, CAST(price AS DOUBLE) AS price, created_time FROM new_rows""",
+        "replay_truncate": f"""WITH {CHANGES}, kept AS (
+  SELECT * FROM changes WHERE tbl IS DISTINCT FROM 'tb_order' OR pos > (SELECT max(r_regionkey) * 1000 + 3 FROM region)),
+newest AS ({newest.format(log="kept")})
+SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FROM newest WHERE rn = 1 AND op <> 'd'""",
         "envelope_roundtrip": f"""WITH {CHANGES}
 SELECT before_id, before_status, before_price, after_id, after_status, after_price, 'mysql' AS connector,
   'false' AS snapshot, db, tbl, file, pos, CAST(0 AS INTEGER) AS row_no, {EPOCH_MS} + pos * 1000 AS source_ts_ms,
@@ -243,6 +253,9 @@ SELECT topic, "partition", 'c' AS op, count(*) AS records FROM routes GROUP BY t
         "partition_by_topic_count": f"""WITH {ROUTED}
 SELECT file, pos, topic, CAST(coalesce(after_id, 0) % CASE WHEN topic = 'mysqlbinlog_test_tb_order' THEN 7 ELSE 3 END
   AS INTEGER) AS "partition" FROM routed""",
+        "partition_by_many_topics": f"""WITH {ROUTED}
+SELECT file, pos, topic, CAST(coalesce(after_id, 0) % CASE topic WHEN 'mysqlbinlog_test_tb_order' THEN 7
+  WHEN 'mysqlbinlog_crm_tb_customer' THEN 5 ELSE 3 END AS INTEGER) AS "partition" FROM routed""",
         "partition_deletes": f"""WITH {ROUTED}
 SELECT file, pos, op, topic, CAST(0 AS INTEGER) AS "partition" FROM routed WHERE after_id IS NULL""",
         "partition_deletes_by_before_id": f"""WITH {ROUTED}

@@ -15,12 +15,12 @@ from rowrelay import fixed
 from rowrelay.functions import values as V
 from rowrelay.functions.position import Position, is_after
 from rowrelay.functions.record import decode, encode, parse
-from rowrelay.operators import capture, filters, ordering, routing
+from rowrelay.operators import capture, filters, routing
 from rowrelay.operators.convert import convert_row
-from rowrelay.operators import orders as order_rules
 from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
 from rowrelay.options import Options
-from rowrelay.plans.delivery import deliveries
+from rowrelay.plans import orders as order_rules
+from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
 from rowrelay.plans.tablelog import (
     EPOCH_MS,
     IMAGE,
@@ -28,11 +28,12 @@ from rowrelay.plans.tablelog import (
     drawn_orders,
     event_log,
     order_versions,
+    truncates,
     wire_log,
 )
 from rowrelay.sinks import records as outgoing
 from rowrelay.sinks.targets import files
-from rowrelay.sources.changelog import stream_text
+from rowrelay.sources.changelog import read_delivered, stream_text
 from rowrelay.sources.tables import read_parquet
 from rowrelay.streaming.folders import new_folder
 from rowrelay.streaming.job import start_stream
@@ -116,6 +117,17 @@ def snapshot_capture(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def snapshot_unsigned(spark: SparkSession, folder: str) -> DataFrame:
+    """Unsigned keys that no double can hold, declared, through the text form."""
+    key = F.col("o_orderkey").cast("decimal(18,0)") * F.lit(2**53 + 1).cast("decimal(18,0)")
+    rows = read_parquet(spark, folder, "orders").select(
+        "o_orderkey", (key % F.lit(Decimal(2**64))).cast("decimal(20,0)").alias("id")
+    )
+    texts = table_snapshot(rows, FOUR, "test", "tb_wide", MARK, {"id": "bigint(20) unsigned"})
+    return decode(texts, "o_orderkey: bigint, id: bigint").select("after.*")
+
+
 @query
 def latest_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(capture.latest(_typed_wire(spark, folder), MARK))
@@ -230,6 +242,25 @@ def diff_applied(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("price", V.decimal_to_double(F.col("price")))
 
 
+@query
+def apply_mixed_log(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``diff_applied``, from a log in which another table loses rows of the same keys."""
+    old, _ = order_versions(spark, folder)
+    gone = capture.diff(
+        old, old.where(F.lit(False)), ["id"], "test", "tb_archive", mark=MARK, ts_ms=F.lit(START_MS), processed_ms=F.lit(START_MS)
+    )
+    rows = apply_changes(old, _order_diff(spark, folder).unionByName(gone), ["id"], "test", "tb_order")
+    return rows.withColumn("price", V.decimal_to_double(F.col("price")))
+
+
+@query
+def replay_truncate(spark: SparkSession, folder: str) -> DataFrame:
+    """The current rows of both tables after several truncates of one of them."""
+    log = wire_log(spark, folder).unionByName(truncates(spark, folder))
+    state = replay(decode(log, IMAGE), truncates=True)
+    return state.select("db", F.col("table").alias("tbl"), "after.*")
+
+
 # --- encoding ----------------------------------------------------------------
 
 
@@ -449,6 +480,15 @@ def partition_by_topic_count(spark: SparkSession, folder: str) -> DataFrame:
     return deliveries(wire_log(spark, folder), opts, position=True).select("file", "pos", "topic", "partition")
 
 
+@query
+def partition_by_many_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """A long map of partition counts, with the log's topics among its last."""
+    counts = {f"{fixed.TOPIC_PREFIX}other_{i}": 2 for i in range(100_000)}
+    counts |= {"mysqlbinlog_test_tb_order": 7, "mysqlbinlog_crm_tb_customer": 5}
+    opts = Options(partitions=counts, default_partitions=3)
+    return deliveries(wire_log(spark, folder), opts, position=True).select("file", "pos", "topic", "partition")
+
+
 @query
 def partition_deletes(spark: SparkSession, folder: str) -> DataFrame:
     """Records without a row image go to slot 0."""
@@ -482,10 +522,11 @@ def id_wrap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def partition_order(spark: SparkSession, folder: str) -> DataFrame:
-    """The place of each record in its topic partition under ordered delivery."""
-    routed = deliveries(wire_log(spark, folder), FOUR, position=True)
-    numbered = ordering.delivery_sequence(routed, chunk_bytes=16384)
-    return numbered.select("topic", "partition", "file", "pos", "sequence")
+    """The place of each record in the files that ordered delivery wrote."""
+    out = new_folder(spark, "ordered")
+    run_batch(wire_log(spark, folder), FOUR.with_(order="partition"), files(out, by_partition=True))
+    delivered = parse(read_delivered(spark, out), keep=["topic", "partition", "sequence"], position=True)
+    return delivered.select("topic", "partition", "file", "pos", "sequence")
 
 
 # --- outgoing records --------------------------------------------------------

@@ -84,6 +84,17 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def truncates(spark: SparkSession, folder: str) -> DataFrame:
+    """The order table's truncates as record texts, one per region."""
+    region = read_parquet(spark, folder, "region").select(
+        _no_image().alias("before"),
+        _no_image().alias("after"),
+        F.lit("t").alias("op"),
+        (F.col("r_regionkey").cast("bigint") * 1000 + 3).alias("pos"),
+    )
+    return encode(_log(region, "test", F.lit("tb_order"), ORDERS_FILE))
+
+
 def wire_log(spark: SparkSession, folder: str) -> DataFrame:
     """The change log as record texts."""
     return encode(change_log(spark, folder))

@@ -11,6 +11,11 @@ def kafka_record(routed: DataFrame) -> DataFrame:
     return routed.select("topic", F.col("value").alias("key"), "value", "partition")
 
 
+def message_record(routed: DataFrame) -> DataFrame:
+    """What a message client gets; it may use the partition to keep order."""
+    return routed.select("topic", "partition", "value")
+
+
 def pulsar_record(routed: DataFrame) -> DataFrame:
     """Value and topic only: no key, no partition choice."""
     return routed.select("topic", "value")

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from rowrelay import fixed
 from rowrelay.options import Options
-from rowrelay.sinks.records import kafka_record, pulsar_record
+from rowrelay.sinks.records import kafka_record, message_record, pulsar_record
 
 
 @dataclass(frozen=True)
@@ -78,4 +78,4 @@ def messages(client: str, options: Mapping[str, str] | None = None) -> Target:
     See :mod:`rowrelay.sinks.messages`; the source must be registered with
     ``spark.dataSource.register(MessageSource)``.
     """
-    return Target("rowrelay_messages", pulsar_record, {"client": client, **(options or {})})
+    return Target("rowrelay_messages", message_record, {"client": client, **(options or {})})

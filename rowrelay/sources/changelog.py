@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowrelay import fixed
@@ -15,6 +15,35 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_delivered(spark: SparkSession, path: str) -> DataFrame:
+    """``value``, ``topic``, ``partition`` and ``sequence`` of files delivered by partition.
+
+    ``sequence`` counts the records of a topic partition from 0 in the order of its
+    files: by the number of the task that wrote a file, which is in the file's name.
+    Records are numbered inside a part of a file that one task reads, and the records
+    of the parts before come from a small table of counts, so no task needs a whole
+    topic partition. One batch delivery per folder: files of two have no common order.
+    """
+    files = spark.read.schema("value string, topic string, partition int").text(path)
+    part = ["_file", "_start"]
+    lines = files.select(
+        "value",
+        "topic",
+        "partition",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    group = [F.coalesce("topic", F.lit("")), F.coalesce("partition", F.lit(-1))]
+    task = F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1).cast("bigint")
+    earlier = Window.partitionBy(*group).orderBy(task, *part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("topic", "partition", *part).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*part).orderBy("_line")) - 1
+    numbered = lines.withColumn("_place", place).join(offsets, part)
+    return numbered.select("value", "topic", "partition", (F.col("_before") + F.col("_place")).alias("sequence"))
+
+
 def stream_text(spark: SparkSession, path: str, opts: Options = Options()) -> DataFrame:
     """A folder of text files as a stream. Files can't be limited by records."""
     if opts.max_batch_records:

@@ -1,4 +1,4 @@
-"""A message client that appends to one file per topic and task."""
+"""A message client that appends to one file per topic, partition and task."""
 
 import os
 import uuid
@@ -8,13 +8,14 @@ class Client:
     def __init__(self, options):
         self.folder, self.name, self.rows = options["folder"], uuid.uuid4().hex, {}
 
-    def send(self, topic, value):
-        self.rows.setdefault(topic, []).append(value)
+    def send_batch(self, topics, partitions, values):
+        for topic, partition, value in zip(topics, partitions, values, strict=True):
+            self.rows.setdefault((topic, partition), []).append(value)
 
     def flush(self):
-        for topic, values in self.rows.items():
+        for (topic, partition), values in self.rows.items():
             os.makedirs(f"{self.folder}/{topic}", exist_ok=True)
-            with open(f"{self.folder}/{topic}/{self.name}", "a", encoding="utf-8") as out:
+            with open(f"{self.folder}/{topic}/{partition}-{self.name}", "a", encoding="utf-8") as out:
                 out.writelines(v + "\n" for v in values)
         self.rows = {}
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowrelay import Position
 from rowrelay.functions.position import is_after
-from rowrelay.functions.record import parse
+from rowrelay.functions.record import decode, parse
 from rowrelay.operators import capture
 from rowrelay.operators.filters import include, include_pattern
 from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
@@ -247,3 +247,24 @@ def test_truncates_are_refused(spark):
     for frame in (replay(changes.withColumn("op", F.lit("t"))), replay_records(changes.select("op", "source.file", "source.pos", "source.row", "source.db", "source.table", F.lit(1).alias("row_id"), F.lit(1).alias("before_id"), F.lit("t").alias("value")).withColumn("op", F.lit("t")))):
         with pytest.raises(Exception, match="truncate"):
             frame.collect()
+
+
+def test_truncates_end_earlier_rows(spark):
+    """Only those of their table; a row written again after the truncate is there."""
+    def event(db, op, pos, key):
+        image = f'{{"id":{key}}}' if op == "c" else "null"
+        return (f'{{"before":null,"after":{image},"source":{{"db":"{db}","table":"t","file":"b.1","pos":{pos},"row":0}},"op":"{op}"}}',)
+
+    texts = [event("a", "c", 1, 1), event("a", "c", 2, 2), event("a", "t", 3, 0), event("a", "c", 4, 2), event("b", "c", 1, 1), event("a", "c", 3, 9)]
+    wire = spark.createDataFrame(texts, "value string")
+    state = replay(decode(wire, "id: bigint"), truncates=True)
+    assert sorted((r.db, r.after.id) for r in state.collect()) == [("a", 2), ("b", 1)]
+    last = replay_records(parse(wire, position=True, before=True), truncates=True)
+    assert sorted((r.db, int(r.row_id), r.pos) for r in last.collect()) == [("a", 2, 4), ("b", 1, 1)]
+
+
+def test_the_change_set_is_computed_once(spark, small):
+    from rowrelay.plans.queries import apply_mixed_log, diff_applied
+
+    for query in (diff_applied, apply_mixed_log):
+        assert "FullOuter" not in query(spark, small)._jdf.queryExecution().executedPlan().toString()

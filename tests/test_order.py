@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from rowrelay import Options, deliveries, run_batch
 from rowrelay.functions.position import position_order
-from rowrelay.operators.ordering import delivery_sequence, exclusive_order, gather, range_order
+from rowrelay.functions.record import parse
+from rowrelay.operators.ordering import exclusive_order, gather, range_order, spread
 from rowrelay.plans.queries import order_projection
 from rowrelay.plans.session import cluster_conf
 from rowrelay.plans.tablelog import wire_log
 from rowrelay.sinks.targets import files, kafka
+from rowrelay.sources.changelog import read_delivered
 
 OPTS = Options(partitions=4, order="partition")
 
@@ -113,16 +115,6 @@ def test_ordered_batch_to_a_live_target_is_refused(spark, small):
         run_batch(wire_log(spark, small), OPTS, kafka(OPTS))
 
 
-@pytest.mark.parametrize("chunk", [100, 1000, 10**9])
-def test_sequence_does_not_depend_on_the_stretch(spark, small, chunk):
-    numbered = delivery_sequence(routed(spark, small), chunk)
-    groups = {}
-    for r in numbered.select("topic", "partition", "sequence", *[c.alias(n) for c, n in zip(position_order(""), "spr")]).collect():
-        groups.setdefault((r.topic, r.partition), []).append(((r.s, r.p, r.r), r.sequence))
-    for rows in groups.values():
-        assert [n for _, n in sorted(rows)] == list(range(len(rows)))
-
-
 def test_order_rules(spark, small):
     rows = order_projection(spark, small)
     assert rows.where("status < 2 AND (pay_time IS NOT NULL OR updated_time IS NOT NULL)").count() == 0
@@ -132,25 +124,47 @@ def test_order_rules(spark, small):
     assert rows.where("abs(pay_amount - (price * amount - coupon_id % 9 + freight_charge)) > 1e-9").count() == 0
 
 
-def test_sequence_of_a_snapshot_and_its_changes(spark):
-    """Snapshot rows come first, in any order, and every record gets its own number."""
+def test_delivered_sequence_of_a_snapshot_and_its_changes(spark, tmp_path):
+    """Records without a place in the log come first; null partitions and split files keep all."""
     rows = spark.range(3000).selectExpr(
         "'t' AS topic",
-        "CAST(id % 2 AS INT) AS partition",
+        "IF(id % 2 = 0, 0, NULL) AS partition",
         "CASE WHEN id % 3 = 0 THEN '' ELSE 'bin.2' END AS file",
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id * 10 END AS pos",
         "0 AS row",
-        "CASE WHEN id % 3 < 2 THEN 'r' WHEN id % 5 = 0 THEN NULL ELSE 'c' END AS op",
-        "CAST(id AS STRING) AS value",
+        "concat(IF(id % 3 = 0, 0, id * 10), ' ', id) AS value",
     )
-    numbered = delivery_sequence(rows, 1000).collect()
-    for partition in (0, 1):
-        group = sorted((r.sequence, r.op == "r", r.pos) for r in numbered if r.partition == partition)
-        assert [n for n, _, _ in group] == list(range(1500))
-        snapshot_rows = sum(is_row for _, is_row, _ in group)
-        assert all(is_row for _, is_row, _ in group[:snapshot_rows])
-        live = [pos for _, is_row, pos in group if not is_row]
-        assert live == sorted(live)
+    out, size = str(tmp_path / "out"), "spark.sql.files.maxPartitionBytes"
+    files(out, by_partition=True).write(range_order(rows, 4))
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "2000")
+        numbered = read_delivered(spark, out).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert len({r.value for r in numbered}) == 3000
+    for partition in (0, None):
+        group = sorted((r.sequence, int(r.value.split(" ")[0])) for r in numbered if r.partition == partition)
+        assert [n for n, _ in group] == list(range(1500))
+        positions = [pos for _, pos in group]
+        assert positions == sorted(positions)
+
+
+def test_order_of_a_constant_topic(spark, small, tmp_path):
+    """Routers may give every record the same topic and partition."""
+    out = str(tmp_path / "out")
+    opts = OPTS.with_(router=lambda db, table: F.lit("all"), partitioner=lambda row_id, count: F.lit(0), databases="test")
+    run_batch(wire_log(spark, small).repartition(5), opts, files(out, by_partition=True))
+    rows = parse(read_delivered(spark, out), keep=["sequence"], position=True).select("sequence", *[c.alias(n) for c, n in zip(position_order(""), "spr")])
+    places = [tuple(r)[1:] for r in rows.orderBy("sequence").collect()]
+    assert places == sorted(places) and len(places) == wire_log(spark, small).count() - 150
+
+
+def test_narrowing_needs_no_shuffle(spark, small):
+    frame = spread(routed(spark, small).repartition(9), 3)
+    assert frame.select(F.spark_partition_id()).distinct().count() == 3
+    plan = spread(routed(spark, small), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Coalesce" in plan
 
 
 def test_cluster_settings():

@@ -20,7 +20,7 @@ from rowrelay.sinks.messages import MessageSource
 from rowrelay.sinks.targets import Target, files, kafka, messages, pulsar
 from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text, with_values
 from rowrelay.sources.tables import bounds_options, jdbc_options
-from rowrelay.streaming.folders import new_folder, shared_folder
+from rowrelay.streaming.folders import new_folder, session_folder, shared_folder
 from rowrelay.streaming.job import checkpoint_location
 
 
@@ -217,9 +217,9 @@ def test_ordered_message_target(spark, source, opts, tmp_path, message_source):
     drain(spark, source, ordered.with_(max_batch_files=2), target)
     for name in glob.glob(f"{out}/*/*"):
         rows = [json.loads(line) for line in open(name, encoding="utf-8")]
-        for slot in range(4):
-            positions = [r["source"]["pos"] for r in rows if r["after"]["id"] % 4 == slot]
-            assert positions == sorted(positions)
+        assert {r["after"]["id"] % 4 for r in rows} == {int(os.path.basename(name).split("-")[0])}
+        positions = [r["source"]["pos"] for r in rows]
+        assert positions == sorted(positions)
 
 
 def test_connector_options(opts):
@@ -282,3 +282,4 @@ def test_shared_folder_follows_the_session(spark):
     if before:
         assert shared_folder(spark) == before.rstrip("/")
     assert new_folder(spark, "a") != new_folder(spark, "a")
+    assert os.path.dirname(new_folder(spark, "a")) == session_folder(spark)
