@@ -3,6 +3,17 @@
 from rowrelay.functions.position import Position
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
+from rowrelay.plans.job import Table, run_job
 from rowrelay.streaming.job import start_stream, totals
 
-__all__ = ["Options", "Position", "deliveries", "run_batch", "start_stream", "table_snapshot", "totals"]
+__all__ = [
+    "Options",
+    "Position",
+    "Table",
+    "deliveries",
+    "run_batch",
+    "run_job",
+    "start_stream",
+    "table_snapshot",
+    "totals",
+]

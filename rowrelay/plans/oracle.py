@@ -139,6 +139,10 @@ def all_oracles() -> dict[str, str]:
     newest = """
   SELECT *, row_number() OVER (PARTITION BY db, tbl, coalesce(after_id, before_id) ORDER BY file DESC, pos DESC) AS rn
   FROM {log} WHERE op IS NOT NULL"""
+    job = """WITH {log}
+SELECT CASE WHEN coalesce(db, '') <> '' AND coalesce(tbl, '') <> ''
+    THEN 'mysqlbinlog_' || db || '_' || tbl ELSE 'mysqlbinlog_ddl' END AS topic,
+  CAST(coalesce(after_id, 0) % 4 AS INTEGER) AS "partition", op, after_id AS row_id, before_id FROM {name}"""
     return {
         "routed_counts": f"""WITH {ROUTED}
 SELECT topic, part AS "partition", op, count(*) AS records FROM routed GROUP BY topic, part, op""",
@@ -274,6 +278,9 @@ SELECT topic, file, pos, after_id AS row_id, op FROM routed""",
         "stream_route": EVENT_ROUTES.format(n=4),
         "stream_resume": f"""WITH {ROUTED} {EVENT_ROUTES.format(n=4)}
 UNION ALL SELECT after_id, topic, part FROM routed""",
+        "job_initial": job.format(log=HANDOFF, name="handoff"),
+        "job_latest": job.format(log=HANDOFF, name="later"),
+        "job_timestamp": job.format(log=CHANGES, name="changes WHERE pos >= 30000"),
         "order_projection": f"""WITH {ORDER_STEPS}
 SELECT id, user_id, user_id % 44444 AS inviter_id, goods_id, CAST(floor(goods_id / 100) AS BIGINT) AS goods_cate_id,
   concat('goodsName', CAST(goods_id AS VARCHAR)) AS goods_name, price, amount, total_price, coupon_id, coupon_amount,

@@ -21,6 +21,7 @@ from rowrelay.operators.replay import apply_changes, last_changes, replay, repla
 from rowrelay.options import Options
 from rowrelay.plans import orders as order_rules
 from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
+from rowrelay.plans.job import Table, run_job
 from rowrelay.plans.tablelog import (
     EPOCH_MS,
     IMAGE,
@@ -601,6 +602,49 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
     return _delivered(spark, out)
 
 
+def _job(spark: SparkSession, folder: str, mode: int) -> DataFrame:
+    """A job started on the log up to the mark, stopped, and started again on the whole log.
+
+    Delivered to files and read back.
+    """
+    wire = parse(wire_log(spark, folder), position=True)
+    later = is_after(MARK, "")
+    source, out = _stage(wire.where(~later).select("value"), "log"), new_folder(spark, "delivered")
+    opts = Options(
+        job_id=f"job_{mode}",
+        partitions=4,
+        start_mode=mode,
+        start_timestamp=START_MS if mode == fixed.START_TIMESTAMP else 0,
+        checkpoint_dir=new_folder(spark, "job"),
+    )
+    target = files(out, by_partition=True)
+    rows = replay(change_log(spark, folder).where(~is_after(MARK) & (F.col("source.db") == "test"))).select("after.*")
+    tables = {"test.tb_order": Table(rows)}
+    run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
+    wire.where(later).select("value").write.mode("append").text(source)
+    run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
+    found = parse(spark.read.text(out), keep=["topic", "partition"], before=True)
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
+    return found.select("topic", "partition", "op", *ids)
+
+
+@query
+def job_initial(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshot and later changes, each once, over two starts."""
+    return _job(spark, folder, fixed.START_INITIAL)
+
+
+@query
+def job_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Only what came after the first start."""
+    return _job(spark, folder, fixed.START_LATEST)
+
+
+@query
+def job_timestamp(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, folder, fixed.START_TIMESTAMP)
+
+
 # --- derived tables ----------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
@@ -19,13 +19,13 @@ OBSERVATION = "deliveries"
 _batch_counters: dict[str, dict[str, int]] = {}
 
 
-def checkpoint_location(wire: DataFrame, opts: Options) -> str:
+def checkpoint_location(spark: SparkSession, opts: Options) -> str:
     """One folder per job id. Spark keeps it when a query stops, so a job can resume.
 
     It is in the option ``checkpoint_dir`` or the session's ``spark.checkpoint.dir``.
     Without either the job is refused: a new folder each time would deliver all again.
     """
-    root = opts.checkpoint_dir or wire.sparkSession.conf.get("spark.checkpoint.dir", None)
+    root = opts.checkpoint_dir or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise ValueError("a streaming job needs checkpoint_dir or spark.checkpoint.dir to resume from")
     return f"{root.rstrip('/')}/{opts.job_id}"
@@ -76,7 +76,7 @@ def start_stream(
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}
     query = (
         writer.queryName(opts.job_id)
-        .option("checkpointLocation", checkpoint_location(wire, opts))
+        .option("checkpointLocation", checkpoint_location(wire.sparkSession, opts))
         .trigger(**pace)
         .start()
     )

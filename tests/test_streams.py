@@ -19,7 +19,8 @@ from rowrelay.plans.tablelog import IMAGE, change_log, event_log, wire_log
 from rowrelay.sinks.messages import MessageSource
 from rowrelay.sinks.targets import Target, files, kafka, messages, pulsar
 from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text, with_values
-from rowrelay.sources.tables import bounds_options, jdbc_options
+from rowrelay.plans.job import Table, run_job, start_mark
+from rowrelay.sources.tables import bounds_options, catalog_options, cuts_options, declared_types, jdbc_options, range_predicates
 from rowrelay.streaming.folders import new_folder, session_folder, shared_folder
 from rowrelay.streaming.job import checkpoint_location
 
@@ -241,10 +242,61 @@ def test_connector_options(opts):
     assert jdbc["url"].startswith("jdbc:mysql://h:3306/")
     assert (jdbc["partitionColumn"], jdbc["lowerBound"], jdbc["upperBound"], jdbc["numPartitions"]) == ("id", "1", "900", "8")
     assert bounds_options(job, "test.tb_order", "id")["query"] == "SELECT min(id) AS lower, max(id) AS upper FROM test.tb_order"
+    for options in (jdbc, bounds_options(job, "t", "id"), cuts_options(job, "t", "id", 3), catalog_options(job)):
+        assert (options["user"], options["password"], options["preferTimestampNTZ"]) == ("root", "x", "true")
+    assert "NTILE(3)" in cuts_options(job, "t", "id", 3)["query"]
+    assert "RAND() < 0.1" in cuts_options(job, "t", "id", 3, 0.1)["query"]
     with pytest.raises(ValueError):
         jdbc_options(opts, "t", "id", 0, 1, 1)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_ranges_of_sparse_and_text_keys(spark, kind):
+    """Each row meets one condition, and parts are even however the keys lie."""
+    keys = spark.range(1000).selectExpr(f"CAST(IF(id = 7, NULL, id * id * id) AS {kind}) AS k", "id")
+    if kind == "string":
+        keys = keys.withColumn("k", F.concat(F.lit("it's "), "k"))
+    rows = [r.k for r in keys.orderBy(F.col("k").asc_nulls_first()).collect()]
+    predicates = range_predicates("k", [rows[1], *rows[250::250]])
+    # Spark reads an escaped quote with a backslash, the database a doubled one.
+    sizes = [keys.where(p.replace("''", "\\'")).count() for p in predicates]
+    assert sizes == [250, 250, 250, 250]
+    assert range_predicates("k", []) == range_predicates("k", [5]) == ["1 = 1"]
+
+
+def test_declared_types_of_the_captured_tables(spark, opts):
+    names = [("test", "tb_order", "id", "bigint(20) unsigned"), ("test", "tb_order", "price", "decimal(14,2)"), ("test", "other", "id", "int"), ("mysql", "user", "id", "int")]
+    catalog = spark.createDataFrame(names, "db string, table string, name string, type string")
+    found = declared_types(catalog, opts.with_(databases="test,mysql", tables="test\\.tb_.*"))
+    assert found == {"test.tb_order": {"id": "bigint(20) unsigned", "price": "decimal(14,2)"}}
+    assert list(declared_types(catalog, opts)) == ["test.other", "test.tb_order"]
+
+
+def test_job_starts(spark, source, opts, tmp_path):
+    """A mark is taken once; a snapshot that broke off is delivered again, a whole one is not."""
+    rows = spark.range(5).selectExpr("CAST(id AS DECIMAL(20,0)) AS id")
+    table = {"app.t": Table(rows, {"id": "bigint unsigned"})}
+    with pytest.raises(ValueError, match="tables"):
+        run_job(spark, source, opts, files(str(tmp_path / "none")))
+    for mode, count in ((0, 5), (2, 0), (4, 1000)):
+        out, job = str(tmp_path / f"out{mode}"), opts.with_(job_id=f"mode{mode}", start_mode=mode, start_timestamp=1)
+        for _ in range(2):
+            run_job(spark, source, job, files(out), table, available_now=True).awaitTermination()
+        found = spark.read.schema("value string, topic string").text(out).count() if os.path.isdir(out) else 0
+        assert found == count
+    assert start_mark(spark, source, opts, checkpoint_location(spark, opts.with_(job_id="mode2"))) > Position(0, 0)
+    empty = str(tmp_path / "empty")
+    spark.range(0).selectExpr("'' AS value").write.text(empty)
+    assert start_mark(spark, empty, opts, str(tmp_path / "place")) == Position(0, 0)
+
+
+def test_a_table_outside_the_lists_is_not_captured(spark, source, opts, tmp_path):
+    out, rows = str(tmp_path / "out"), spark.range(3)
+    tables = {"app.t": Table(rows), "app.u": Table(rows)}
+    run_job(spark, source, opts.with_(tables=r"app\.u"), files(out), tables, available_now=True).awaitTermination()
+    assert {r.topic for r in spark.read.text(out).collect()} == {"mysqlbinlog_app_u"}
+
+
 def test_kafka_record_columns(spark, source, opts):
     record = kafka(opts).record(deliveries(read_text(spark, source), opts))
     assert {f.name: f.dataType.simpleString() for f in record.schema} == {
@@ -271,10 +323,10 @@ def test_messages_without_a_value_are_left_out(spark):
 
 def test_no_folder_to_resume_from(spark, opts):
     """The setting can't be taken from a running session, so a stand-in has none."""
-    bare = SimpleNamespace(sparkSession=SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default)))
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default))
     with pytest.raises(ValueError, match="checkpoint_dir"):
         checkpoint_location(bare, opts.with_(checkpoint_dir=None))
-    assert checkpoint_location(spark.range(1), opts.with_(checkpoint_dir="/a/", job_id="j")) == "/a/j"
+    assert checkpoint_location(spark, opts.with_(checkpoint_dir="/a/", job_id="j")) == "/a/j"
 
 
 def test_shared_folder_follows_the_session(spark):
