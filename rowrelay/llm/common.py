@@ -58,6 +58,16 @@ def column(frame: DataFrame, name: str):
     return frame["`" + name.replace("`", "``") + "`"]
 
 
+def unused(frame: DataFrame, *stems: str) -> list[str]:
+    """Names that no column of the frame has, in any case, one for each stem."""
+    taken, names = {c.lower() for c in frame.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        names.append(stem)
+    return names
+
+
 def text_digest(text):
     """One hash of a text that keeps null and empty apart."""
     return F.xxhash64(F.coalesce(text, F.lit("\x00null")))

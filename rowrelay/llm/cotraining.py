@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowrelay.llm.common import column, raw_texts, saved, text_digest
+from rowrelay.llm.common import column, raw_texts, saved, text_digest, unused
 
 #: Features of the content view; a trigram's share is stored in one byte.
 BUCKETS = 512
@@ -274,6 +274,7 @@ def classified(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 def good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the classifier keeps, with all columns. Rows are told apart by id and text."""
-    bad = classified(docs, labels, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of")).distinct()
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (text_digest(F.col(f"`{text_col}`").cast("string")) == F.col("__of"))
+    own, of = unused(docs, "__id", "__of")
+    bad = classified(docs, labels, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(own), F.col("digest").alias(of)).distinct()
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own)) & (text_digest(F.col(f"`{text_col}`").cast("string")) == F.col(of))
     return docs.join(bad, same, "left_anti")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowrelay.llm.common import column, raw_texts, saved, text_digest
+from rowrelay.llm.common import column, raw_texts, saved, text_digest, unused
 
 WINDOW = 10
 SHINGLE = 5
@@ -176,5 +176,6 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     Rows without an id can't be told apart by their decision, so they stay.
     """
-    bad = contamination(docs, items, id_col, text_col).where("contaminated").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.expr(f"`{id_col}` = __id"), "left_anti")
+    (own,) = unused(docs, "__id")
+    bad = contamination(docs, items, id_col, text_col).where("contaminated").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, F.expr(f"`{id_col}` = `{own}`"), "left_anti")

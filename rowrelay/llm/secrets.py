@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowrelay.llm.common import column, saved, text_digest
+from rowrelay.llm.common import column, saved, text_digest, unused
 
 #: In this order; ``value`` is the kind that the ownership frequency decides.
 KINDS = ("assign", "access", "hex", "value")
@@ -135,17 +135,18 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
     ``size_col``, if there is one, becomes the new text's number of code points in the
     rows that change.
     """
-    found = scan(docs, id_col, text_col, owner_col).where("spans <> ''").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__of"])
+    own, of, spans = unused(docs, "__id", "__of", "__spans")
+    found = scan(docs, id_col, text_col, owner_col).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("digest").alias(of), F.col("spans").alias(spans)).dropDuplicates([own, of])
     text = F.col(f"`{text_col}`")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (text_digest(text.cast("string")) == F.col("__of"))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own)) & (text_digest(text.cast("string")) == F.col(of))
 
     @F.pandas_udf("string")
-    def mask_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        pairs = zip(texts, spans, strict=True)
+    def mask_all(texts: pd.Series, found: pd.Series) -> pd.Series:
+        pairs = zip(texts, found, strict=True)
         return pd.Series([masked(t, [tuple(map(int, x.split(":")[1:])) for x in s.split(",")], mask) if s else t for t, s in pairs], dtype=object)
 
-    joined = docs.join(found, same, "left").withColumn(text_col, mask_all(text, F.col("__spans")))
+    joined = docs.join(found, same, "left").withColumn(text_col, mask_all(text, F.col(spans)))
     if size_col is not None and size_col in docs.columns:
         size = F.col(f"`{size_col}`")
-        joined = joined.withColumn(size_col, F.when(F.col("__spans").isNull(), size).otherwise(F.length(text)).cast(docs.schema[size_col].dataType))
-    return joined.drop("__id", "__of", "__spans")
+        joined = joined.withColumn(size_col, F.when(F.col(spans).isNull(), size).otherwise(F.length(text)).cast(docs.schema[size_col].dataType))
+    return joined.drop(own, of, spans)

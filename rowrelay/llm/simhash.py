@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowrelay.llm.common import LOWER, column, raw_texts, saved
+from rowrelay.llm.common import LOWER, column, raw_texts, saved, unused
 from rowrelay.llm.components import components
 from rowrelay.llm.trie import link
 
@@ -134,10 +134,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies of another and stay. All columns are returned.
     """
     classes = near_duplicates(docs, id_col, text_col)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    again = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    name = f"`{id_col}`"
-    left = docs.join(gone.withColumnRenamed("doc_id", "__id"), F.expr(f"{name} = __id"), "left_anti")
-    once = left.join(again.withColumnRenamed("doc_id", "__id"), F.expr(f"{name} = __id"), "left_anti")
-    many = left.join(again.withColumnRenamed("doc_id", "__id"), F.expr(f"{name} = __id"), "left_semi")
+    (own,) = unused(docs, "__id")
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    again = classes.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own))
+    same = F.expr(f"`{id_col}` = `{own}`")
+    left = docs.join(gone, same, "left_anti")
+    once = left.join(again, same, "left_anti")
+    many = left.join(again, same, "left_semi")
     return once.unionByName(many.dropDuplicates([id_col]))
