@@ -34,7 +34,7 @@ from rowrelay.plans.tablelog import (
 )
 from rowrelay.sinks import records as outgoing
 from rowrelay.sinks.targets import files
-from rowrelay.sources.changelog import read_delivered, stream_text
+from rowrelay.sources.changelog import read_delivered, read_files, stream_text
 from rowrelay.sources.tables import read_parquet
 from rowrelay.streaming.folders import new_folder
 from rowrelay.streaming.job import start_stream
@@ -623,9 +623,7 @@ def _job(spark: SparkSession, folder: str, mode: int) -> DataFrame:
     run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
     wire.where(later).select("value").write.mode("append").text(source)
     run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
-    # The schema is given, as there are no topic folders where nothing was to deliver.
-    texts = spark.read.schema("value string, topic string, partition int").text(out)
-    found = parse(texts, keep=["topic", "partition"], before=True)
+    found = parse(read_files(spark, out), keep=["topic", "partition"], before=True)
     ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
     return found.select("topic", "partition", "op", *ids)
 

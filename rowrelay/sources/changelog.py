@@ -15,6 +15,18 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """``value``, ``topic`` and ``partition`` of files delivered by partition.
+
+    A folder that nothing was delivered to has no topic folders, and gives no rows.
+    """
+    found = spark.read.text(path)
+    if "topic" in found.columns:
+        return spark.read.schema("value string, topic string, partition int").text(path)
+    none = F.lit(None)
+    return found.select("value", none.cast("string").alias("topic"), none.cast("int").alias("partition"))
+
+
 def read_delivered(spark: SparkSession, path: str) -> DataFrame:
     """``value``, ``topic``, ``partition`` and ``sequence`` of files delivered by partition.
 
@@ -24,7 +36,7 @@ def read_delivered(spark: SparkSession, path: str) -> DataFrame:
     of the parts before come from a small table of counts, so no task needs a whole
     topic partition. One batch delivery per folder: files of two have no common order.
     """
-    files = spark.read.schema("value string, topic string, partition int").text(path)
+    files = read_files(spark, path)
     part = ["_file", "_start"]
     lines = files.select(
         "value",

@@ -160,6 +160,13 @@ def test_order_of_a_constant_topic(spark, small, tmp_path):
     assert places == sorted(places) and len(places) == wire_log(spark, small).count() - 150
 
 
+def test_reading_where_nothing_was_delivered(spark, small, tmp_path):
+    out = str(tmp_path / "out")
+    run_batch(wire_log(spark, small).where("false"), OPTS, files(out, by_partition=True))
+    found = read_delivered(spark, out)
+    assert found.columns == ["value", "topic", "partition", "sequence"] and found.count() == 0
+
+
 def test_narrowing_needs_no_shuffle(spark, small):
     frame = spread(routed(spark, small).repartition(9), 3)
     assert frame.select(F.spark_partition_id()).distinct().count() == 3
