@@ -97,7 +97,8 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
     def text(raw: str) -> None:
         if raw:
             plain = entities.unescape(raw)
-            pieces.append(plain)
+            if not here.dropped:  # also inline elements, such as a button in a paragraph
+                pieces.append(plain)
             here.parts.append(" ".join(plain.split()).encode("utf-8", "replace"))
 
     at = 0

@@ -29,6 +29,11 @@ def test_cut_off_and_odd_markup():
     assert templates.main_text(deep) == "deep"
 
 
+def test_inline_elements_that_are_dropped():
+    page = "<article><p>One <span class='ad'>Buy</span> two</p><button>Share</button><p>Three<noscript>No script</noscript> <textarea>t</textarea><b hidden>h</b><em>four</em></p></article>"
+    assert templates.main_text(page) == "One two\nThree four"
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string")
 
