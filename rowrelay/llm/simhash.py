@@ -29,6 +29,8 @@ SHINGLE = 4
 BUDGET = 4
 #: Fingerprints of one block value that one task joins; more are dealt out by pairs of parts.
 PART = 1 << 18
+#: Parts that each component is dealt out in when its fingerprints get their id.
+PARTS = 64
 _CHUNK = 1 << 16
 
 
@@ -121,9 +123,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     known = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = components(links(known.select("fp"), budget))
-    known = known.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = known.groupBy("root").agg(F.min("low").alias("component_id"))
-    known = saved(known.join(lows, "root").select("fp", "component_id"), "classes")
+    known = saved(known.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "linked")
+    # A component may hold a third of all fingerprints, so each is cut into parts.
+    linked = known.where("root IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(PARTS)).cast("int"))
+    lows = linked.groupBy("root", "part").agg(F.min("low").alias("low")).groupBy("root").agg(F.min("low").alias("component_id"))
+    lows = lows.select("root", "component_id", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    alone = known.where("root IS NULL").select("fp", F.col("low").alias("component_id"))
+    known = saved(alone.unionByName(linked.join(lows, ["root", "part"]).select("fp", "component_id")), "classes")
     return rows.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
