@@ -20,6 +20,10 @@ from rowrelay.llm.common import column, saved, text_digest
 
 #: A subtree of so many different pages of a host is its template.
 PAGES = 5
+#: And of such a share of the host's different pages.
+SHARE = 0.2
+#: A text block of so many words inside an article is prose, whatever element it is in.
+WORDS = 10
 
 # Element names and class words of web pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,11 +50,13 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 
 class Element:
-    __slots__ = ("above", "code", "dropped", "kind", "marks", "parts", "tag")
+    __slots__ = ("above", "code", "dropped", "holds", "kind", "marks", "parts", "prose", "tag")
 
     def __init__(self, tag: str, above: "Element | None", marks: str, dropped: bool):
         self.tag, self.above, self.marks, self.dropped = tag, above, marks, dropped
         self.kind = above.kind if above else ""  # "article" or "main" inside one
+        self.prose = False  # inside an article, and in an element of prose
+        self.holds = False  # the subtree has prose of an article
         self.parts: list[bytes] = []  # of the subtree: texts and the hashes of elements
         self.code = 0
 
@@ -85,6 +91,10 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
         pieces.clear()
         if text:
             blocks.append((text, here))
+            if here.prose or here.kind and text.count(" ") >= WORDS - 1:
+                up = here
+                while up and not up.holds:
+                    up.holds, up = True, up.above
 
     def close() -> None:
         nonlocal here
@@ -140,6 +150,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
         new = Element(tag, here, f"{attributes.get('class', '')} {attributes.get('id', '')}", here.dropped or _unwanted(tag, attributes, here.kind))
         if not new.dropped and (tag in ("article", "main") or attributes.get("role") == "main"):
             new.kind = "article" if tag == "article" or here.kind == "article" else "main"
+        new.prose = bool(new.kind) and (tag in PROSE or here.prose)
         here = new
         every.append(new)
         if tag in RAW:
@@ -155,8 +166,8 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
 
 
 def _template_of(element: Element) -> bool:
-    """Whether an element may be a template: a block with content that is neither an article nor its prose."""
-    return element.tag in BLOCK and element.tag not in ("html", "body", "head", "title", "article", "main", "hr") and bool(element.parts) and not (element.kind and element.tag in PROSE)
+    """Whether an element may be a template: a block with content that is no article, none of its prose and holds none."""
+    return not element.holds and element.tag in BLOCK and element.tag not in ("html", "body", "head", "title", "article", "main", "hr") and bool(element.parts) and not (element.kind and element.tag in PROSE)
 
 
 def _on_site(code: int, site: str) -> int:
@@ -171,6 +182,11 @@ def subtrees(page: str, site: str = "") -> tuple[int, list[int]]:
     return own, sorted({_on_site(e.code, site) for e in every if _template_of(e)})
 
 
+def _site(site: str) -> int:
+    """The number that stands for a site itself; every page of the site has it."""
+    return _on_site(0, site)
+
+
 def _chosen(blocks: list[tuple[str, Element]], every: list[Element], site: str, templates: frozenset[int]) -> list[str]:
     if templates:
         for element in every:  # outer elements come before inner ones
@@ -191,13 +207,15 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = PAGES) -> DataFrame:
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = PAGES, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
     A subtree is a template of a host if at least ``min_pages`` pages of the host whose
-    texts differ have it; copies of one page count once, so an article that is copied
-    often is no template. Paragraphs, lists and tables inside an article or main
-    element are never templates, nor is the element itself. Pages without a host in
+    texts differ have it, and at least ``share`` of the host's pages whose texts differ;
+    copies of one page count once, so an article that is copied often is no template.
+    Paragraphs, lists and tables inside an article or main element are never templates,
+    nor is the element itself, nor anything that holds such prose or a text block of
+    ``WORDS`` words of an article. Pages without a host in
     their url take part in no count. Text blocks are joined by one line break, white
     space inside a block is one space, character references are decoded.
 
@@ -216,23 +234,28 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for value, site in zip(batch.column(3), batch.column(2).to_pylist(), strict=True):
                 page, found = subtrees(value.as_py() or "", site)
                 own.append(_signed(page))
-                codes.append([_signed(c) for c in found] if site else [])
+                codes.append([_signed(c) for c in (_site(site), *found)] if site else [])
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(own, pa.int64()), pa.array(codes, pa.list_(pa.int64()))], names=["page_id", "digest", "own", "codes"])
 
     hashed = narrow.select("page_id", "digest", host.alias("host"), "html").mapInArrow(hash_all, f"page_id {kind}, digest long, own long, codes array<long>")
     hashed = saved(hashed, "subtrees")
-    each = hashed.select("page_id", "digest", "own", F.explode("codes").alias("code"))  # a code is a subtree of a host
+    each = hashed.select("page_id", "digest", "own", F.explode("codes").alias("code"))  # a code is a subtree of a host, or the host
     often = each.groupBy("code", "own").agg(F.lit(1).alias("one")).groupBy("code").agg(F.count("*").alias("texts"))
-    often = often.where(F.col("texts") >= min_pages).select("code")
-    gone = each.select("page_id", "digest", "code").join(often, "code").groupBy("page_id", "digest").agg(F.collect_set("code").alias("gone"))
-    gone = gone.select(F.col("page_id").alias("__id"), F.col("digest").alias("__of"), "gone")
+    often = often.where(F.col("texts") >= min_pages)
+    gone = each.select("page_id", "digest", "code").join(often, "code").groupBy("page_id", "digest").agg(F.collect_set(F.struct("code", "texts")).alias("gone"))
+    gone = gone.select(F.col("page_id").alias("__id"), F.col("digest").alias("__of"), F.col("gone.code").alias("gone"), F.col("gone.texts").alias("texts"))
     same = F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__of"))
-    joined = narrow.join(gone.hint("merge"), same, "left").select("page_id", "url", "html", host.alias("host"), "gone")
+    joined = narrow.join(gone.hint("merge"), same, "left").select("page_id", "url", "html", host.alias("host"), "gone", "texts")
+
+    def templates_of(site: str, codes: list[int] | None, texts: list[int] | None) -> frozenset[int]:
+        times = {c & (1 << 64) - 1: n for c, n in zip(codes or (), texts or (), strict=True)}
+        least = share * times.pop(_site(site), 0)
+        return frozenset(c for c, n in times.items() if n >= least)
 
     def extract_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
-            texts = [main_text(page.as_py() or "", site, frozenset(c & (1 << 64) - 1 for c in codes or ())) for page, site, codes in rows]
+            rows = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+            texts = [main_text(page.as_py() or "", site, templates_of(site, codes, often)) for page, site, codes, often in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     out = joined.mapInArrow(extract_all, f"page_id {kind}, url {link_kind}, text string")

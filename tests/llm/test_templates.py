@@ -57,6 +57,18 @@ def test_templates_of_a_host(spark):
     assert templates.extracted(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_prose_that_pages_share_stays(spark):
+    """Syndicated article bodies, whatever wraps them, and what only a small share of a host's pages has."""
+    body = "<p>The same story</p><p>Told again</p>"
+    loose = "a text of more than ten words without any paragraph around it"
+    wraps = ["div class=body", "section", "details", "address"]
+    rows = [(10 * k + i, f"https://w{k}.example/{i}", f"<article><h1>Title {i}</h1><{w}>{body}</{w.split()[0]}><div>{loose}</div><div>Read more</div></article>", "") for k, w in enumerate(wraps) for i in range(6)]
+    rows += [(100 + i, f"https://big.example/{i}", f"<body><div>Menu of all</div><p>Text {i}</p>{'<h2>Summary</h2><p>Shared passage</p>' if i < 6 else ''}</body>", "") for i in range(60)]
+    texts = {r.page_id: r.text for r in templates.extracted(frame(spark, rows)).collect()}
+    assert [texts[10 * k + i] for k in range(4) for i in range(6)] == [f"Title {i}\nThe same story\nTold again\n{loose}" for _ in range(4) for i in range(6)]
+    assert [texts[100 + i] for i in range(60)] == [f"Text {i}" + ("\nSummary\nShared passage" if i < 6 else "") for i in range(60)]
+
+
 def test_query_gives_the_articles(spark):
     """The pages' articles are documents: heading and paragraphs, here by a plain search."""
     import html
