@@ -138,6 +138,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     The corpus is read once. Only shingles that pass a filter of fixed size over the
     items' shingles leave the scan; the joins are on what is left.
     """
+    return _contamination(docs, items, id_col, text_col, item_col, item_text_col, window, shingle, filter_bits).drop("digest")
+
+
+def _contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """What ``contamination`` returns, with the digest of each row's text."""
     held = saved(windows(items, item_col, item_text_col, window, shingle), "windows")
     distinct = held.groupBy("words").agg(F.first("n").alias("n"), F.first("shingle").alias("shingle"), F.first("hashes").alias("hashes"))
     tokens = distinct.select("words", "n", F.posexplode("hashes").alias("offset", "hash"))
@@ -168,14 +173,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     out = rows.drop("hits").join(both, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     listed = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"), (n_hit > 0).alias("contaminated"))
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
     """The documents without a window of an item, all columns kept.
 
-    Rows without an id can't be told apart by their decision, so they stay.
+    Decisions are by id, and rows without an id stay. With ``by_text`` they are by id,
+    also a null one, and text, so each row is decided by its own text.
     """
-    (own,) = unused(docs, "__id")
-    bad = contamination(docs, items, id_col, text_col).where("contaminated").select(F.col("doc_id").alias(own)).distinct()
-    return docs.join(bad, F.expr(f"`{id_col}` = `{own}`"), "left_anti")
+    own, of = unused(docs, "__id", "__of")
+    bad = _contamination(docs, items, id_col, text_col).where("contaminated").select(F.col("doc_id").alias(own), F.col("digest").alias(of))
+    if not by_text:
+        return docs.join(bad.select(own).distinct(), F.expr(f"`{id_col}` = `{own}`"), "left_anti")
+    digest = text_digest(column(docs, text_col).cast("string"))
+    return docs.join(bad.distinct(), column(docs, id_col).eqNullSafe(F.col(own)) & (digest == F.col(of)), "left_anti")

@@ -69,3 +69,12 @@ def test_clean_keeps_columns(spark):
     kept = decontaminate.clean(docs, items)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2]
+
+
+def test_clean_decides_each_text(spark):
+    """Rows without an id, and texts that share one, are decided by their own text."""
+    passage = "a b c d e f g h i j"
+    docs = spark.createDataFrame([(1, passage), (1, "fine"), (None, passage + " k"), (None, "fine too"), (None, None), (2, "fine"), (2, "fine")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontaminate.clean(docs, items, by_text=True)
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(1, "fine"), (None, "fine too"), (None, None), (2, "fine"), (2, "fine")]))
