@@ -28,6 +28,8 @@ ENTROPY = 3.5
 DIGITS = 3
 #: A value of more owners is a widely copied example.
 OWNERS = 2
+#: So is one that any single owner has in more distinct repositories.
+REPOSITORIES = 10
 MASK = "<secret>"
 
 
@@ -74,27 +76,40 @@ def _scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, digest long, owner string, repository string, found array<struct<start:int,end:int,kind:string,hash:string>>, base_sha256 string")
 
 
+def _pairs(rows: DataFrame) -> DataFrame:
+    """(hash, owner, repository, times) of every distinct pair of an owner and a repository that have a value."""
+    each = rows.where(F.size("found") > 0).select("repository", "owner", F.explode("found.hash").alias("hash"))
+    return each.groupBy("hash", "owner", "repository").agg(F.count("*").alias("times"))
+
+
+def live(rows: DataFrame, max_owners: int = OWNERS, max_repositories: int = REPOSITORIES) -> DataFrame:
+    """(hash) of the values that few owners have, each of them in few repositories."""
+    owners = _pairs(rows).groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
+    values = owners.groupBy("hash").agg(F.count("*").alias("owners"), F.max("repositories").alias("most"))
+    return values.where((F.col("owners") <= max_owners) & (F.col("most") <= max_repositories)).select("hash")
+
+
 def ownership(rows: DataFrame) -> DataFrame:
     """(hash, times, repositories, owners) of every candidate value of the corpus.
 
     Distinct pairs are formed before they are counted, so a value that a third of all
     rows hold is a few partial sums for each task.
     """
-    each = rows.where(F.size("found") > 0).select("repository", "owner", F.explode("found.hash").alias("hash"))
-    pairs = each.groupBy("hash", "owner", "repository").agg(F.count("*").alias("times"))
+    pairs = _pairs(rows)
     owners = pairs.groupBy("hash", "owner").agg(F.sum("times").alias("times"))
     owners = owners.groupBy("hash").agg(F.sum("times").alias("times"), F.count("*").alias("owners"))
     repositories = pairs.select("hash", "repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories"))
     return owners.join(repositories, "hash").select("hash", "times", "repositories", "owners")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None, max_owners: int = OWNERS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None, max_owners: int = OWNERS, max_repositories: int = REPOSITORIES) -> DataFrame:
     """(doc_id, digest, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of every row.
 
     Spans of the kinds assign, access and hex are always reported. A further value that
     looks random (kind value) is reported if its hash has at most ``max_owners``
-    distinct owners in the corpus: then it looks live, while a value of more owners is
-    a widely copied example. n_live and n_copied count the reported spans of each sort.
+    distinct owners in the corpus and none of them has it in more than
+    ``max_repositories`` distinct repositories: then it looks live, while a value of
+    more owners, or of more repositories of one owner, is a widely copied example. n_live and n_copied count the reported spans of each sort.
     A document is its own repository unless ``repository_col`` is given. Owners or
     repositories that are null count as one more. Null texts are empty; repeated rows
     each get a row; an empty table gives none. Other columns are not read.
@@ -104,10 +119,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     repository = doc_id if repository_col is None else column(docs, repository_col)
     names = [column(docs, owner_col).cast("string").alias("owner"), repository.cast("string").alias("repository")]
     rows = saved(_scan(docs.select(doc_id, text_digest(text).alias("digest"), *names, text.alias("text"))), "secrets")
-    live = ownership(rows).where(F.col("owners") <= max_owners).select("hash")
+    few = live(rows, max_owners, max_repositories)
     keys = ["doc_id", "digest"]
     each = rows.where(F.size("found") > 0).select(*keys, F.explode("found.hash").alias("hash")).distinct()
-    own = each.join(live, "hash").groupBy(*keys).agg(F.collect_set("hash").alias("live"))
+    own = each.join(few, "hash").groupBy(*keys).agg(F.collect_set("hash").alias("live"))
     own = own.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), "live")
     out = rows.join(own, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__of")), "left")
     out = out.withColumn("live", F.coalesce("live", F.array().cast("array<string>")))

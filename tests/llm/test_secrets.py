@@ -57,6 +57,19 @@ def test_ownership_decides_further_values(spark):
     assert secrets.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_copies_inside_one_source(spark):
+    """A value in many documents of one source, or of two, is an example; many copies in one repository are not."""
+    rows = [(i, f"see {VALUE} here", "hot", 1, "") for i in range(30)]
+    rows += [(100 + i, f"see {VALUE[::-1]} here", "hot", 1, "") for i in range(10)] + [(200, f"see {VALUE[::-1]} here", "b", 1, "")]
+    rows += [(300, f"see {VALUE.swapcase()} here", "hot", 1, "") for _ in range(30)]
+    found = secrets.scan(frame(spark, rows)).collect()
+    assert {(r.doc_id // 100, r.spans, r.n_live) for r in found} == {(0, "", 0), (1, "value:4:24", 1), (2, "value:4:24", 1), (3, "value:4:24", 1)}
+    token = secrets.scan(frame(spark, [(i, f"token={HEX}", "hot", 1, "") for i in range(30)])).collect()
+    assert {(r.n_assign, r.n_hex, r.n_live, r.n_copied) for r in token} == {(1, 1, 0, 2)}
+    done = secrets.redacted(frame(spark, rows)).collect()
+    assert {(r.doc_id // 100, secrets.MASK in r.text) for r in done} == {(0, False), (1, True), (2, True), (3, True)}
+
+
 def test_long_and_repeated_rows(spark):
     text = "ab " * 100_000 + f"token={HEX} " + "x" * 50_000
     found = secrets.scan(frame(spark, [(1, text, "a", 1, "")] * 3)).collect()
