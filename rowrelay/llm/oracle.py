@@ -141,6 +141,30 @@ FROM a ANTI JOIN c ON a.conv = c.conv AND a.id = c.id
 """
 
 
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+    1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= 10
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_license_scan": LICENSES,
@@ -148,4 +172,5 @@ def all_oracles() -> dict[str, str]:
         "op4_benchmark_decontamination": DECONTAMINATION,
         "op6_source_mixing": MIXING,
         "op9_tool_call_linking": TOOL_CALLS,
+        "op12_source_divergence": DIVERGENCE,
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowrelay.llm import cotraining, decontaminate, licenses, likelihood, mixture, secrets, simhash, templates, toolcalls, warc
+from rowrelay.llm import cotraining, decontaminate, divergence, licenses, likelihood, mixture, periodic, secrets, simhash, templates, toolcalls, warc
+from rowrelay.llm.common import WORD
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,6 +67,42 @@ def op10_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     return likelihood.judged(table(spark, folder, "documents"), trusted)
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents; every tenth by the checksum of its id repeats words from some place on."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(code / 10).cast("int")
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        again = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(F.flatten(again), F.lit(1), n - a)), " ")
+
+    # The words are bound by a function, as each step would take them out of the text again.
+    found = F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    new = F.transform(found, lambda words: F.when(F.size(words) > 0, repeated(words)))[0]
+    return docs.withColumn("text", F.when(code % 10 == 0, F.coalesce(new, "text")).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.strongest(periodic.runs(planted_runs(table(spark, folder, "documents"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.call_function("div", 1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op")]
     return {f.__name__: f for f in found}
