@@ -173,24 +173,25 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     shares = saved(shares, "shares")
 
     rows = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("who", "p", "p0")).alias("postings")).select("lang", "postings")
-    met = rows.mapInArrow(_partial_sums, "lang string, a long, b long, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("met"))
+    met = rows.mapInArrow(_partial_sums, "lang string, a long, b long, value long")
 
     # What a source's terms add against a peer that has none of them: a sum over the source's different counts.
     levels = shares.groupBy("lang", "who", "p").agg(F.count("*").alias("times"))
     levels = levels.groupBy("lang", "who").agg(F.collect_list(F.struct("p", "times")).alias("levels"))
     each = saved(sources.join(levels, ["lang", "who"], "left"), "levels")
-    # A language may hold most sources, so its pairs are dealt out by the first one.
+    # A language may hold most sources, so its pairs are dealt out by the first one; the narrow side is copied.
     part = F.pmod("who", F.lit(_DEAL)).alias("part")
-    one = each.select("lang", part, *[F.col(c).alias(f"{c}_a") for c in ("who", "source", "p0", "levels")], "kept")
-    two = each.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_DEAL - 1).cast("long"))).alias("part"), *[F.col(c).alias(f"{c}_b") for c in ("who", "source", "p0", "levels")])
+    one = each.select("lang", part, F.col("who").alias("a"), F.col("source").alias("source_a"), F.col("p0").alias("p0_a"), "levels", "kept")
+    two = sources.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_DEAL - 1).cast("long"))).alias("part"), F.col("who").alias("b"), F.col("source").alias("source_b"), F.col("p0").alias("p0_b"))
     base = gap(F.col("p0_a"), F.col("p0_b"))
-
-    def against(levels: str, peer: str) -> Column:
-        return F.coalesce(F.aggregate(levels, F.lit(0).cast("long"), lambda s, x: s + x["times"] * (gap(x["p"], F.col(peer)) - base)), F.lit(0).cast("long"))
-
-    pairs = one.join(two, ["lang", "part"]).where("who_a < who_b")
-    pairs = pairs.select("lang", F.col("who_a").alias("a"), F.col("who_b").alias("b"), "source_a", "source_b", (F.col("kept") * base + against("levels_a", "p0_b") + against("levels_b", "p0_a")).alias("least"))
-    pairs = pairs.join(met, ["lang", "a", "b"], "left").select("lang", "source_a", "source_b", (F.col("least") + F.coalesce("met", F.lit(0))).alias("value"))
+    against = F.aggregate("levels", F.lit(0).cast("long"), lambda s, x: s + x["times"] * (gap(x["p"], F.col("p0_b")) - base))
+    both = one.join(two, ["lang", "part"]).where("a <> b")
+    ahead = F.col("a") < F.col("b")
+    least = F.coalesce(against, F.lit(0)) + F.when(ahead, F.col("kept") * base).otherwise(0)
+    names = F.when(ahead, F.struct("source_a", "source_b")).alias("names")
+    least = both.select("lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), least.alias("value"), names)
+    pairs = least.unionByName(met, allowMissingColumns=True).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.max("names").alias("names"))
+    pairs = pairs.select("lang", "value", "names.*")
     both = F.inline(F.array(F.struct(F.col("source_a").alias("source"), F.col("source_b").alias("item")), F.struct(F.col("source_b").alias("source"), F.col("source_a").alias("item"))))
     pairs = pairs.select("lang", "value", both)
     first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

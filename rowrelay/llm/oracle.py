@@ -141,6 +141,17 @@ FROM a ANTI JOIN c ON a.conv = c.conv AND a.id = c.id
 """
 
 
+NEIGHBOURS = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda x, y: x + y) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
+"""
+
 DIVERGENCE = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -172,5 +183,6 @@ def all_oracles() -> dict[str, str]:
         "op4_benchmark_decontamination": DECONTAMINATION,
         "op6_source_mixing": MIXING,
         "op9_tool_call_linking": TOOL_CALLS,
+        "op11_onebit_neighbours": NEIGHBOURS,
         "op12_source_divergence": DIVERGENCE,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowrelay.llm import cotraining, decontaminate, divergence, licenses, likelihood, mixture, periodic, secrets, simhash, templates, toolcalls, warc
+from rowrelay.llm import cotraining, decontaminate, divergence, licenses, likelihood, mixture, onebit, periodic, secrets, simhash, templates, toolcalls, warc
 from rowrelay.llm.common import WORD
 
 
@@ -67,6 +67,10 @@ def op10_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     return likelihood.judged(table(spark, folder, "documents"), trusted)
 
 
+def op11_onebit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
