@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowrelay.llm.common import WORD, column, saved
+from rowrelay.llm.common import WORD, column, saved, text_digest, unused
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -77,8 +77,8 @@ def draw(seed: int, *parts: Column) -> Column:
     return (F.conv(F.substring(F.md5(named), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 7, marked: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row; ``marked`` adds the text's digest.
 
     size counts a text's words (null: 0). taken is how many words the mix takes, repeats
     counted: first whole epochs, as many as the target holds, then, in the order of the
@@ -98,7 +98,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     heavy = F.when(given > 0, given).otherwise(1.0)
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     key = -F.log(draw(seed, doc_id)) / heavy
-    rows = docs.select(doc_id.alias("doc_id"), source.isNull().alias("unnamed"), F.coalesce(source, F.lit("")).alias("source"), size.alias("size"), key.alias("key"))
+    rows = docs.select(doc_id.alias("doc_id"), source.isNull().alias("unnamed"), F.coalesce(source, F.lit("")).alias("source"), size.alias("size"), key.alias("key"), *([text_digest(text).alias("digest")] if marked else []))
     group = ["unnamed", "source"]
     rows = saved(rows, "drawn")  # dealing out by ranges samples its input, which would read the texts twice
     rows = saved(running(rows, group, ["key", "doc_id", "size"], {"before": "size"}), "keys")
@@ -108,4 +108,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = F.floor(F.col("target") - epochs * F.col("source_size")) - F.col("before")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     name = F.when(~F.col("unnamed"), F.col("source"))
-    return rows.select("doc_id", name.alias("source"), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return rows.select("doc_id", name.alias("source"), "size", "source_size", "target", taken.cast("long").alias("taken"), *(["digest"] if marked else []))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents that the mix takes words of: all columns, and size, source_size, target and taken.
+
+    The figures are :func:`mix`'s; a column of the documents with one of their names gives
+    way. Rows are told apart by id, also a null one, and text; a repeated row is
+    returned once, with all its copies' taken words.
+    """
+    figures = ["size", "source_size", "target", "taken"]
+    found = mix(docs, id_col, text_col, source_col, marked=True, **options)
+    own, of = unused(docs, "__id", "__of")
+    alike = found.groupBy(F.col("doc_id").alias(own), F.col("digest").alias(of))
+    sums = alike.agg(*[F.max(c).alias(c) for c in figures[:3]], F.sum("taken").alias("taken"), F.count("*").alias("copies")).where("taken > 0")
+    sums = saved(sums, "taken")
+    rows = docs.drop(*figures)
+
+    def joined(some: DataFrame) -> DataFrame:
+        same = column(rows, id_col).eqNullSafe(F.col(own)) & (text_digest(column(rows, text_col).cast("string")) == F.col(of))
+        return rows.join(some.drop("copies"), same)
+
+    again = sums.where("copies > 1")
+    out = joined(sums.where("copies = 1"))
+    if not again.isEmpty():
+        out = out.unionByName(joined(again).dropDuplicates([own, of]))
+    return out.drop(own, of)

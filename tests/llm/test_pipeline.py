@@ -4,8 +4,9 @@ from collections import defaultdict
 
 from test_decontaminate import slow as slow_windows
 from test_mixture import slow_targets
+from test_nearcopies import slow_pairs
 from test_secrets import slow_base
-from test_simhash import slow_components, slow_fingerprint
+from test_simhash import roots_of
 
 import corpus_pipeline
 from rowrelay.llm import cotraining, secrets
@@ -28,9 +29,9 @@ def test_stages(spark, small):
     assert good == {k: r for k, r in raw.items() if k in kept}
     assert 0.8 * len(raw) < len(good) < len(raw)
 
-    ids = list(good)
-    roots = slow_components(ids, [slow_fingerprint(good[k].text) for k in ids])
-    assert apart == {k: good[k] for k, root in zip(ids, roots) if k == root}
+    ids = sorted(good)
+    roots = roots_of(slow_pairs([good[k].text for k in ids]), len(ids))
+    assert apart == {k: good[k] for i, k in enumerate(ids) if roots[i] == i}
 
     items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
     assert clean == {k: r for k, r in apart.items() if not slow_windows(r.text, items)[1]}
@@ -49,6 +50,7 @@ def test_stages(spark, small):
         sizes[r.source] += words[k]
     taken = defaultdict(int)
     for k, r in mix.items():
+        assert r[: len(docs.columns)] == masked[k]  # the cleaned text, masks included
         assert r.size == words[k] and 0 < r.taken <= 2 * r.size
         taken[r.source] += r.taken
     assert taken == {s: int(t) for s, t in slow_targets(dict(sizes)).items()}

@@ -118,3 +118,15 @@ def test_components(spark):
     roots = roots_of(real, 5001)
     assert found == {v: roots[v] for e in real for v in e}
     assert components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+def test_components_of_a_path(spark, monkeypatch):
+    """Nodes in the order of the path: rounds grow with the logarithm of its length."""
+    from rowrelay.llm import components as module
+
+    names = []
+    monkeypatch.setattr(module, "saved", lambda frame, name: (names.append(name), frame.sparkSession.createDataFrame(frame.collect(), frame.schema))[1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1000)], "a long, b long")
+    found = dict(map(tuple, components(edges).collect()))
+    assert found == dict.fromkeys(range(1001), 0)
+    assert names.count("step") <= 25
