@@ -12,12 +12,13 @@ def components(edges: DataFrame) -> DataFrame:
     """The smallest node reachable from each node that has an edge.
 
     ``edges`` has two columns of one type. Returns (node, root). Each round puts the nodes
-    in a new random order, by a hash, maps every node to the first of its neighbours and
-    itself, and replaces the edges by those between the images. The graph shrinks by a
-    constant factor a round whatever its shape, so a path takes as many rounds as the
-    logarithm of its length. The rounds' maps are then applied one after the other, and
-    each image's smallest node is its root. A node with a huge number of neighbours is a
-    partial minimum in each task and a join key that adaptive execution splits.
+    in a new random order, by a hash, maps every node to the first one within two steps,
+    itself included, and replaces the edges by those between the images. A star or a
+    small group is done in one round, and any graph shrinks by a constant factor a round,
+    so a path takes as many rounds as the logarithm of its length. The rounds' maps are
+    then applied one after the other, and each image's smallest node is its root. A node
+    with a huge number of neighbours is a partial minimum in each task and a join key that
+    adaptive execution splits.
 
     Null ends and edges from a node to itself are ignored. No edges give no rows.
     """
@@ -30,8 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
         def place(node: str, turn: int = len(steps)):
             return F.struct(F.xxhash64(node, F.lit(turn)).alias("at"), F.col(node).alias("node"))
 
-        first = left.groupBy("a").agg(F.min(place("b")).alias("low"))
-        step = saved(first.select("a", F.least(place("a"), "low")["node"].alias("low")), "step")
+        first = left.groupBy("a").agg(F.min(place("b")).alias("low")).select("a", F.least(place("a"), "low").alias("low"))
+        onward = left.join(first.select(F.col("a").alias("b"), "low"), "b").groupBy("a").agg(F.min("low").alias("next"))
+        step = saved(onward.join(first, "a").select("a", F.least("low", "next")["node"].alias("low")), "step")
         steps.append(step)
         ends = left.join(step, "a").select(F.col("low").alias("x"), "b")
         ends = ends.join(step.select(F.col("a").alias("b"), F.col("low").alias("y")), "b").where("x <> y")
