@@ -11,12 +11,12 @@ from rowrelay.functions.position import position_order
 from rowrelay.streaming.folders import staged
 
 
-def _key(name: str) -> Column:
+def row_key(name: str) -> Column:
     """A deleted row has its key in the old image only."""
     return F.coalesce(F.col(f"after.`{name}`"), F.col(f"before.`{name}`"))
 
 
-def _newest(rows: DataFrame, keys: Sequence[str], position: Sequence[Column]) -> DataFrame:
+def newest(rows: DataFrame, keys: Sequence[str], position: Sequence[Column]) -> DataFrame:
     """The row with the last position of each key.
 
     Filtering on ``row_number() = 1`` lets Spark keep one record per key in each
@@ -29,7 +29,7 @@ def _newest(rows: DataFrame, keys: Sequence[str], position: Sequence[Column]) ->
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _no_truncate(op: Column) -> Column:
+def no_truncate(op: Column) -> Column:
     """The operation; a truncate has no row image, so it can't be replayed row by row."""
     refused = F.raise_error(F.lit("a truncate can't be replayed; replay the records after it"))
     return F.when(op == "t", refused.cast("string")).otherwise(op)
@@ -60,15 +60,15 @@ def last_changes(changes: DataFrame, keys: Sequence[str] = ("id",), truncates: b
     rows = changes.where(F.col("op").isNotNull()).select(
         F.col("source.db").alias("db"),
         F.col("source.table").alias("table"),
-        *[_key(k).alias(f"_key_{k}") for k in keys],
+        *[row_key(k).alias(f"_key_{k}") for k in keys],
         *[c.alias(n) for c, n in zip(position_order(), place)],
-        (F.col("op") if truncates else _no_truncate(F.col("op"))).alias("op"),
+        (F.col("op") if truncates else no_truncate(F.col("op"))).alias("op"),
         "after",
     )
     if truncates:
         rows = _past_truncates(rows, [F.col(c) for c in place])
     names = ["db", "table", *[f"_key_{k}" for k in keys]]
-    return _newest(rows, names, [F.col(c) for c in place]).drop(*place)
+    return newest(rows, names, [F.col(c) for c in place]).drop(*place)
 
 
 def replay_records(records: DataFrame, truncates: bool = False) -> DataFrame:
@@ -83,8 +83,8 @@ def replay_records(records: DataFrame, truncates: bool = False) -> DataFrame:
     if truncates:
         rows = _past_truncates(rows, position_order(""))
     else:
-        rows = rows.withColumn("op", _no_truncate(F.col("op")))
-    last = _newest(rows, ("db", "table", "_key"), position_order(""))
+        rows = rows.withColumn("op", no_truncate(F.col("op")))
+    last = newest(rows, ("db", "table", "_key"), position_order(""))
     return last.where(F.col("op") != "d").drop("_key")
 
 

@@ -12,12 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
 from rowrelay.functions.position import Position
-from rowrelay.functions.record import parse
-from rowrelay.operators.capture import high_water_mark
 from rowrelay.options import Options
 from rowrelay.plans.delivery import run_batch, table_snapshot
 from rowrelay.sinks.targets import Target
-from rowrelay.sources.changelog import read_text, stream_text
+from rowrelay.sources.changelog import stream_text
+from rowrelay.sources.logindex import LogIndex
 from rowrelay.streaming.folders import file_system
 from rowrelay.streaming.job import checkpoint_location, start_stream
 
@@ -44,10 +43,13 @@ def _write_mark(spark: SparkSession, path: str, mark: Position) -> None:
 
 
 def start_mark(spark: SparkSession, log: str, opts: Options, place: str) -> Position:
-    """The end of the log when the job was first started, remembered in ``place``."""
+    """The end of the log when the job was first started, remembered in ``place``.
+
+    It comes from an index of the log's files next to the job, which parses each file once.
+    """
     path = f"{place}-mark"
     if not _written(spark, path):
-        end = high_water_mark(parse(read_text(spark, log), key_column=opts.key_column, position=True), "")
+        end = LogIndex(spark, log, f"{place}-index", opts.key_column).end()
         _write_mark(spark, path, end or BEFORE_ALL)
     return Position(*spark.read.schema("sequence long, pos long, row int").json(path).first())
 

@@ -66,6 +66,23 @@ later AS (
 handoff AS (SELECT * FROM at_mark UNION ALL SELECT * FROM later)"""
 )
 
+# The order table's inserts, updates and deletes, by stretches of the log and chunks of the key.
+MOVING = """
+bounds AS (SELECT max(o_orderkey) AS last FROM orders),
+keyed AS (SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(14,2)) AS price,
+    CASE WHEN o_orderkey < last // 4 THEN 0 WHEN o_orderkey < last * 2 // 4 THEN 1 WHEN o_orderkey < last * 3 // 4 THEN 2 ELSE 3 END AS chunk
+  FROM orders, bounds),
+moving AS (
+  SELECT id, chunk, 0 AS stretch, id * 4 AS pos, 'c' AS op, CAST(NULL AS BIGINT) AS before_id, id AS after_id, status AS after_status,
+    CAST(price AS DOUBLE) AS after_price FROM keyed
+  UNION ALL
+  SELECT id, chunk, 1 + (id * 48271 % 1000003 * 4) // 666669, id * 48271 % 1000003 * 4, 'u', id, id, 'X', CAST(CAST(price + 1 AS DECIMAL(14,2)) AS DOUBLE)
+  FROM keyed WHERE id % 3 = 0
+  UNION ALL
+  SELECT id, chunk, 7 + (id * 69621 % 1000003 * 4) // 666669, id * 69621 % 1000003 * 4, 'd', id, NULL, NULL, NULL
+  FROM keyed WHERE id % 5 = 0
+)"""
+
 FLAT = "file, pos, db, tbl, op, before_id, after_id, after_status, after_price"
 
 ORDER_VERSIONS = """
@@ -184,6 +201,14 @@ SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END A
   o.id AS before_id, o.user_id AS before_user_id, o.status AS before_status, CAST(o.price AS DOUBLE) AS before_price,
   n.id AS after_id, n.user_id AS after_user_id, n.status AS after_status, CAST(n.price AS DOUBLE) AS after_price
 FROM old_rows o FULL OUTER JOIN new_rows n ON o.id = n.id
+WHERE o.id IS NULL OR n.id IS NULL OR o.user_id IS DISTINCT FROM n.user_id OR o.status IS DISTINCT FROM n.status
+  OR o.price IS DISTINCT FROM n.price OR o.created_time IS DISTINCT FROM n.created_time""",
+        "diff_by_ranges": f"""WITH {ORDER_VERSIONS}, near_rows AS (
+  SELECT * FROM old_rows WHERE id // 100 % 100 <> 40 UNION ALL SELECT * FROM new_rows WHERE id // 100 % 100 = 40)
+SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END AS op,
+  o.id AS before_id, o.user_id AS before_user_id, o.status AS before_status, CAST(o.price AS DOUBLE) AS before_price,
+  n.id AS after_id, n.user_id AS after_user_id, n.status AS after_status, CAST(n.price AS DOUBLE) AS after_price
+FROM old_rows o FULL OUTER JOIN near_rows n ON o.id = n.id
 WHERE o.id IS NULL OR n.id IS NULL OR o.user_id IS DISTINCT FROM n.user_id OR o.status IS DISTINCT FROM n.status
   OR o.price IS DISTINCT FROM n.price OR o.created_time IS DISTINCT FROM n.created_time""",
         "diff_applied": f"""WITH {ORDER_VERSIONS}
@@ -280,6 +305,13 @@ SELECT topic, file, pos, after_id AS row_id, op FROM routed""",
 UNION ALL SELECT after_id, topic, part FROM routed""",
         "job_initial": job.format(log=HANDOFF, name="handoff"),
         "job_latest": job.format(log=HANDOFF, name="later"),
+        "job_latest_indexed": job.format(log=HANDOFF, name="later"),
+        "snapshot_resumed": f"""WITH {MOVING}, kept AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY stretch DESC, pos DESC) AS rn FROM moving WHERE stretch <= 2 + 2 * chunk),
+meanwhile AS (SELECT DISTINCT id FROM moving WHERE stretch IN (3 + 2 * chunk, 4 + 2 * chunk))
+SELECT 'test' AS db, 'tb_order' AS tbl, 'r' AS op, CAST(NULL AS BIGINT) AS before_id, after_id, after_status, after_price
+FROM kept ANTI JOIN meanwhile USING (id) WHERE rn = 1 AND op <> 'd'
+UNION ALL SELECT 'test', 'tb_order', op, before_id, after_id, after_status, after_price FROM moving WHERE stretch > 2 + 2 * chunk""",
         "job_timestamp": job.format(log=CHANGES, name="changes WHERE pos >= 30000"),
         "order_projection": f"""WITH {ORDER_STEPS}
 SELECT id, user_id, user_id % 44444 AS inviter_id, goods_id, CAST(floor(goods_id / 100) AS BIGINT) AS goods_cate_id,
@@ -313,6 +345,8 @@ SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FRO
         "replay_mixed_tables": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, after_id AS id, op, pos FROM newest WHERE rn = 1 AND op <> 'd'
 UNION ALL SELECT 'app', 'ev_' || event_type, event_id, 'c', event_id * 100 FROM events""",
+        "merge_batches": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
+SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FROM newest WHERE rn = 1 AND op <> 'd'""",
         "last_change_per_row": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, coalesce(after_id, before_id) AS id, op FROM newest WHERE rn = 1""",
     }

@@ -15,11 +15,12 @@ from rowrelay import fixed
 from rowrelay.functions import values as V
 from rowrelay.functions.position import Position, is_after
 from rowrelay.functions.record import decode, encode, parse
-from rowrelay.operators import capture, filters, routing
+from rowrelay.operators import capture, filters, rangediff, routing
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
 from rowrelay.options import Options
 from rowrelay.plans import orders as order_rules
+from rowrelay.plans.chunks import Chunk, ChunkedTable, capture_in_chunks, snapshot_chunks
 from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
 from rowrelay.plans.job import Table, run_job
 from rowrelay.plans.tablelog import (
@@ -28,15 +29,18 @@ from rowrelay.plans.tablelog import (
     change_log,
     drawn_orders,
     event_log,
+    moving_log,
     order_versions,
     truncates,
     wire_log,
 )
 from rowrelay.sinks import records as outgoing
+from rowrelay.sinks.buckets import BucketedState
 from rowrelay.sinks.targets import files
 from rowrelay.sources.changelog import read_delivered, read_files, stream_text
+from rowrelay.sources.logindex import LogIndex
 from rowrelay.sources.tables import read_parquet
-from rowrelay.streaming.folders import new_folder
+from rowrelay.streaming.folders import new_folder, staged
 from rowrelay.streaming.job import start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,6 +239,26 @@ def table_diff(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _near_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The order table and a version of it that differs in a hundredth of the keys alone, and by a few new ones."""
+    old, new = order_versions(spark, folder)
+    near = F.call_function("div", F.col("id"), F.lit(100).cast("bigint")) % 100 == 40
+    return old, old.where(~near).unionByName(new.where(near))
+
+
+@query
+def diff_by_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The changes between two versions, from the key ranges whose checksums differ."""
+    old, new = _near_versions(spark, folder)
+    found = rangediff.diff_by_ranges(old, new, ["id"], "test", "tb_order", mark=MARK, ts_ms=F.lit(START_MS), processed_ms=F.lit(START_MS))
+    return found.select(
+        "op",
+        *[F.col(f"before.{c}").alias(f"before_{c}") for c in ("id", "user_id", "status")],
+        *[F.col(f"after.{c}").alias(f"after_{c}") for c in ("id", "user_id", "status")],
+        *[V.decimal_to_double(F.col(f"{i}.price")).alias(f"{i}_price") for i in ("before", "after")],
+    )
+
+
 @query
 def diff_applied(spark: SparkSession, folder: str) -> DataFrame:
     """The old version with the difference applied is the new version."""
@@ -645,6 +669,59 @@ def job_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return _job(spark, folder, fixed.START_TIMESTAMP)
 
 
+@query
+def job_latest_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """What came after the end of the log, from the files that reach past it alone."""
+    wire = parse(wire_log(spark, folder), position=True)
+    later = is_after(MARK, "")
+    source, out = _stage(wire.where(~later).select("value"), "log"), new_folder(spark, "delivered")
+    index = LogIndex(spark, source, new_folder(spark, "index"))
+    end = index.end()
+    wire.where(later).select("value").write.mode("append").text(source)
+    run_batch(index.read_after(end), FOUR.with_(start_after=end), files(out, by_partition=True))
+    found = parse(read_files(spark, out), keep=["topic", "partition"], before=True)
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
+    return found.select("topic", "partition", "op", *ids)
+
+
+@query
+def snapshot_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot in four chunks while the log moves on, broken off in the third and begun again.
+
+    The log grows by two stretches around each chunk, of which the chunk's rows show the
+    first; the last two follow the snapshot.
+    """
+    changes = staged(moving_log(spark, folder), "moving")
+    source, out, place = new_folder(spark, "log"), new_folder(spark, "delivered"), new_folder(spark, "chunks")
+
+    def append(low: int, high: int) -> None:
+        encode(changes.where(F.col("stretch").between(low, high))).write.mode("append").text(source)
+
+    reads: list[int] = []
+
+    def rows(chunk: Chunk) -> DataFrame:
+        reads.append(chunk.number)
+        if reads.count(2) == 1 and chunk.number == 2:
+            raise ConnectionError("the database went away")
+        seen = 3 + 2 * chunk.number
+        append(seen, seen + 1)
+        now = replay(changes.where(F.col("stretch") <= seen)).select("after.*")
+        return now.where(chunk.holds(F.col("id")))
+
+    append(0, 2)
+    last = read_parquet(spark, folder, "orders").agg(F.max("o_orderkey")).first()[0]
+    table = ChunkedTable(rows, [last * i // 4 for i in (1, 2, 3)])
+    index = LogIndex(spark, source, new_folder(spark, "index"))
+    opts, target = FOUR.with_(databases="test"), files(out, by_partition=True)
+    try:
+        snapshot_chunks(index, opts, target, "test.tb_order", table, f"{place}/test.tb_order")
+    except ConnectionError:
+        snapshot_chunks(index, opts, target, "test.tb_order", table, f"{place}/test.tb_order")
+    append(11, 12)
+    capture_in_chunks(index, opts, target, {"test.tb_order": table}, place)
+    return _flat(decode(read_files(spark, out), IMAGE)).drop("file", "pos")
+
+
 # --- derived tables ----------------------------------------------------------
 
 
@@ -670,6 +747,16 @@ def replay_state(spark: SparkSession, folder: str) -> DataFrame:
     return replay(_typed_wire(spark, folder)).select("db", F.col("table").alias("tbl"), "after.*")
 
 
+@query
+def merge_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The current rows, merged from three batches in which a row's changes come in any order."""
+    state = BucketedState(spark, new_folder(spark, "state"), IMAGE, buckets=16)
+    changes = staged(_typed_wire(spark, folder), "changes")
+    for batch, rest in enumerate((1, 2, 0)):
+        state.merge(changes.where(F.col("source.pos") % 4 % 3 == rest), batch)
+    return state.read().select("db", F.col("table").alias("tbl"), "after.*")
+
+
 @query
 def last_change_per_row(spark: SparkSession, folder: str) -> DataFrame:
     """The last operation on each row, deletes included."""

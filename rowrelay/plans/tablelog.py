@@ -100,6 +100,34 @@ def wire_log(spark: SparkSession, folder: str) -> DataFrame:
     return encode(change_log(spark, folder))
 
 
+#: Places of the updates and deletes of the moving log, in a file each, and a sixth of them.
+PLACES = 4 * 1000003
+SIXTH = PLACES // 6 + 1
+
+
+def moving_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A log of the order table in which a row's changes lie far apart: inserts, then updates, then deletes.
+
+    ``stretch`` numbers the log's stretches in its order: 0 has the inserts, 1 to 6 a sixth
+    of the updates each, and 7 to 12 a sixth of the deletes.
+    """
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    first, second = _image(key, status, price), _image(key, F.lit("X"), price + 1)
+    updated, deleted = key % 3 == 0, key % 5 == 0
+    kinds = [
+        (ORDERS_FILE, F.lit(True), _event("c", _no_image(), first, key * 4), 0),
+        (CUSTOMER_FILE, updated, _event("u", first, second, key * 48271 % 1000003 * 4), 1),
+        (SCHEMA_FILE, deleted, _event("d", F.when(updated, second).otherwise(first), _no_image(), key * 69621 % 1000003 * 4), 7),
+    ]
+    logs = []
+    for file, some, event, begin in kinds:
+        rows = _log(read_parquet(spark, folder, "orders").where(some).select(F.inline(F.array(event))), "test", F.lit("tb_order"), file)
+        stretch = F.call_function("div", F.col("source.pos"), F.lit(SIXTH).cast("bigint")) if begin else F.lit(0)
+        logs.append(rows.withColumn("stretch", (begin + stretch).cast("int")))
+    return logs[0].unionByName(logs[1]).unionByName(logs[2])
+
+
 def order_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The order table before and after: low priorities removed, finished orders
     changed, and a second order added for each urgent one."""
