@@ -1,0 +1,131 @@
+"""Snapshots in chunks: what is left out, what is live, and where a broken one goes on."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowrelay import Options, Position
+from rowrelay.functions.record import parse
+from rowrelay.plans.chunks import Chunk, ChunkedTable, Ledger, capture_in_chunks, live, snapshot_chunks
+from rowrelay.sinks.targets import files
+from rowrelay.sources.changelog import read_files
+from rowrelay.sources.logindex import LogIndex
+
+OPTS = Options(partitions=2)
+NAME = "test.tb_a"
+
+
+def record(op, pos, row_id, value=None, table="tb_a"):
+    image = None if row_id is None else {"id": row_id, "v": value}
+    source = {"db": "test", "table": table, "file": "binlog.000001", "pos": pos, "row": 0, "ts_ms": pos}
+    return json.dumps({"before": image if op == "d" else None, "after": None if op == "d" else image, "source": source, "op": op})
+
+
+class Database:
+    """A table and its log; ``plan`` says what happens before and after the rows of a chunk are read."""
+
+    def __init__(self, spark, log, plan):
+        self.spark, self.log, self.plan, self.rows, self.pos, self.reads = spark, log, plan, {}, 0, []
+
+    def change(self, *changes):
+        texts = []
+        for op, row_id, value in changes:
+            self.pos += 10
+            texts.append((record(op, self.pos, row_id, value),))
+            if op == "t":
+                self.rows.clear()
+            elif op == "d":
+                self.rows.pop(row_id)
+            else:
+                self.rows[row_id] = value
+        self.spark.createDataFrame(texts, "value string").coalesce(1).write.mode("append").text(self.log)
+
+    def read(self, chunk):
+        self.reads.append(chunk.number)
+        before, after, fails = self.plan.pop(0)
+        if before:
+            self.change(*before)
+        frame = self.spark.createDataFrame(list(self.rows.items()), "id long, v string")
+        found = frame.where(chunk.holds(F.col("id")))
+        if after:
+            self.change(*after)  # not seen by the read
+        if fails:
+            raise ConnectionError
+        return found
+
+
+def delivered(spark, out):
+    found = parse(read_files(spark, out), position=True, before=True).collect()
+    return sorted((r.op, int(r.row_id if r.row_id is not None else r.before_id if r.before_id is not None else -1), json.loads(r.value)["after"] and json.loads(r.value)["after"]["v"], r.pos) for r in found)
+
+
+@pytest.fixture
+def world(spark, tmp_path):
+    def make(plan, start):
+        log = str(tmp_path / "log")
+        database = Database(spark, log, plan)
+        database.change(*start)
+        return database, LogIndex(spark, log, str(tmp_path / "index")), str(tmp_path / "out"), str(tmp_path / "place")
+
+    return make
+
+
+START = [("c", i, f"v{i}") for i in range(1, 7)]
+
+
+def test_rows_that_move_meanwhile(spark, world):
+    plan = [
+        ([("u", 1, "w1"), ("u", 5, "w5")], [("d", 2, None), ("c", 0, "new")], False),
+        ([("u", 3, "w3")], [("c", 9, "n9"), ("u", 6, "w6")], False),
+    ]
+    database, index, out, place = world(plan, START)
+    table = ChunkedTable(database.read, [4])
+    capture_in_chunks(index, OPTS, files(out, by_partition=True), {NAME: table}, place)
+    database.change(("d", 4, None))
+    # Chunk 0 was marked at 60: of 1 to 3 only 3 stood still. Chunk 1 was marked at 100: 4 and 5 did.
+    wanted = [("c", 0, "new", 100), ("c", 9, "n9", 120), ("d", 2, None, 90), ("r", 3, "v3", 60), ("r", 4, "v4", 100), ("r", 5, "w5", 100), ("u", 1, "w1", 70), ("u", 3, "w3", 110), ("u", 6, "w6", 130)]
+    assert delivered(spark, out) == wanted
+
+
+def test_goes_on_in_the_chunk_that_broke(spark, world):
+    plan = [([], [], False), ([("u", 4, "w4")], [], True), ([("u", 5, "w5")], [], False), ([], [], False)]
+    database, index, out, place = world(plan, START)
+    table, target = ChunkedTable(database.read, [3, 5]), files(out, by_partition=True)
+    with pytest.raises(ConnectionError):
+        snapshot_chunks(index, OPTS, target, NAME, table, f"{place}/{NAME}")
+    # A job started again keeps its ranges, whatever the cuts are now.
+    again = ChunkedTable(database.read, [100])
+    capture_in_chunks(index, OPTS, target, {NAME: again}, place)
+    assert database.reads == [0, 1, 1, 2]
+    wanted = [("r", 1, "v1", 60), ("r", 2, "v2", 60), ("r", 3, "v3", 70), ("r", 4, "w4", 70), ("r", 5, "w5", 80), ("r", 6, "v6", 80)]
+    # The change of row 4 lies before its chunk's mark, that of row 5 before its own: both are in the rows.
+    assert delivered(spark, out) == wanted
+
+
+def test_truncate_meanwhile(spark, world):
+    database, index, out, place = world([([], [("t", None, None), ("c", 8, "x")], False)], START)
+    capture_in_chunks(index, OPTS, files(out, by_partition=True), {NAME: ChunkedTable(database.read, [])}, place)
+    assert delivered(spark, out) == [("c", 8, "x", 80), ("t", -1, None, 70)]
+
+
+def test_live_by_chunk(spark, wire):
+    """Each row by its own chunk's mark; other tables, truncates and schema changes by the first one."""
+    chunks = [Chunk(0, None, 10, Position(1, 50)), Chunk(1, 10, 20, Position(1, 80)), Chunk(2, 20, None, Position(1, 20))]
+    texts = [record("u", pos, key, "x") for key in (-5, 9, 10, 19, 20, 10**30) for pos in (20, 50, 80, 90)]
+    texts += [record("u", 30, 1, "x", "tb_b"), record("u", 20, 1, "x", "tb_b"), record("t", 60, None), record("t", 10, None), record("d", 60, 15), record("d", 60, 5)]
+    found = live(parse(wire(*texts), position=True, before=True), {NAME: chunks}).collect()
+    kept = sorted((r.op, r.table, int(r.row_id if r.row_id is not None else r.before_id or -1), r.pos) for r in found)
+    marks = {-5: 50, 9: 50, 10: 80, 19: 80, 20: 20, 10**30: 20}
+    wanted = [("u", "tb_a", k, p) for k, m in marks.items() for p in (20, 50, 80, 90) if p > m]
+    assert kept == sorted([*wanted, ("u", "tb_b", 1, 30), ("t", "tb_a", -1, 60), ("d", "tb_a", 5, 60)])
+
+
+def test_ranges(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "one"))
+    rows = spark.createDataFrame([(None,), (-3,), (4,), (5,), (9,)], "id long")
+    parts = [[r.id for r in rows.where(c.holds(F.col("id"))).collect()] for c in ledger.ranges([4, 9])]
+    assert parts == [[None, -3], [4, 5], [9]]
+    for cuts in ([3, 3], [4, 1], list(range(1000))):
+        with pytest.raises(ValueError, match="cuts"):
+            Ledger(spark, str(tmp_path / "two")).ranges(cuts)
