@@ -4,7 +4,7 @@
 the change log is written as text and the tables are written in as many files as
 tasks need; a table of one file with one row group would be read by one task.
 A plan is built once and run to the ``noop`` sink; the jobs with files in their
-name are built and run each time. Each time is the median of ``BENCH_RUNS`` runs
+name, and diff_applied, are built and run each time. Each time is the median of ``BENCH_RUNS`` runs
 after one warm-up. ``BENCH_ONLY`` may list the jobs to run.
 """
 
@@ -120,13 +120,14 @@ def main() -> None:
         "encode": ("rows", encoded(spark, staged)),
         "encode_orders": ("orders", encode(full_snapshot())),
         "table_diff": ("orders", difference()),
-        "diff_applied": ("orders", apply_changes(old, difference(), ["id"], "test", "tb_order")),
         "replay": ("records", replay(decode(wire, IMAGE))),
     }
     jobs = {name: (unit, partial(noop, frame)) for name, (unit, frame) in plans.items()}
     for order in ("none", "gathered", "partition"):
         jobs[f"files_{order}"] = ("records", partial(fan_out, order))
     jobs["stream_files"] = ("records", stream)
+    # The changes are written when this is called, so building belongs to the time.
+    jobs["diff_applied"] = ("orders", lambda: noop(apply_changes(old, difference(), ["id"], "test", "tb_order")))
     jobs = {name: job for name, job in jobs.items() if not ONLY or name in ONLY}
     times = {}
     for name, (_, run) in jobs.items():
