@@ -21,6 +21,10 @@ class Position:
         return f"binlog.{self.sequence:06d}"
 
 
+#: The place before every log: of a log that is still empty, and of a snapshot taken by offsets.
+BEFORE_ALL = Position(0, 0)
+
+
 def log_sequence(file: Column) -> Column:
     """The number at the end of a log file name; names do not order as text.
 

@@ -49,11 +49,19 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
 
 
 def spread(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """The input's own partitioning, or at most ``parallelism`` of its tasks put together.
+    """The input's own partitioning, or ``parallelism`` writers, more or fewer than it has.
 
-    No record is shuffled. More writers than the input has parts come from smaller
-    input splits (``spark.sql.files.maxPartitionBytes``).
+    Writers get records by a hash of topic, partition and, as the salt, the text's own
+    hash: a topic partition with most of the records goes to all of them evenly, and a
+    task that is run again sends each record to the same writer.
     """
+    if not parallelism:
+        return routed
+    return routed.repartition(parallelism, *GROUP, F.xxhash64("value"))
+
+
+def narrow(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """At most ``parallelism`` writers: tasks are put together and no record is shuffled."""
     return routed.coalesce(parallelism) if parallelism else routed
 
 

@@ -31,7 +31,8 @@ class Options:
     ``partitions`` is the partition count of the target topics: one number, or a
     map from topic to number (topics outside the map use ``default_partitions``).
     ``sink_parallelism`` of ``None`` or 1 keeps the natural parallelism of the
-    input. The ``max_batch_*`` limits bound one micro-batch of a stream: records of
+    input; a larger one is the number of writers, or with ``narrow`` the most there
+    may be, which needs no shuffle. The ``max_batch_*`` limits bound one micro-batch of a stream: records of
     a Kafka source, files or bytes of a folder. ``start_after`` drops records up to
     a log position, the mark of a snapshot delivered before. ``zone`` is the target zone of timestamps; ``None`` means the session
     zone. ``router`` and ``partitioner`` replace the topic and partition rules;
@@ -60,6 +61,7 @@ class Options:
     partitions: int | Mapping[str, int] = fixed.KAFKA_PARTITIONS
     default_partitions: int = fixed.KAFKA_PARTITIONS
     sink_parallelism: int | None = None
+    narrow: bool = False
     max_batch_records: int | None = None
     max_batch_files: int | None = None
     max_batch_bytes: int | None = None

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowrelay.functions.position import Position, is_after
+from rowrelay.functions.position import BEFORE_ALL, Position, is_after
 from rowrelay.functions.record import parse
 from rowrelay.operators.filters import include
 from rowrelay.options import Options
@@ -25,8 +25,6 @@ from rowrelay.sinks.targets import Target
 from rowrelay.sources.logindex import LogIndex
 from rowrelay.streaming.folders import file_system, staged
 
-#: The place before every log, the mark of a job whose log is still empty.
-BEFORE_ALL = Position(0, 0)
 #: A plan holds a condition for each chunk.
 MOST_CHUNKS = 1000
 

@@ -13,10 +13,11 @@ from rowrelay.functions.record import encode, parse
 from rowrelay.operators.capture import since, snapshot
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.filters import include
-from rowrelay.operators.ordering import gather, range_order, spread
+from rowrelay.operators.ordering import gather, narrow, range_order, spread
 from rowrelay.operators.routing import route
 from rowrelay.options import Options
 from rowrelay.sinks.targets import Target
+from rowrelay.sources.changelog import check_start
 
 OPERATIONS = ("r", "c", "u", "d")
 
@@ -72,16 +73,17 @@ def progress_columns() -> list[Column]:
 
 
 def run_batch(wire: DataFrame, opts: Options, target: Target) -> None:
-    """Deliver a bounded input.
+    """Deliver a bounded input. A latest start is refused without its mark.
 
     In order, the input is cut into position ranges, so no topic partition has to
     fit one task. A live target needs one writer per topic partition instead;
     that is only sound for bounded pieces, so it is left to a stream with
     ``available_now=True`` and a rate limit.
     """
+    check_start(opts)
     routed = deliveries(wire, opts)
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     if opts.order == "partition" and target.single_writer:
         raise ValueError("ordered delivery to a live target runs as a stream")
-    arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
+    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": range_order}[opts.order]
     target.write(arrange(routed, parallelism))

@@ -305,6 +305,13 @@ SELECT topic, file, pos, after_id AS row_id, op FROM routed""",
 UNION ALL SELECT after_id, topic, part FROM routed""",
         "job_initial": job.format(log=HANDOFF, name="handoff"),
         "job_latest": job.format(log=HANDOFF, name="later"),
+        "job_latest_offsets": job.format(log=CHANGES, name="changes WHERE file <> 'binlog.000001' OR pos > 10000 * (pos % 3 + 1)"),
+        "job_counters": f"""WITH {CHANGES}, every AS (
+  SELECT op, tbl FROM changes UNION ALL SELECT 'c', 'ev_' || event_type FROM events)
+SELECT 'records' AS counter, count(*) AS records FROM every
+UNION ALL SELECT 'op_' || o, count(*) FILTER (op = o) FROM every, (VALUES ('r'), ('c'), ('u'), ('d')) AS ops(o) GROUP BY o
+UNION ALL SELECT 'schema_changes', count(*) FILTER (op IS NULL) FROM every
+UNION ALL SELECT 'fallback', count(*) FILTER (coalesce(tbl, '') = '') FROM every""",
         "job_latest_indexed": job.format(log=HANDOFF, name="later"),
         "snapshot_resumed": f"""WITH {MOVING}, kept AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY stretch DESC, pos DESC) AS rn FROM moving WHERE stretch <= 2 + 2 * chunk),

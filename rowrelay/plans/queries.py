@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowrelay import fixed
 from rowrelay.functions import values as V
-from rowrelay.functions.position import Position, is_after
+from rowrelay.functions.position import Position, is_after, position_order
 from rowrelay.functions.record import decode, encode, parse
 from rowrelay.operators import capture, filters, rangediff, routing
 from rowrelay.operators.convert import convert_row
@@ -39,9 +39,10 @@ from rowrelay.sinks.buckets import BucketedState
 from rowrelay.sinks.targets import files
 from rowrelay.sources.changelog import read_delivered, read_files, stream_text
 from rowrelay.sources.logindex import LogIndex
+from rowrelay.sources.logs import MessageFiles
 from rowrelay.sources.tables import read_parquet
 from rowrelay.streaming.folders import new_folder, staged
-from rowrelay.streaming.job import start_stream
+from rowrelay.streaming.job import job_totals, start_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -669,6 +670,46 @@ def job_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return _job(spark, folder, fixed.START_TIMESTAMP)
 
 
+@query
+def job_latest_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """What came after the ends of a log's three partitions, each at another place.
+
+    The log is kept as messages in files, and the second start finds a file with the whole log.
+    """
+    records = parse(wire_log(spark, folder), position=True)
+    sequence, pos, _ = position_order("")
+    messages = records.select(
+        F.lit("log").alias("topic"),
+        (pos % 3).cast("int").alias("partition"),
+        (sequence * (1 << 40) + pos).alias("offset"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    first = F.col("offset") <= (1 << 40) + 10000 * (F.col("partition") + 1)
+    source, out = new_folder(spark, "messages"), new_folder(spark, "delivered")
+    messages.where(first).write.parquet(source)
+    opts = Options(job_id="job_offsets", partitions=4, start_mode=fixed.START_LATEST, checkpoint_dir=new_folder(spark, "job"))
+    log, target = MessageFiles(source), files(out, by_partition=True)
+    run_job(spark, log, opts, target, available_now=True).awaitTermination()
+    messages.write.mode("append").parquet(source)
+    run_job(spark, log, opts, target, available_now=True).awaitTermination()
+    found = parse(read_files(spark, out), keep=["topic", "partition"], before=True)
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
+    return found.select("topic", "partition", "op", *ids)
+
+
+@query
+def job_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters of a job over three starts, with new files before the last."""
+    source, out = _stage(event_log(spark, folder), "events"), new_folder(spark, "counted")
+    opts = Options(job_id="job_counters", partitions=4, checkpoint_dir=new_folder(spark, "job"))
+    _drain(spark, source, opts, out)
+    _drain(spark, source, opts, out)
+    wire_log(spark, folder).write.mode("append").text(source)
+    _drain(spark, source, opts, out)
+    rows = sorted(job_totals(spark, opts).items())
+    return spark.createDataFrame(rows, "counter string, records bigint")
+
+
 @query
 def job_latest_indexed(spark: SparkSession, folder: str) -> DataFrame:
     """What came after the end of the log, from the files that reach past it alone."""

@@ -10,7 +10,6 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter
 
 from rowrelay import fixed
 from rowrelay.options import Options
@@ -34,10 +33,6 @@ class Target:
             writer = writer.partitionBy(*self.partition_by)
         writer.mode("append").save()
 
-    def stream_writer(self, routed: DataFrame) -> DataStreamWriter:
-        writer = self.record(routed).writeStream.format(self.format).options(**self.options)
-        return writer.partitionBy(*self.partition_by) if self.partition_by else writer
-
 
 def kafka(opts: Options) -> Target:
     return Target(

@@ -6,6 +6,7 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from rowrelay import fixed
 from rowrelay.options import Options
@@ -56,16 +57,27 @@ def read_delivered(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("value", "topic", "partition", (F.col("_before") + F.col("_place")).alias("sequence"))
 
 
-def stream_text(spark: SparkSession, path: str, opts: Options = Options()) -> DataFrame:
-    """A folder of text files as a stream. Files can't be limited by records."""
+def limit_files(reader: DataStreamReader, opts: Options) -> DataStreamReader:
+    """A stream of files with the limits of one micro-batch. Files can't be limited by records."""
     if opts.max_batch_records:
-        raise ValueError("a text stream can't apply max_batch_records; use max_batch_files or max_batch_bytes")
-    reader = spark.readStream.format("text")
+        raise ValueError("a file stream can't apply max_batch_records; use max_batch_files or max_batch_bytes")
     if opts.max_batch_files:
         reader = reader.option("maxFilesPerTrigger", opts.max_batch_files)
     if opts.max_batch_bytes:
         reader = reader.option("maxBytesPerTrigger", opts.max_batch_bytes)
-    return reader.load(path)
+    return reader
+
+
+def check_start(opts: Options) -> None:
+    """Record texts have no end of their own to start at: a latest start needs its mark."""
+    if opts.start_mode not in (fixed.START_INITIAL, fixed.START_TIMESTAMP) and opts.start_after is None:
+        raise ValueError(f"start mode {opts.start_mode} needs start_after, the end of the log; run_job takes it")
+
+
+def stream_text(spark: SparkSession, path: str, opts: Options = Options()) -> DataFrame:
+    """A folder of text files as a stream. A latest start is refused without its mark."""
+    check_start(opts)
+    return limit_files(spark.readStream.format("text"), opts).load(path)
 
 
 def kafka_start_options(opts: Options) -> dict[str, str]:

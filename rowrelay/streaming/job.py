@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
-from rowrelay.operators.ordering import exclusive_order, gather, range_order, spread
+from rowrelay.operators.ordering import exclusive_order, gather, narrow, range_order, spread
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
+from rowrelay.streaming.counters import Counters
 
-OBSERVATION = "deliveries"
-
-# Counters of the jobs started here that write batch by batch, by query id.
-_batch_counters: dict[str, dict[str, int]] = {}
+# Where the queries started here keep their counters, by query id.
+_counters: dict[str, Counters] = {}
 
 
 def checkpoint_location(spark: SparkSession, opts: Options) -> str:
@@ -49,14 +46,16 @@ def start_stream(
     one task for a topic partition and so a limit on the micro-batch, one that the
     source can apply (sources refuse others).
 
-    Files are written batch by batch rather than by Spark's file stream sink. That
-    sink keeps a list of all its files, which grows with the job's life, and hides
-    files of other writers, such as a snapshot delivered to the same folder.
+    Every target is written batch by batch, and the batch's counters are kept after it
+    (:func:`totals`). For files that also avoids Spark's file stream sink, which
+    keeps a list of all its files, growing with the job's life, and hides files of other
+    writers, such as a snapshot delivered to the same folder.
     """
     routed = deliveries(wire, opts)
-    counters: dict[str, int] = {}
+    place = checkpoint_location(wire.sparkSession, opts)
+    counters = Counters(wire.sparkSession, counters_location(place))
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    arrange = {"none": spread, "gathered": gather, "partition": range_order}[opts.order]
+    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": range_order}[opts.order]
     if opts.order == "partition" and target.single_writer:
         if not opts.bounded_batches:
             raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
@@ -66,36 +65,34 @@ def start_stream(
         # Counted behind the exchange: a range exchange reads its input twice.
         seen = Observation()
         target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))
-        _add(counters, seen.get)
+        counters.add(batch_id, seen.get)
 
-    if opts.order == "none" and target.single_writer:
-        observed = arrange(routed, parallelism).observe(OBSERVATION, *progress_columns())
-        writer = target.stream_writer(observed)
-    else:
-        writer = routed.writeStream.foreachBatch(deliver)
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}
     query = (
-        writer.queryName(opts.job_id)
-        .option("checkpointLocation", checkpoint_location(wire.sparkSession, opts))
+        routed.writeStream.foreachBatch(deliver)
+        .queryName(opts.job_id)
+        .option("checkpointLocation", place)
         .trigger(**pace)
         .start()
     )
-    _batch_counters[str(query.id)] = counters
+    _counters[str(query.id)] = counters
     return query
 
 
-def _add(counters: dict[str, int], more: Mapping[str, int]) -> None:
-    for name, value in more.items():
-        counters[name] = counters.get(name, 0) + value
+def counters_location(place: str) -> str:
+    return f"{place}-counters"
 
 
-def totals(query: StreamingQuery) -> dict[str, int]:
-    """The progress counters of a job: records, each operation, schema changes, fallback.
+def job_totals(spark: SparkSession, opts: Options) -> dict[str, int]:
+    """The counters of a job over all its starts: records, each operation, schema changes, fallback.
 
-    On a live target without order they cover the micro-batches Spark still remembers.
+    They hold each micro-batch once, also one that was run again after a failure; a
+    micro-batch that broke off in delivery is not in them until it is delivered whole. A
+    job that has delivered none has no counters.
     """
-    result = dict(_batch_counters.get(str(query.id), {}))
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(OBSERVATION)
-        _add(result, row.asDict() if row else {})
-    return result
+    return Counters(spark, counters_location(checkpoint_location(spark, opts))).totals()
+
+
+def totals(query: StreamingQuery) -> dict[str, int]:
+    """As :func:`job_totals`, of a query started here."""
+    return _counters[str(query.id)].totals()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowrelay import Options, deliveries, run_batch
 from rowrelay.functions.position import position_order
 from rowrelay.functions.record import parse
-from rowrelay.operators.ordering import exclusive_order, gather, range_order, spread
+from rowrelay.operators.ordering import exclusive_order, gather, narrow, range_order, spread
 from rowrelay.plans.queries import order_projection
 from rowrelay.plans.session import cluster_conf
 from rowrelay.plans.tablelog import wire_log
@@ -168,9 +168,9 @@ def test_reading_where_nothing_was_delivered(spark, small, tmp_path):
 
 
 def test_narrowing_needs_no_shuffle(spark, small):
-    frame = spread(routed(spark, small).repartition(9), 3)
+    frame = narrow(routed(spark, small).repartition(9), 3)
     assert frame.select(F.spark_partition_id()).distinct().count() == 3
-    plan = spread(routed(spark, small), 3)._jdf.queryExecution().executedPlan().toString()
+    plan = narrow(routed(spark, small), 3)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Coalesce" in plan
 
 
@@ -179,3 +179,13 @@ def test_cluster_settings():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // 2**28
     assert int(cluster_conf(10 * 2**30, 100)["spark.sql.shuffle.partitions"]) == 200
     assert int(cluster_conf(2**40, 100)["spark.sql.shuffle.partitions"]) == 4096
+
+
+def test_more_writers_than_the_input_has_parts(spark, small):
+    """One topic partition in one input part goes to all writers, each record to the same one again."""
+    frame = routed(spark, small).where("topic = 'mysqlbinlog_test_tb_order' AND partition = 0").coalesce(1)
+    placed = [spread(frame, 6).select("value", F.spark_partition_id().alias("w")).collect() for _ in range(2)]
+    assert {r.w for r in placed[0]} == set(range(6))
+    assert sorted(placed[0]) == sorted(placed[1])
+    assert sorted(r.value for r in placed[0]) == sorted(r.value for r in frame.collect())
+    assert spread(frame, 2).select(F.spark_partition_id()).distinct().count() == 2

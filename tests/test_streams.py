@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from rowrelay import Options, Position, deliveries, run_batch, start_stream, table_snapshot, totals
+from rowrelay import Options, Position, deliveries, job_totals, run_batch, start_stream, table_snapshot, totals
 from rowrelay.functions.position import is_after
 from rowrelay.functions.record import decode, encode
 from rowrelay.operators.replay import replay
@@ -21,6 +21,7 @@ from rowrelay.sinks.targets import Target, files, kafka, messages, pulsar
 from rowrelay.sources.changelog import kafka_source_options, read_text, stream_text, with_values
 from rowrelay.plans.job import Table, run_job, start_mark
 from rowrelay.sources.tables import bounds_options, catalog_options, cuts_options, declared_types, jdbc_options, range_predicates
+from rowrelay.streaming.counters import KEPT, Counters
 from rowrelay.streaming.folders import new_folder, session_folder, shared_folder
 from rowrelay.streaming.job import checkpoint_location
 
@@ -335,3 +336,32 @@ def test_shared_folder_follows_the_session(spark):
         assert shared_folder(spark) == before.rstrip("/")
     assert new_folder(spark, "a") != new_folder(spark, "a")
     assert os.path.dirname(new_folder(spark, "a")) == session_folder(spark)
+
+
+def test_counters_outlive_the_job(spark, source, opts, tmp_path):
+    """Totals over several starts; a micro-batch that is run again counts once."""
+    job, out = opts.with_(max_batch_files=1), files(str(tmp_path / "out"))
+    assert job_totals(spark, job) == {}
+    first = totals(drain(spark, source, job, out))
+    assert first["records"] == 1000 == job_totals(spark, job)["records"]
+    assert totals(drain(spark, source, job, out)) == first
+    place = str(tmp_path / "counted")
+    for batch in range(KEPT + 5):
+        Counters(spark, place).add(batch, {"records": 1, "op_c": batch})
+    assert len([n for n in os.listdir(place) if n.isdigit()]) == KEPT
+    again = Counters(spark, place)
+    again.add(KEPT + 4, {"records": 3, "op_c": 0})
+    assert again.totals() == {"records": KEPT + 7, "op_c": sum(range(KEPT + 4))}
+    assert Counters(spark, place).before(KEPT + 4)["records"] == KEPT + 4
+
+
+def test_a_batch_that_breaks_off_is_not_counted(spark, source, opts, tmp_path):
+    """Delivered again after the failure, for a live target too, and counted once."""
+    out = str(tmp_path / "out")
+    plain = files(out)
+    broken = Target(plain.format, lambda r: plain.record(r).withColumn("value", F.raise_error(F.lit("gone")).cast("string")), plain.options, plain.partition_by)
+    with pytest.raises(StreamingQueryException):
+        drain(spark, source, opts, broken)
+    assert job_totals(spark, opts) == {}
+    drain(spark, source, opts, Target(plain.format, plain.record, plain.options, plain.partition_by))
+    assert job_totals(spark, opts)["records"] == 1000 == spark.read.text(out).count()
