@@ -70,3 +70,45 @@ def test_long_texts(spark):
     text = json.dumps({"a": 1, "b": "x" * 300_000})
     row = toolcalls.linked(calls(spark, [("c", "1", "1", "get", text, "")]), results(spark, [("c", "1", "y" * 300_000, "")]), SCHEMAS).first()
     assert (row.cyclic, row.valid, len(row.json) > 600_000) == (True, False, True)
+
+
+def test_a_call_behind_all_it_waits_for(spark):
+    """Random graphs against a plain search of longest paths; cycles through any edge are seen."""
+    rng = random.Random(9)
+    after = {("d", "z"): ["a", "d"], ("d", "a"): [], ("d", "b"): None, ("d", "c"): ["b"], ("d", "d"): ["c", None, "gone"], ("d", "late"): ["z"]}
+    for conv in "pq":  # few cycles
+        for i in range(80):
+            after[conv, f"{i}"] = [f"{rng.randrange(i) if i and rng.random() < 0.98 else rng.randrange(80)}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))]
+    for i in range(120):  # a long chain with a joint at every tenth call
+        after["long", f"{i}"] = [f"{i - 1}"] + ([f"{i - 7}"] if i % 10 == 9 else [])
+
+    def levels(conv):
+        own = {i: {u for u in ups or () if (conv, u) in after} for (c, i), ups in after.items() if c == conv}
+        found = {}
+        while ready := [i for i in own if i not in found and own[i] <= found.keys()]:
+            found |= {i: max((found[u] + 1 for u in own[i]), default=0) for i in ready}
+        return {(conv, i): found.get(i) for i in own}
+
+    wanted = {k: v for conv in ("d", "p", "q", "long") for k, v in levels(conv).items()}
+    assert wanted["d", "z"] == 3 and wanted["long", "119"] == 119 and None in wanted.values()
+    given = spark.createDataFrame([(c, i, a) for (c, i), a in after.items()], "conv string, id string, after array<string>")
+    found = {(r.conv, r.id): (r.level, r.cyclic) for r in toolcalls.ordered(given).collect()}
+    assert found == {k: (v, v is None) for k, v in wanted.items()}
+
+
+def test_rows_of_an_id_wait_together(spark):
+    rows = [("c", "x", None, "get", '{"a":1}', ""), ("c", "y", "x", "get", '{"a":1}', ""), ("c", "w", None, "get", '{"a":1}', ""), ("c", "z", "w", "get", '{"a":1}', ""), ("c", "z", "y", "get", '{"a":1}', "")]
+    found = toolcalls.linked(calls(spark, rows), results(spark, []), SCHEMAS).collect()
+    assert sorted((r.id, r.level, json.loads(r.json)["after"]) for r in found if r.id == "z") == [("z", 2, "w"), ("z", 2, "y")]
+    many = spark.createDataFrame([("c", "z", ["w", "y"], "get", '{"a":1}'), ("c", "w", [], "get", "{}"), ("c", "y", None, "get", "{}")], "conv string, id string, after array<string>, name string, arguments string")
+    found = {r.id: r for r in toolcalls.linked(many, results(spark, []), SCHEMAS).collect()}
+    assert found["z"].level == 1 and '"after":["w","y"]' in found["z"].json
+
+
+def test_every_result_has_a_row(spark):
+    rows = [("c", "1", None, "get", "{}", ""), (None, "1", None, "get", "{}", "")]
+    given = [("c", "1", "b", ""), ("c", "1", "a", ""), ("c", "1", "a", ""), ("c", None, "lost", ""), ("c", "2", None, ""), (None, "1", "n", ""), ("", "1", "e", "")]
+    found = sorted(map(tuple, toolcalls.answers(calls(spark, rows), results(spark, given)).collect()), key=str)
+    wanted = [("c", "1", "b", "linked"), ("c", "1", "a", "linked"), ("c", "1", "a", "linked"), ("c", None, "lost", "unnamed"), ("c", "2", None, "orphan"), (None, "1", "n", "linked"), ("", "1", "e", "linked")]
+    assert found == sorted(wanted, key=str)
+    assert toolcalls.answers(calls(spark, []), results(spark, [])).count() == 0
