@@ -48,9 +48,11 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/>]|\Z)""", re.IGNORECASE)
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+_KEEPS_OPEN = frozenset("button div table td".split())
+
 
 class Element:
-    __slots__ = ("above", "code", "dropped", "holds", "kind", "marks", "parts", "prose", "tag")
+    __slots__ = ("above", "code", "dropped", "holds", "kind", "marks", "paragraph", "parts", "prose", "tag")
 
     def __init__(self, tag: str, above: "Element | None", marks: str, dropped: bool):
         self.tag, self.above, self.marks, self.dropped = tag, above, marks, dropped
@@ -59,6 +61,8 @@ class Element:
         self.holds = False  # the subtree has prose of an article
         self.parts: list[bytes] = []  # of the subtree: texts and the hashes of elements
         self.code = 0
+        # The open paragraph that a block in here would end.
+        self.paragraph = self if tag == "p" else None if above is None or tag in _KEEPS_OPEN else above.paragraph
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -85,6 +89,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
     """The text blocks of a page, each with its innermost element, and all its elements."""
     root = Element("", None, "", False)
     here, every, blocks, pieces = root, [], [], []
+    standing: dict[str, int] = {}  # open elements by name, so that a lost end tag looks for none
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
@@ -102,6 +107,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
             flush()
         here.code = xxhash.xxh3_64_intdigest(b"\x00".join((here.tag.encode(), here.marks.encode("utf-8", "replace"), *here.parts)))
         here.above.parts.append(here.code.to_bytes(8, "big"))
+        standing[here.tag] -= 1
         here = here.above
 
     def text(raw: str) -> None:
@@ -119,22 +125,16 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
         if not tag:
             continue
         if m[1] or m[4]:
-            up = here
-            while up.above and up.tag != tag:
-                up = up.above
-            if up.above:
-                while here is not up:
+            if standing.get(tag):
+                while here.tag != tag:
                     close()
                 close()
             continue
-        if tag in BLOCK:
-            up = here
-            while up.above and up.tag != "p" and up.tag not in ("table", "td", "div", "button"):
-                up = up.above
-            if up.tag == "p":  # a block ends a paragraph
-                while here is not up:
-                    close()
+        if tag in BLOCK and here.paragraph:  # a block ends a paragraph
+            up = here.paragraph
+            while here is not up:
                 close()
+            close()
         if tag in _CLOSED_BY and here.tag in _CLOSED_BY[tag]:
             close()
         if here.tag == "head" and tag not in IN_HEAD:
@@ -153,6 +153,7 @@ def parse(page: str) -> tuple[list[tuple[str, Element]], list[Element]]:
         new.prose = bool(new.kind) and (tag in PROSE or here.prose)
         here = new
         every.append(new)
+        standing[tag] = standing.get(tag, 0) + 1
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
             here.parts.append(page[at : end.start() if end else len(page)].encode("utf-8", "replace"))

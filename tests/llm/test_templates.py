@@ -86,3 +86,44 @@ def test_query_gives_the_articles(spark):
         wanted = [" ".join(html.unescape(b).split()) for b in blocks]
         assert r.text == "\n".join(b for b in wanted if b)
         assert (r.n_chars, r.url) == (len(r.text), pages[r.page_id].url)
+
+
+def test_bad_markup_takes_linear_time():
+    """A megabyte of each kind; walking all open elements at each tag took minutes."""
+    import time
+
+    size = 1_000_000
+    pages = {p: p * (size // len(p)) for p in ("<i></b>", "<ul><li>x", "<p><b>", "<div>x", '<a href="', "<!--", "</p>", "<head><title>")}
+    pages["<span> then <h1>"] = "<span>" * (size // 12) + "<h1>" * (size // 8)
+    took = {}
+    for name, page in pages.items():
+        start = time.perf_counter()
+        templates.main_text(page)
+        took[name] = time.perf_counter() - start
+    assert max(took.values()) < 8, took
+
+
+def test_recurrence_alone_tells_menu_from_text(spark):
+    """Pages without helpful names: a block goes if and only if a plain count finds it on enough pages."""
+    import random
+    from collections import Counter
+
+    rng, rows, blocks = random.Random(4), [], {}
+    for host in range(4):
+        pool = [f"line {host} {i}" for i in range(30)]
+        size = rng.choice([8, 20, 40])
+        for page in range(size):
+            own = [f"own text {host} {page}", *rng.sample(pool, rng.choice([2, 6, 12])), *pool[: rng.choice([0, 2])]]
+            rng.shuffle(own)
+            key = 100 * host + page
+            blocks[key] = (host, list(dict.fromkeys(own)))
+            body = "".join(f"<div class='x{len(t) % 3}'>{t}</div>" for t in blocks[key][1])
+            rows.append((key, f"https://h{host}.example/{page}", f"<html><body>{body}</body></html>", ""))
+    pages, times = Counter(h for h, _ in blocks.values()), Counter((h, t) for h, own in blocks.values() for t in own)
+    texts = {r.page_id: r.text for r in templates.extracted(frame(spark, rows)).collect()}
+    wanted = {k: "\n".join(t for t in own if times[h, t] < max(templates.PAGES, templates.SHARE * pages[h])) for k, (h, own) in blocks.items()}
+    assert texts == wanted
+    dropped = sum(times[h, t] >= max(templates.PAGES, templates.SHARE * pages[h]) for h, own in blocks.values() for t in own)
+    assert 0 < dropped < sum(len(own) for _, own in blocks.values())
+    plain = {r.page_id: r.text for r in templates.extracted(frame(spark, rows), min_pages=10**9).collect()}
+    assert all(plain[k] == "\n".join(own) for k, (_, own) in blocks.items())
