@@ -305,6 +305,13 @@ SELECT topic, file, pos, after_id AS row_id, op FROM routed""",
 UNION ALL SELECT after_id, topic, part FROM routed""",
         "job_initial": job.format(log=HANDOFF, name="handoff"),
         "job_latest": job.format(log=HANDOFF, name="later"),
+        "schema_timeline": """WITH keyed AS (
+  SELECT o_orderkey AS k, o_orderstatus AS s, (o_orderkey * 5) // (SELECT max(o_orderkey) + 1 FROM orders) AS v FROM orders)
+SELECT k * 4 AS pos, 'c' AS op,
+  CASE WHEN v < 3 THEN 'id,status' ELSE 'id' END || CASE WHEN v >= 1 THEN ',c1' ELSE '' END || CASE WHEN v >= 2 THEN ',c2' ELSE '' END || CASE WHEN v >= 3 THEN ',c3' ELSE '' END || CASE WHEN v >= 4 THEN ',c4' ELSE '' END AS names,
+  CASE WHEN v < 3 THEN 'BIGINT,TEXT' ELSE 'BIGINT' END || repeat(',BIGINT', CAST(v AS BIGINT)) AS types,
+  CAST(k AS VARCHAR) || CASE WHEN v < 3 THEN ',' || s ELSE '' END || CASE WHEN v >= 1 THEN ',' || CAST(k % 7 AS VARCHAR) ELSE '' END || CASE WHEN v >= 2 THEN ',' || CAST(k % 8 AS VARCHAR) ELSE '' END || CASE WHEN v >= 3 THEN ',' || CAST(k % 9 AS VARCHAR) ELSE '' END || CASE WHEN v >= 4 THEN ',' || CAST(k % 10 AS VARCHAR) ELSE '' END AS image,
+  CAST(0 AS INTEGER) AS n_extra FROM keyed""",
         "job_latest_offsets": job.format(log=CHANGES, name="changes WHERE file <> 'binlog.000001' OR pos > 10000 * (pos % 3 + 1)"),
         "job_counters": f"""WITH {CHANGES}, every AS (
   SELECT op, tbl FROM changes UNION ALL SELECT 'c', 'ev_' || event_type FROM events)

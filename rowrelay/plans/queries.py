@@ -18,6 +18,7 @@ from rowrelay.functions.record import decode, encode, parse
 from rowrelay.operators import capture, filters, rangediff, routing
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
+from rowrelay.operators.timeline import column_lists, decode_by_timeline
 from rowrelay.options import Options
 from rowrelay.plans import orders as order_rules
 from rowrelay.plans.chunks import Chunk, ChunkedTable, capture_in_chunks, snapshot_chunks
@@ -32,6 +33,7 @@ from rowrelay.plans.tablelog import (
     moving_log,
     order_versions,
     truncates,
+    versioned_log,
     wire_log,
 )
 from rowrelay.sinks import records as outgoing
@@ -223,6 +225,15 @@ def schema_changes_off(spark: SparkSession, folder: str) -> DataFrame:
     return _named(filters.include(_records(spark, folder), databases="test", schema_changes=False))
 
 
+@query
+def schema_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Images of a table whose columns change four times, each read by its own columns."""
+    wire = versioned_log(spark, folder)
+    found = decode_by_timeline(wire, column_lists(wire)).where(F.col("op").isNotNull())
+    listed = lambda field: F.array_join(F.transform("after", lambda c: c[field]), ",", "~")
+    return found.select("pos", "op", listed("name").alias("names"), listed("type").alias("types"), listed("value").alias("image"), F.size("extra").alias("n_extra"))
+
+
 def _order_diff(spark: SparkSession, folder: str) -> DataFrame:
     old, new = order_versions(spark, folder)
     return capture.diff(

@@ -128,6 +128,31 @@ def moving_log(spark: SparkSession, folder: str) -> DataFrame:
     return logs[0].unionByName(logs[1]).unionByName(logs[2])
 
 
+def versioned_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Record texts of the order table while its columns change, once per region.
+
+    A region's number counts the columns added so far; ``status`` goes with the third.
+    """
+    orders = read_parquet(spark, folder, "orders")
+    regions = read_parquet(spark, folder, "region").select(F.col("r_regionkey").cast("bigint").alias("v"))
+    last, versions = orders.agg(F.max("o_orderkey")).first()[0] or 0, 5
+    key, v = F.col("o_orderkey"), F.call_function("div", F.col("o_orderkey") * versions, F.lit(last + 1))
+    names = [("id", F.lit(True)), ("status", F.col("v") < 3), *[(f"c{i}", F.col("v") >= i) for i in range(1, versions)]]
+    values = {"id": key, "status": F.col("o_orderstatus"), **{f"c{i}": key % (6 + i) for i in range(1, versions)}}
+
+    def source(pos: Column) -> Column:
+        return source_struct(F.lit("test"), F.lit("tb_order"), ts_ms=F.lit(EPOCH_MS), file=F.lit(ORDERS_FILE), pos=pos).alias("source")
+
+    rows = orders.withColumn("v", v)
+    image = F.struct(*[F.when(there, values[n]).alias(n) for n, there in names])
+    changes = rows.select(F.to_json(F.struct(image.alias("after"), source(key * 4), F.lit("c").alias("op"))).alias("value"))
+    every = F.array(*[F.when(there, F.struct(F.lit(n).alias("name"), F.lit(i + 1).alias("position"), F.lit("TEXT" if n == "status" else "BIGINT").alias("typeName"))) for i, (n, there) in enumerate(names)])
+    table = F.struct(F.lit("ALTER").alias("type"), F.lit('"test"."tb_order"').alias("id"), F.struct(F.array_compact(every).alias("columns")).alias("table"))
+    begin = F.call_function("div", F.col("v") * (last + 1) + versions - 1, F.lit(versions)) * 4 - 1
+    lists = regions.select(F.to_json(F.struct(source(begin), F.array(table).alias("tableChanges"))).alias("value"))
+    return changes.unionByName(lists)
+
+
 def order_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The order table before and after: low priorities removed, finished orders
     changed, and a second order added for each urgent one."""
