@@ -62,7 +62,7 @@ def decode(wire: DataFrame, image: str) -> DataFrame:
     return wire.select(F.inline(F.array(F.from_json("value", schema, FAIL_FAST))))
 
 
-def _id_number(text: Column, name: str) -> Column:
+def id_number(text: Column, name: str) -> Column:
     """An id as a whole number; a fractional or exponent form is cut toward zero.
 
     An id of more than 38 digits, or 28 before a fraction or exponent, or one that is
@@ -114,7 +114,7 @@ def parse(
         db.alias("db"),
         F.col("source.table").alias("table"),
         F.col("op"),
-        F.when(F.col("after").isNotNull(), _id_number(after_id, key_column)).alias("row_id"),
+        F.when(F.col("after").isNotNull(), id_number(after_id, key_column)).alias("row_id"),
     ]
     if position:
         columns += [F.col(f"source.{c}").alias(c) for c in ("file", "pos", "row")]
@@ -122,6 +122,6 @@ def parse(
     if before:
         before_id = F.col("before").getField(key_column)
         columns += [
-            F.when(F.col("before").isNotNull(), _id_number(before_id, key_column)).alias("before_id")
+            F.when(F.col("before").isNotNull(), id_number(before_id, key_column)).alias("before_id")
         ]
     return parsed.select(*columns)

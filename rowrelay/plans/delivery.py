@@ -36,7 +36,15 @@ def deliveries(wire: DataFrame, opts: Options = Options(), position: bool = Fals
         position=position or timed or opts.start_after is not None or opts.order == "partition",
         before=opts.delete_partition == "before_id",
     )
-    if timed:
+    return routed_records(records, opts)
+
+
+def routed_records(records: DataFrame, opts: Options = Options()) -> DataFrame:
+    """Filter and route parsed records, such as those of a :class:`ParsedLog`.
+
+    They need their position for a later start, and their old id if deletes go by it.
+    """
+    if opts.start_mode == fixed.START_TIMESTAMP:
         records = records.where(since(F.col("source_ts_ms"), opts.start_timestamp))
     if opts.start_after is not None:
         records = records.where(is_after(opts.start_after, ""))

@@ -160,7 +160,7 @@ def all_oracles() -> dict[str, str]:
 SELECT CASE WHEN coalesce(db, '') <> '' AND coalesce(tbl, '') <> ''
     THEN 'mysqlbinlog_' || db || '_' || tbl ELSE 'mysqlbinlog_ddl' END AS topic,
   CAST(coalesce(after_id, 0) % 4 AS INTEGER) AS "partition", op, after_id AS row_id, before_id FROM {name}"""
-    return {
+    found = {
         "routed_counts": f"""WITH {ROUTED}
 SELECT topic, part AS "partition", op, count(*) AS records FROM routed GROUP BY topic, part, op""",
         "snapshot_capture": f"""
@@ -364,3 +364,6 @@ SELECT db, tbl, after_id AS id, after_status AS status, after_price AS price FRO
         "last_change_per_row": f"""WITH {CHANGES}, newest AS ({newest.format(log="changes")})
 SELECT db, tbl, coalesce(after_id, before_id) AS id, op FROM newest WHERE rn = 1""",
     }
+    # The same rows from a log that is kept parsed.
+    same = {"route": "routed_counts", "filter": "filter_tables", "replay": "replay_mixed_tables", "state": "replay_state"}
+    return found | {f"parsed_log_{name}": found[of] for name, of in same.items()}

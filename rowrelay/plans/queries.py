@@ -22,7 +22,7 @@ from rowrelay.operators.timeline import column_lists, decode_by_timeline
 from rowrelay.options import Options
 from rowrelay.plans import orders as order_rules
 from rowrelay.plans.chunks import Chunk, ChunkedTable, capture_in_chunks, snapshot_chunks
-from rowrelay.plans.delivery import deliveries, run_batch, table_snapshot
+from rowrelay.plans.delivery import deliveries, routed_records, run_batch, table_snapshot
 from rowrelay.plans.job import Table, run_job
 from rowrelay.plans.tablelog import (
     EPOCH_MS,
@@ -42,6 +42,7 @@ from rowrelay.sinks.targets import files
 from rowrelay.sources.changelog import read_delivered, read_files, stream_text
 from rowrelay.sources.logindex import LogIndex
 from rowrelay.sources.logs import MessageFiles
+from rowrelay.sources.parsedlog import ParsedLog
 from rowrelay.sources.tables import read_parquet
 from rowrelay.streaming.folders import new_folder, staged
 from rowrelay.streaming.job import job_totals, start_stream
@@ -822,3 +823,38 @@ def replay_mixed_tables(spark: SparkSession, folder: str) -> DataFrame:
     wire = wire_log(spark, folder).unionByName(event_log(spark, folder))
     last = replay_records(parse(wire, position=True, before=True))
     return last.select("db", F.col("table").alias("tbl"), F.col("row_id").cast("bigint").alias("id"), "op", "pos")
+
+
+def _parsed_log(spark: SparkSession, folder: str, *wires: Callable[[SparkSession, str], DataFrame]) -> ParsedLog:
+    log = ParsedLog(spark, new_folder(spark, "parsed"))
+    for batch, wire in enumerate(wires):
+        log.add(wire(spark, folder), batch)
+    return log
+
+
+@query
+def parsed_log_route(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics and partitions from a log that is kept parsed."""
+    records = _parsed_log(spark, folder, wire_log).records()
+    return routing.fanout_counts(routed_records(records, FOUR))
+
+
+@query
+def parsed_log_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Both a plain name and a pattern, on a log that is kept parsed."""
+    records = _parsed_log(spark, folder, wire_log).records()
+    return _named(filters.include(records, tables=r"test\.tb_ord,CRM\.tb_.*"))
+
+
+@query
+def parsed_log_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """The last record of every row in two logs of unlike tables, kept parsed as one."""
+    last = replay_records(_parsed_log(spark, folder, wire_log, event_log).records())
+    return last.select("db", F.col("table").alias("tbl"), F.col("row_id").cast("bigint").alias("id"), "op", "pos")
+
+
+@query
+def parsed_log_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The current rows of both tables, from images that are kept as VARIANT."""
+    changes = _parsed_log(spark, folder, wire_log).changes(IMAGE)
+    return replay(changes).select("db", F.col("table").alias("tbl"), "after.*")
