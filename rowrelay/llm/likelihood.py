@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from rowrelay.llm.common import column, raw_texts
 
-BUCKETS = 1 << 14
-#: Added to each bucket's count.
-SMOOTHING = 0.5
+BUCKETS = 1 << 18
+#: N-grams of the corpus's own mix that are added to each bucket, so that a rare one says little.
+SMOOTHING = 100
 #: N-grams of ratio one that are added to each text, so that a few of them decide nothing.
 PRIOR = 20
-#: Least score that is kept, a natural log.
+#: Least score that is kept, a natural log; chosen on held-out labels.
 LEAST = -0.08
+#: N-grams counted at once.
+_AT_ONCE = 1 << 20
 _SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 _SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -76,13 +78,24 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, buckets), np.int64)
+        counts, waiting, size = np.zeros((2, buckets), np.int64), ([], []), 0
+
+        def count() -> None:
+            for row, found in zip(counts, waiting, strict=True):
+                if found:
+                    row += np.bincount(np.concatenate(found), minlength=buckets)
+                    found.clear()
+
         for batch in batches:
             for raw, trusted in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                each = np.bincount(grams(word_hashes(raw), buckets), minlength=buckets)
-                counts[0] += each
-                if trusted:
-                    counts[1] += each
+                found = grams(word_hashes(raw), buckets)
+                for kind in waiting[: 1 + trusted]:
+                    kind.append(found)
+                size += found.size
+                if size >= _AT_ONCE:
+                    count()
+                    size = 0
+        count()
         some = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0][some]), pa.array(counts[1][some])], names=["bucket", "corpus", "trusted"])
 
@@ -91,14 +104,20 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 
 def ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray | None:
-    """Each bucket's log ratio; None without trusted n-grams. At most ``buckets`` rows come to the driver."""
+    """Each bucket's log ratio; None without trusted n-grams. At most ``buckets`` rows come to the driver.
+
+    Smoothing adds ``smoothing`` n-grams to each bucket, trusted by the corpus's own
+    share, so a bucket's ratio is drawn to zero by how little it was seen. The buckets that
+    a finer hash splits off are rare ones: verdicts hardly move with their number.
+    """
     corpus, trusted = np.zeros(buckets), np.zeros(buckets)
-    for bucket, c, t in counts.collect():
-        corpus[bucket], trusted[bucket] = c, t
+    found = counts.toArrow()
+    at = found["bucket"].to_numpy()
+    corpus[at], trusted[at] = found["corpus"].to_numpy(), found["trusted"].to_numpy()
     if not trusted.any():
         return None
-    p, q = trusted + smoothing, corpus + smoothing
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+    share = trusted.sum() / corpus.sum()
+    return np.log((trusted + smoothing * share) / (corpus + smoothing)) - np.log(share)
 
 
 def judged(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR, least: float = LEAST) -> DataFrame:
