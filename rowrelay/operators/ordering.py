@@ -4,6 +4,9 @@
 that, because two writers to the same partition would interleave; it is meant for
 micro-batches, whose size is bounded by the source's rate limit.
 
+``fragments`` cuts topic partitions into such pieces first, for a target that takes
+them one after another (:mod:`rowrelay.streaming.waves`).
+
 ``range_order`` is for input of any size: a topic partition of any weight is cut
 into consecutive position ranges handled by different tasks, and output files
 follow the order of the tasks.
@@ -48,6 +51,17 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     return arranged.select(*routed.columns)
 
 
+def fragments(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """The records with the number of their range of (topic, partition, position), in ``fragment``.
+
+    A topic partition's fragments have consecutive numbers, each at most one range. Records
+    that share a position may be in several.
+    """
+    size = [parallelism] if parallelism else []
+    ordered = routed.repartitionByRange(*size, *GROUP, *position_order(""), F.xxhash64("value"))
+    return ordered.withColumn("fragment", F.spark_partition_id())
+
+
 def spread(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """The input's own partitioning, or ``parallelism`` writers, more or fewer than it has.
 

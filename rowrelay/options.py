@@ -33,7 +33,8 @@ class Options:
     ``sink_parallelism`` of ``None`` or 1 keeps the natural parallelism of the
     input; a larger one is the number of writers, or with ``narrow`` the most there
     may be, which needs no shuffle. The ``max_batch_*`` limits bound one micro-batch of a stream: records of
-    a Kafka source, files or bytes of a folder. ``start_after`` drops records up to
+    a Kafka source, files or bytes of a folder. ``in_waves`` lets several tasks send a topic partition
+    in order to a live target, one after another, without such a limit. ``start_after`` drops records up to
     a log position, the mark of a snapshot delivered before. ``zone`` is the target zone of timestamps; ``None`` means the session
     zone. ``router`` and ``partitioner`` replace the topic and partition rules;
     each maps columns to a column, so a replacement stays inside the query plan.
@@ -69,6 +70,7 @@ class Options:
     key_column: str = "id"
     delete_partition: str = "slot0"
     order: str = "none"
+    in_waves: bool = False
     router: Callable[[Column, Column], Column] | None = None
     partitioner: Callable[[Column, Column], Column] | None = None
 
@@ -85,6 +87,8 @@ class Options:
             raise ValueError("start mode 4 needs a start_timestamp in epoch milliseconds")
         if self.order not in ORDERS:
             raise ValueError(f"order must be one of {ORDERS}")
+        if self.in_waves and self.order != "partition":
+            raise ValueError("in_waves needs order='partition'")
         if self.delete_partition not in DELETE_PARTITIONS:
             raise ValueError(f"delete_partition must be one of {DELETE_PARTITIONS}")
 

@@ -87,7 +87,10 @@ def run_job(
             done = f"{place}-snapshot/{name}"
             if not _written(spark, done):
                 db, table_name = name.split(".", 1)
-                run_batch(table_snapshot(table.rows, opts, db, table_name, read_at, table.sql_types), opts, target)
+                rows = table_snapshot(table.rows, opts, db, table_name, read_at, table.sql_types)
+                # A snapshot's records share one position, so any order is theirs.
+                live = opts.order == "partition" and target.single_writer
+                run_batch(rows, opts.with_(order="none", in_waves=False) if live else opts, target)
                 log.store(spark, done, mark)
     wire, opts = log.follow(spark, opts, mark)
     return start_stream(wire, opts, target, available_now=available_now, trigger=trigger)

@@ -293,6 +293,9 @@ SELECT file, pos, op, topic, CAST(coalesce(after_id, before_id, 0) % 4 AS INTEGE
 SELECT o_orderkey, CAST(v AS VARCHAR) AS row_id, {_low32("v")} AS id32,
   {_slot(_low32("v"), 7)} AS "partition" FROM ids""",
         "partition_order": f"""WITH {ROUTED}
+SELECT topic, part AS "partition", file, pos,
+  row_number() OVER (PARTITION BY topic, part ORDER BY file, pos) - 1 AS sequence FROM routed""",
+        "waves_order": f"""WITH {ROUTED}
 SELECT topic, part AS "partition", file, pos,
   row_number() OVER (PARTITION BY topic, part ORDER BY file, pos) - 1 AS sequence FROM routed""",
         "kafka_record": f"""WITH {ROUTED}

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowrelay import fixed
@@ -38,7 +38,7 @@ from rowrelay.plans.tablelog import (
 )
 from rowrelay.sinks import records as outgoing
 from rowrelay.sinks.buckets import BucketedState
-from rowrelay.sinks.targets import files
+from rowrelay.sinks.targets import Target, files
 from rowrelay.sources.changelog import read_delivered, read_files, stream_text
 from rowrelay.sources.logindex import LogIndex
 from rowrelay.sources.logs import MessageFiles
@@ -567,6 +567,23 @@ def partition_order(spark: SparkSession, folder: str) -> DataFrame:
     return delivered.select("topic", "partition", "file", "pos", "sequence")
 
 
+def _into_table(path: str) -> Target:
+    """A live target whose messages are rows, with the wave and the place in it that each was sent in."""
+    columns = ["topic", "partition", "value", "wave", F.monotonically_increasing_id().alias("place")]
+    return Target("parquet", lambda routed: routed.select(*columns), {"path": path})
+
+
+@query
+def waves_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each record in what a live target got, with topic partitions sent by several tasks."""
+    source, out = _stage(wire_log(spark, folder), "waves-log"), new_folder(spark, "waves")
+    opts = FOUR.with_(job_id="waves", order="partition", in_waves=True, sink_parallelism=12, checkpoint_dir=new_folder(spark, "job"))
+    start_stream(stream_text(spark, source, opts), opts, _into_table(out), available_now=True).awaitTermination()
+    sent = Window.partitionBy("topic", "partition").orderBy("wave", "place")
+    got = spark.read.parquet(out).withColumn("sequence", F.row_number().over(sent).cast("bigint") - 1)
+    return parse(got, keep=["topic", "partition", "sequence"], position=True).select("topic", "partition", "file", "pos", "sequence")
+
+
 # --- outgoing records --------------------------------------------------------
 
 

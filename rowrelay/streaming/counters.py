@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from rowrelay.streaming.folders import file_system
+from rowrelay.streaming.folders import file_system, names_in, put_text
 
 #: Files of so many micro-batches stay; only the last can be run again.
 KEPT = 10
@@ -26,9 +26,7 @@ class Counters:
         self._known: tuple[int, dict[str, int]] | None = None
 
     def _batches(self) -> list[int]:
-        system, there = file_system(self.spark, self.place)
-        names = [s.getPath().getName() for s in system.listStatus(there)] if system.exists(there) else []
-        return sorted(int(n) for n in names if n.isdigit())
+        return sorted(int(n) for n in names_in(self.spark, self.place) if n.isdigit())
 
     def _read(self, batch: int) -> dict[str, int]:
         return json.loads(self.spark.read.text(f"{self.place}/{batch}", wholetext=True).first().value)
@@ -44,16 +42,10 @@ class Counters:
         """Count a micro-batch. The file appears under its name only when it is whole."""
         old = self.before(batch)
         totals = {n: old.get(n, 0) + counts.get(n, 0) for n in [*old, *(c for c in counts if c not in old)]}
-        system, hidden = file_system(self.spark, f"{self.place}/_{batch}")
-        _, there = file_system(self.spark, f"{self.place}/{batch}")
-        out = system.create(hidden, True)
-        out.write(bytearray(json.dumps(totals), "utf-8"))
-        out.close()
-        system.delete(there, False)
-        if not system.rename(hidden, there):
-            raise OSError(f"counters of batch {batch} can't be written to {self.place}")
+        put_text(self.spark, self.place, str(batch), json.dumps(totals))
         for old_batch in [b for b in self._batches() if b <= batch - KEPT]:
-            system.delete(file_system(self.spark, f"{self.place}/{old_batch}")[1], False)
+            system, there = file_system(self.spark, f"{self.place}/{old_batch}")
+            system.delete(there, False)
         self._known = (batch, totals)
 
     def totals(self) -> dict[str, int]:

@@ -29,6 +29,24 @@ def file_system(spark: SparkSession, path: str):
     return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is none."""
+    system, there = file_system(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(there)] if system.exists(there) else []
+
+
+def put_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Write a small file, which appears under its name only when it is whole."""
+    system, hidden = file_system(spark, f"{folder}/_{name}")
+    _, there = file_system(spark, f"{folder}/{name}")
+    out = system.create(hidden, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    system.delete(there, False)
+    if not system.rename(hidden, there):
+        raise OSError(f"{name} can't be written to {folder}")
+
+
 def session_folder(spark: SparkSession) -> str:
     """A folder of this session alone, which goes when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/rowrelay-{spark.sparkContext.applicationId}-{os.getpid()}"

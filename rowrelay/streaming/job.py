@@ -11,6 +11,7 @@ from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
 from rowrelay.streaming.counters import Counters
+from rowrelay.streaming.waves import deliver_waves
 
 # Where the queries started here keep their counters, by query id.
 _counters: dict[str, Counters] = {}
@@ -44,7 +45,8 @@ def start_stream(
     is sorted by log position first; micro-batches run one after another, so the
     order holds across them. Files are written by position range. A live target needs
     one task for a topic partition and so a limit on the micro-batch, one that the
-    source can apply (sources refuse others).
+    source can apply (sources refuse others), or ``in_waves``: fragments of a topic
+    partition are then staged in the checkpoint's folder and sent one after another.
 
     Every target is written batch by batch, and the batch's counters are kept after it
     (:func:`totals`). For files that also avoids Spark's file stream sink, which
@@ -56,12 +58,17 @@ def start_stream(
     counters = Counters(wire.sparkSession, counters_location(place))
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": range_order}[opts.order]
-    if opts.order == "partition" and target.single_writer:
+    in_waves = opts.in_waves and target.single_writer
+    if opts.order == "partition" and target.single_writer and not in_waves:
         if not opts.bounded_batches:
-            raise ValueError("ordered delivery to a live target needs a max_batch_* limit")
+            raise ValueError("ordered delivery to a live target needs a max_batch_* limit or in_waves")
         arrange = exclusive_order
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
+        if in_waves:
+            counts = deliver_waves(batch, batch_id, f"{place}/waves", target.write, progress_columns(), parallelism)
+            counters.add(batch_id, counts)
+            return
         # Counted behind the exchange: a range exchange reads its input twice.
         seen = Observation()
         target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))

@@ -8,7 +8,7 @@ from rowrelay.plans.oracle import all_oracles
 from rowrelay.plans.queries import all_queries
 
 QUERIES, SQL = all_queries(), all_oracles()
-STREAMS = {"stream_route", "stream_resume", "job_initial", "job_latest", "job_timestamp", "job_latest_offsets", "job_counters", "partition_order"}
+STREAMS = {"stream_route", "stream_resume", "job_initial", "job_latest", "job_timestamp", "job_latest_offsets", "job_counters", "partition_order", "waves_order"}
 
 
 @pytest.fixture(scope="module")
