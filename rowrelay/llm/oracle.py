@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from rowrelay.llm import licenses, warc
 
 #: The letters that are folded.
@@ -87,10 +89,8 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _decoded(text: str) -> str:
-    for name, sign in warc.REFERENCES:
-        text = f"replace({text}, {_quoted(name)}, {_quoted(sign)})"
-    return text
+def _values(signs: dict[str, str]) -> str:
+    return ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in sorted(signs.items()))
 
 
 def _uuid(*parts: str) -> str:
@@ -100,13 +100,45 @@ def _uuid(*parts: str) -> str:
 
 _CRLF = "chr(13) || chr(10)"
 _LINE = r"trim(regexp_replace({}, '[ \t\r\n\f]+', ' ', 'g'))"
+_NAMES = {n[:-1]: t for n, t in html5.items() if n.endswith(";")}
+_SHORT = {n: t for n, t in html5.items() if not n.endswith(";")}
+_PREFIX = "^(?:" + "|".join(sorted(_SHORT, key=len, reverse=True)) + ")"
+_WINDOWS = ", ".join(f"chr({ord(bytes([n]).decode('cp1252', 'ignore') or chr(n))})" for n in range(128, 160))
+_QUOTES = _quoted(r"""(?:[^<>"']|"[^"]*"|'[^']*')*""")[1:-1]
+_ATTRIBUTE = _quoted(r"""(?s)[\s/"'][^\s"'<>/=]+\s*=\s*(?:"[^"]*|'[^']*|[^\s"'>][^\s>]*)""")
+_HREF = _quoted(r"""(?is)^.href\s*=\s*["']?(.*)$""")
+_LINES = (
+    "html|head|header|body|main|footer|nav|aside|section|article|address|search|hgroup|h1|h2|h3|h4|h5|h6|p|pre|hr|br|blockquote|center|div|"
+    "ul|ol|li|menu|dir|dl|dt|dd|table|caption|colgroup|col|thead|tbody|tfoot|tr|th|td|figure|figcaption|details|summary|dialog|"
+    "form|fieldset|legend|select|optgroup|option"
+)
+_OUT = r"(?is)<!--.*?(?:-->|\z)|<script(?:[\s/][^<>]*)?>.*?(?:</script\s*>|\z)|<style(?:[\s/][^<>]*)?>.*?(?:</style\s*>|\z)|<title(?:[\s/][^<>]*)?>.*?(?:</title\s*>|\z)"
 WARC = rf"""
-WITH p AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS payload, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
-r AS (SELECT *, {_uuid("'response'", "page_id", "target_uri", "source_digest")} AS refers_to,
-    {_LINE.format(_decoded(f"regexp_extract(payload, {_quoted(warc.TITLE)}, 1)"))} AS title,
-    list_transform(regexp_extract_all(payload, {_quoted(warc.LINKS)}, 1), lambda x: 'outlink: ' || {_LINE.format(_decoded("x"))}) AS links,
-    {_decoded(f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(payload, {_quoted(warc.SKIPPED)}, '', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g'), {_quoted(warc.BREAKS)}, chr(10), 'g'), {_quoted(warc.TAGS)}, '', 'g')")} AS stripped
-  FROM p),
+WITH names(name, sign) AS (VALUES {_values(_NAMES)}),
+short(name, sign) AS (VALUES {_values(_SHORT)}),
+p AS (SELECT row_number() OVER () AS rid, page_id, url AS target_uri, coalesce(html, '') AS payload, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
+a AS (SELECT rid, unnest(tags) AS tag, unnest(range(1, len(tags) + 1)) AS place
+  FROM (SELECT rid, regexp_extract_all(payload, '(?i)<a[\s/]{_QUOTES}>') AS tags FROM p)),
+x AS (SELECT rid, 'title' AS kind, CAST(0 AS BIGINT) AS place, regexp_extract(payload, '(?is)<title(?:[\s/][^<>]*)?>(.*?)(?:</title|\z)', 1) AS text FROM p
+  UNION ALL SELECT rid, 'text', 0, regexp_replace(regexp_replace(regexp_replace(regexp_replace(payload, {_quoted(_OUT)}, '', 'g'),
+    '[ \t\r\n\f]+', ' ', 'g'), '(?i)</?(?:{_LINES})(?:[\s/]{_QUOTES})?>', chr(10), 'g'), '<[A-Za-z/!?]{_QUOTES}>|<[A-Za-z/!?][^<>]*>', '', 'g') FROM p
+  UNION ALL SELECT rid, 'link', place, regexp_extract(list_filter(regexp_extract_all(tag, {_ATTRIBUTE}), lambda v: regexp_matches(v, {_HREF}))[1], {_HREF}, 1) FROM a),
+y AS (SELECT rid, kind, place, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT *, string_split(text, '&') AS parts FROM x WHERE text IS NOT NULL)),
+z AS (SELECT *, regexp_extract(part, '^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)', 1) AS code, regexp_extract(part, '{_PREFIX}') AS prefix FROM y),
+n AS (SELECT *, substr(part, length(code) + 1) AS tail, regexp_replace(substr(part, length(code) + 1), '^;', '') AS after, substr(part, length(prefix) + 1) AS behind,
+    coalesce(CASE WHEN code[2] IN ('x', 'X') THEN TRY_CAST('0x' || regexp_replace(code, '^#[xX]0*', '') AS BIGINT) ELSE TRY_CAST(regexp_replace(code, '^#0*', '') AS BIGINT) END, 0) AS n FROM z),
+u AS (SELECT rid, kind, place, string_agg(CASE WHEN i = 1 THEN part
+    WHEN code[1] = '#' AND (n <= 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111) THEN chr(65533) || after
+    WHEN code[1] = '#' AND n BETWEEN 128 AND 159 THEN [{_WINDOWS}][n - 127] || after
+    WHEN code[1] = '#' AND (n < 9 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534) THEN after
+    WHEN code[1] = '#' THEN chr(CAST(n AS INTEGER)) || after
+    WHEN tail[1] = ';' AND names.sign IS NOT NULL THEN names.sign || after
+    WHEN short.sign IS NOT NULL AND NOT (kind = 'link' AND regexp_matches(behind, '^[=A-Za-z0-9]')) THEN short.sign || behind
+    ELSE '&' || part END, '' ORDER BY i) AS text
+  FROM n LEFT JOIN names ON names.name = n.code LEFT JOIN short ON short.name = n.prefix GROUP BY rid, kind, place),
+v AS (SELECT rid, max({_LINE.format("text")}) FILTER (kind = 'title') AS title, max(replace(text, chr(160), ' ')) FILTER (kind = 'text') AS stripped,
+    coalesce(list('outlink: ' || {_LINE.format("text")} ORDER BY place) FILTER (kind = 'link'), []) AS links FROM u GROUP BY rid),
+r AS (SELECT *, {_uuid("'response'", "page_id", "target_uri", "source_digest")} AS refers_to FROM p JOIN v USING (rid)),
 b AS (SELECT page_id, target_uri, source_digest, refers_to, 'metadata' AS warc_type,
     array_to_string(list_concat(['title: ' || title, 'source-payload-digest: ' || source_digest,
       'source-header: Content-Type: text/html; charset=utf-8', 'source-header: Content-Length: ' || strlen(payload)], links), {_CRLF}) || {_CRLF} AS block FROM r

@@ -7,6 +7,8 @@ again gives the same record.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,26 +16,106 @@ from rowrelay.llm.common import column
 
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
-# Markup patterns, valid in Java and RE2, and the commonest character references.
-SKIPPED = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<head[^>]*>.*?</head\s*>"
-BREAKS = r"(?i)</?(?:p|div|h[1-6]|li|ul|ol|tr|table|section|article|nav|footer|header|aside|blockquote|pre|br)(?:[ /][^>]*)?>"
-TAGS = r"<[A-Za-z/!][^>]*>"
-REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-TITLE = r"(?is)<title[^>]*>(.*?)</title"
-LINKS = r'(?is)<a\s[^>]*?href="([^"]*)"'
+# Elements whose content is no text of the page, and those that stand on lines of their own.
+HIDDEN = ("script", "style", "title")
+BLOCKS = (
+    "address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
+    "select summary table tbody td tfoot th thead tr ul"
+).split()
+# An unclosed comment or hidden element ends with the page. Tags end at the first > outside quotes, if their quotes
+# are closed before another tag; loops are possessive, so that long markup takes neither stack nor quadratic time.
+_INSIDE = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+SKIPPED = "(?is)" + "|".join([r"<!--.*?(?:-->|\z)", *(rf"<{e}(?:[\s/][^<>]*+)?>.*?(?:</{e}\s*>|\z)" for e in HIDDEN)])
+BREAKS = rf"""(?i)</?(?:{"|".join(sorted(BLOCKS, key=len, reverse=True))})(?=[\s/>]){_INSIDE}"""
+TAGS = rf"<[A-Za-z/!?]{_INSIDE}|<[A-Za-z/!?][^<>]*+>"
+TITLE = r"(?is)<title(?:[\s/][^<>]*+)?>(.*?)(?:</title|\z)"
+LINK = rf"(?i)<a(?=[\s/]){_INSIDE}"
+# A quoted value ends before its quote, so that the next name may follow at once.
+ATTRIBUTE = r"""(?s)[\s/"'][^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+|'[^']*+|[^\s"'>][^\s>]*+)"""
+HREF = r"(?is)^.href\s*=\s*[\"']?(.*)$"
+
+
+def references() -> tuple[dict[str, str], dict[str, str]]:
+    """Names of character references that end with a semicolon, and those that may lack it, with their texts."""
+    return {n[:-1]: t for n, t in html5.items() if n.endswith(";")}, {n: t for n, t in html5.items() if not n.endswith(";")}
+
+
+def windows_signs() -> dict[int, str]:
+    """What numbers of the range of controls stand for: the code page that pages mean by them."""
+    return {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+
+
+def _map(signs: dict) -> Column:
+    return F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in signs.items())), F.lit("\u0002"), F.lit("\u0001"))
+
 
+def _numbered(code: Column) -> Column:
+    """The text of a numeric reference such as #39 or #x27."""
+    digits = F.regexp_replace(code, "^#[xX]?0*", "")
+    value = F.when(F.lower(F.substring(code, 2, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits)
+    number = F.when(F.length(digits) <= 15, F.coalesce(value.try_cast("bigint"), F.lit(0))).otherwise(-1)
 
-def decoded(text: Column) -> Column:
-    for name, sign in REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
+    def sign(n: Column) -> Column:
+        bytes_of = F.unhex(F.lpad(F.hex(n), 8, "0"))
+        bad = (n <= 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        nothing = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 65536 >= 65534)
+        return F.when(bad, "�").when(n.between(128, 159), F.element_at(_map(windows_signs()), n.cast("string"))).when(nothing, "").otherwise(F.decode(bytes_of, "UTF-32"))
+
+    return F.element_at(F.transform(F.array(number), sign), 1)
+
+
+def decoded(text: Column, attribute: bool = False) -> Column:
+    """The text with its character references decoded: all names, decimal and hexadecimal numbers.
+
+    Some names may lack the semicolon, but in an attribute only before what is neither a
+    letter, a digit nor ``=``, as links hold such names. Numbers that are no character
+    give U+FFFD, those of controls and noncharacters nothing. Other ampersands stay.
+    """
+    closed, open_ = references()
+    names, short = _map(closed), _map(open_)
+    legacy = "^(?:" + "|".join(sorted(open_, key=lambda n: (-len(n), n))) + ")" + ("(?![=A-Za-z0-9])" if attribute else "")
+    rest = lambda part, used: F.substr(part, F.length(used) + 1)
+
+    def one(part: Column) -> Column:
+        code = F.regexp_extract(part, "^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)", 0)
+        return F.struct(part.alias("part"), code.alias("code"))
+
+    def text_of(x: Column) -> Column:
+        part, code = x["part"], x["code"]
+        tail = rest(part, code)
+        ended = F.startswith(tail, F.lit(";"))
+        after = F.when(ended, F.substring(tail, 2, 1 << 30)).otherwise(tail)
+        prefix = F.regexp_extract(part, legacy, 0)
+        without = F.when(prefix != "", F.concat(F.element_at(short, prefix), rest(part, prefix))).otherwise(F.concat(F.lit("&"), part))
+        named = F.when(code == "amp", "&").otherwise(F.element_at(names, code))
+        return (
+            F.when(code == "", F.concat(F.lit("&"), part))
+            .when(F.startswith(code, F.lit("#")), F.concat(_numbered(code), after))
+            .when(ended, F.coalesce(F.concat(named, after), without))
+            .otherwise(without)
+        )
+
+    parts = F.split(text, "&")
+    later = F.transform(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), text_of)
+    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(later, ""))).otherwise(text)
+
+
+def outlinks(html: Column) -> Column:
+    """The targets of a page's links in their order: the first href of each, quoted either way or not at all."""
+    first = lambda tag: F.get(F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 0), lambda a: F.rlike(a, F.lit(HREF))), 0)
+    found = F.filter(F.transform(F.regexp_extract_all(html, F.lit(LINK), 0), first), lambda a: a.isNotNull())
+    return F.transform(found, lambda a: decoded(F.regexp_extract(a, HREF, 1), attribute=True))
 
 
 def plain_text(html: Column) -> Column:
-    """The text of a page: no scripts, styles, head or tags; blocks on lines of their own."""
+    """The text of a page: no scripts, styles, title or tags; blocks on lines of their own.
+
+    White space inside a line is one space, no-break spaces included.
+    """
     text = F.regexp_replace(html, SKIPPED, "")
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\n\f]+", " "), BREAKS, "\n")
-    text = decoded(F.regexp_replace(text, TAGS, ""))
+    text = F.translate(decoded(F.regexp_replace(text, TAGS, "")), " ", " ")
     text = F.regexp_replace(F.regexp_replace(text, " *\n[ \n]*", "\n"), " +", " ")
     return F.regexp_replace(text, "^[ \n]+|[ \n]+$", "")
 
@@ -75,7 +157,7 @@ def derivatives(found: DataFrame) -> DataFrame:
     lines = lambda name, values: F.transform(values, lambda v: F.concat(F.lit(f"{name}: "), v))
     one_line = lambda text: F.trim(F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
     title = one_line(decoded(F.regexp_extract("payload", TITLE, 1)))
-    links = F.transform(F.regexp_extract_all("payload", F.lit(LINKS), 1), lambda v: one_line(decoded(v)))
+    links = F.transform(outlinks(F.col("payload")), one_line)
     fields = F.concat(
         F.array(F.concat(F.lit("title: "), title), F.concat(F.lit("source-payload-digest: "), F.col("payload_digest"))),
         lines("source-header", F.coalesce("http_headers", F.array().cast("array<string>"))),
