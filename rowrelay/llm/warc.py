@@ -26,9 +26,9 @@ BLOCKS = (
 # An unclosed comment or hidden element ends with the page. Tags end at the first > outside quotes, if their quotes
 # are closed before another tag; loops are possessive, so that long markup takes neither stack nor quadratic time.
 _INSIDE = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
-SKIPPED = "(?is)" + "|".join([r"<!--.*?(?:-->|\z)", *(rf"<{e}(?:[\s/][^<>]*+)?>.*?(?:</{e}\s*>|\z)" for e in HIDDEN)])
+SKIPPED = "(?is)<(?:" + "|".join([r"!--.*?(?:-->|\z)", *(rf"{e}(?:[\s/][^<>]*+)?>.*?(?:</{e}\s*>|\z)" for e in HIDDEN)]) + ")"
 BREAKS = rf"""(?i)</?(?:{"|".join(sorted(BLOCKS, key=len, reverse=True))})(?=[\s/>]){_INSIDE}"""
-TAGS = rf"<[A-Za-z/!?]{_INSIDE}|<[A-Za-z/!?][^<>]*+>"
+TAGS = rf"<[A-Za-z/!?](?:{_INSIDE}|[^<>]*+>)"
 TITLE = r"(?is)<title(?:[\s/][^<>]*+)?>(.*?)(?:</title|\z)"
 LINK = rf"(?i)<a(?=[\s/]){_INSIDE}"
 # A quoted value ends before its quote, so that the next name may follow at once.
@@ -86,8 +86,8 @@ def decoded(text: Column, attribute: bool = False) -> Column:
         tail = rest(part, code)
         ended = F.startswith(tail, F.lit(";"))
         after = F.when(ended, F.substring(tail, 2, 1 << 30)).otherwise(tail)
-        prefix = F.regexp_extract(part, legacy, 0)
-        without = F.when(prefix != "", F.concat(F.element_at(short, prefix), rest(part, prefix))).otherwise(F.concat(F.lit("&"), part))
+        open_part = lambda prefix: F.when(prefix != "", F.concat(F.element_at(short, prefix), rest(part, prefix))).otherwise(F.concat(F.lit("&"), part))
+        without = F.transform(F.array(F.regexp_extract(part, legacy, 0)), open_part)[0]
         named = F.when(code == "amp", "&").otherwise(F.element_at(names, code))
         return (
             F.when(code == "", F.concat(F.lit("&"), part))
@@ -96,9 +96,12 @@ def decoded(text: Column, attribute: bool = False) -> Column:
             .otherwise(without)
         )
 
-    parts = F.split(text, "&")
-    later = F.transform(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), text_of)
-    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], F.array_join(later, ""))).otherwise(text)
+    def joined(parts: Column) -> Column:
+        later = F.transform(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), text_of)
+        return F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(later, ""))).otherwise(parts[0])
+
+    # Split once: what an expression names several times is computed as often.
+    return F.transform(F.array(F.split(text, "&")), joined)[0]
 
 
 def outlinks(html: Column) -> Column:
@@ -114,10 +117,12 @@ def plain_text(html: Column) -> Column:
     White space inside a line is one space, no-break spaces included.
     """
     text = F.regexp_replace(html, SKIPPED, "")
-    text = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\n\f]+", " "), BREAKS, "\n")
-    text = F.translate(decoded(F.regexp_replace(text, TAGS, "")), " ", " ")
-    text = F.regexp_replace(F.regexp_replace(text, " *\n[ \n]*", "\n"), " +", " ")
-    return F.regexp_replace(text, "^[ \n]+|[ \n]+$", "")
+    for sign in "\t\r\n\f":
+        text = F.replace(text, F.lit(sign), F.lit(" "))
+    text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
+    text = F.replace(decoded(text), F.lit("\u00a0"), F.lit(" "))
+    text = F.replace(F.regexp_replace(text, " {2,}+", " "), F.lit(" \n"), F.lit("\n"))
+    return F.btrim(F.regexp_replace(text, "\n[ \n]++", "\n"), F.lit(" \n"))
 
 
 def record_id(*parts: Column) -> Column:
