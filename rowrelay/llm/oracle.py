@@ -65,7 +65,14 @@ tg AS (SELECT license, m, gram, count(*) AS times
   FROM (SELECT license, m, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT license, m, w, unnest(range(1, len(w))) AS i FROM t)) GROUP BY ALL),
 d AS (SELECT row_number() OVER () AS rid, doc_id,
     regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^a-z0-9\n]+', ' ', 'g') AS plain FROM documents),
-u AS (SELECT DISTINCT rid, unnest(list_concat(
+ln AS (SELECT rid, i, x, string_split(x, ' ') AS w FROM (
+    SELECT rid, unnest(xs) AS x, unnest(range(1, len(xs) + 1)) AS i FROM (SELECT rid, list_transform(string_split(plain, chr(10)), lambda x: trim(x)) AS xs FROM d)) WHERE x <> ''),
+lg AS (SELECT rid, i, count(*) AS n, count(g.gram) AS hits FROM (SELECT rid, i, w[j] || ' ' || w[j + 1] AS gram FROM (SELECT rid, i, w, unnest(range(1, len(w))) AS j FROM ln)) o
+  LEFT JOIN (SELECT DISTINCT gram FROM tg) g USING (gram) GROUP BY rid, i),
+lk AS (SELECT rid, i, x, row_number() OVER (PARTITION BY rid ORDER BY i) AS k FROM ln),
+st AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS words FROM (
+    SELECT rid, i, x, k - row_number() OVER (PARTITION BY rid ORDER BY i) AS island FROM lk JOIN lg USING (rid, i) WHERE 2 * hits >= n) GROUP BY rid, island),
+u AS (SELECT rid, words FROM st UNION SELECT DISTINCT rid, unnest(list_concat(
     list_transform(string_split(plain, chr(10)), lambda x: trim(x)),
     list_transform(list_filter(string_split_regex(plain, '\n *\n'), lambda x: contains(x, chr(10))), lambda x: trim(regexp_replace(x, '[ \n]+', ' ', 'g'))),
     [trim(regexp_replace(plain, '[ \n]+', ' ', 'g'))])) AS words FROM d),

@@ -14,6 +14,15 @@ def slow(text, templates, least=licenses.LEAST):
     flat = lambda x: re.sub(r"[ \n]+", " ", x).strip(" ")
     parts = {x.strip(" ") for x in plain.split("\n")} | {flat(x) for x in re.split("\n *\n", plain) if "\n" in x} | {flat(plain)}
     grams = lambda words: Counter(zip(words, words[1:]))
+    known = set().union(*(grams(licenses.words_of(w)) for w in templates.values()))
+    stretch = []
+    for line in [x.split() for x in plain.split("\n") if x.strip(" ")] + [[]]:
+        own = grams(line)
+        if own and 2 * sum(n for g, n in own.items() if g in known) >= sum(own.values()):
+            stretch += line
+        else:
+            parts.add(" ".join(stretch))
+            stretch = []
     compared, found, ratio = set(), [], least / (2 - least)
     for part in parts:
         own = grams(part.split())
@@ -55,6 +64,25 @@ def test_wordings(spark):
         run(spark, rows, templates={"x": "one"})
 
 
+def test_a_wrapped_licence_between_other_lines(spark):
+    """Code on the lines around it, a comment sign before each line, a blank line in it."""
+    def wrapped(name, width):
+        words = licenses.TEMPLATES[name].split()
+        return [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+
+    code = ["import numpy as np", "def f(x): return x + 1", "print(f(np.ones(3)))"]
+    rows = []
+    for i, name in enumerate(sorted(licenses.TEMPLATES)):
+        body = wrapped(name, 9)
+        body.insert(len(body) // 2, "")
+        rows.append((i, "\n".join([*code, *(f"# {x}" for x in body), *code]), ""))
+    found = run(spark, rows)
+    assert found == [(k, *slow(t, licenses.TEMPLATES)) for k, t, _ in rows]
+    for name, (_, _, matches) in zip(sorted(licenses.TEMPLATES), found):
+        if len(licenses.words_of(licenses.TEMPLATES[name])) >= 10:
+            assert name in [m[0] for m in matches], name
+
+
 def test_no_shuffle_no_python(spark, small):
     plan = licenses.scan(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
