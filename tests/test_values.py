@@ -130,3 +130,10 @@ def test_unsigned_ids_must_be_declared(spark):
     with pytest.raises(ValueError, match="id"):
         convert_row(frame)
     assert convert_row(frame, {"id": "BIGINT UNSIGNED"}).first().id == 9007199254740993
+
+
+def test_dates_behind_the_year_9999_have_a_sign(spark):
+    """As ISO dates are written: years of more than four digits begin with a plus."""
+    days = spark.createDataFrame([(2932896,), (2932897,)], "day int")
+    texts = [r.day for r in convert_row(days, {"day": "date"}).collect()]
+    assert texts == ["9999-12-31", "+10000-01-01"]
