@@ -38,7 +38,7 @@ from rowrelay.plans.tablelog import (
 )
 from rowrelay.sinks import records as outgoing
 from rowrelay.sinks.buckets import BucketedState
-from rowrelay.sinks.targets import Target, files
+from rowrelay.sinks.targets import Target, compressed, files
 from rowrelay.sources.changelog import read_delivered, read_files, stream_text
 from rowrelay.sources.logindex import LogIndex
 from rowrelay.sources.logs import MessageFiles
@@ -51,6 +51,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FOUR = Options(partitions=4)
 MARK = Position(1, 30000)
+#: Logs and deliveries are written as compressed texts.
+PACKED = "lz4"
 START_MS = EPOCH_MS + 30000 * 1000
 
 _registered: dict[str, Query] = {}
@@ -562,7 +564,7 @@ def id_wrap(spark: SparkSession, folder: str) -> DataFrame:
 def partition_order(spark: SparkSession, folder: str) -> DataFrame:
     """The place of each record in the files that ordered delivery wrote."""
     out = new_folder(spark, "ordered")
-    run_batch(wire_log(spark, folder), FOUR.with_(order="partition"), files(out, by_partition=True))
+    run_batch(wire_log(spark, folder), FOUR.with_(order="partition"), files(out, by_partition=True, compression=PACKED))
     delivered = parse(read_delivered(spark, out), keep=["topic", "partition", "sequence"], position=True)
     return delivered.select("topic", "partition", "file", "pos", "sequence")
 
@@ -613,15 +615,20 @@ def pulsar_record(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------
 
 
+def _append(wire: DataFrame, folder: str) -> None:
+    """More record texts in a folder."""
+    wire.write.mode("append").options(**compressed(PACKED)).text(folder)
+
+
 def _stage(wire: DataFrame, name: str) -> str:
     """Record texts written to the shared folder, for a stream to read."""
     folder = new_folder(wire.sparkSession, name)
-    wire.write.text(folder)
+    _append(wire, folder)
     return folder
 
 
 def _drain(spark: SparkSession, source: str, opts: Options, out: str) -> None:
-    target = files(out, by_partition=True)
+    target = files(out, by_partition=True, compression=PACKED)
     start_stream(stream_text(spark, source, opts), opts, target, available_now=True).awaitTermination()
 
 
@@ -651,7 +658,7 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
     opts = Options(job_id="stream_resume", partitions=4, checkpoint_dir=new_folder(spark, "job"))
     _drain(spark, source, opts, out)
     _drain(spark, source, opts, out)
-    wire_log(spark, folder).write.mode("append").text(source)
+    _append(wire_log(spark, folder), source)
     _drain(spark, source, opts, out)
     return _delivered(spark, out)
 
@@ -671,11 +678,11 @@ def _job(spark: SparkSession, folder: str, mode: int) -> DataFrame:
         start_timestamp=START_MS if mode == fixed.START_TIMESTAMP else 0,
         checkpoint_dir=new_folder(spark, "job"),
     )
-    target = files(out, by_partition=True)
+    target = files(out, by_partition=True, compression=PACKED)
     rows = replay(change_log(spark, folder).where(~is_after(MARK) & (F.col("source.db") == "test"))).select("after.*")
     tables = {"test.tb_order": Table(rows)}
     run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
-    wire.where(later).select("value").write.mode("append").text(source)
+    _append(wire.where(later).select("value"), source)
     run_job(spark, source, opts, target, tables, available_now=True).awaitTermination()
     found = parse(read_files(spark, out), keep=["topic", "partition"], before=True)
     ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
@@ -717,7 +724,7 @@ def job_latest_offsets(spark: SparkSession, folder: str) -> DataFrame:
     source, out = new_folder(spark, "messages"), new_folder(spark, "delivered")
     messages.where(first).write.parquet(source)
     opts = Options(job_id="job_offsets", partitions=4, start_mode=fixed.START_LATEST, checkpoint_dir=new_folder(spark, "job"))
-    log, target = MessageFiles(source), files(out, by_partition=True)
+    log, target = MessageFiles(source), files(out, by_partition=True, compression=PACKED)
     run_job(spark, log, opts, target, available_now=True).awaitTermination()
     messages.write.mode("append").parquet(source)
     run_job(spark, log, opts, target, available_now=True).awaitTermination()
@@ -733,7 +740,7 @@ def job_counters(spark: SparkSession, folder: str) -> DataFrame:
     opts = Options(job_id="job_counters", partitions=4, checkpoint_dir=new_folder(spark, "job"))
     _drain(spark, source, opts, out)
     _drain(spark, source, opts, out)
-    wire_log(spark, folder).write.mode("append").text(source)
+    _append(wire_log(spark, folder), source)
     _drain(spark, source, opts, out)
     rows = sorted(job_totals(spark, opts).items())
     return spark.createDataFrame(rows, "counter string, records bigint")
@@ -747,8 +754,8 @@ def job_latest_indexed(spark: SparkSession, folder: str) -> DataFrame:
     source, out = _stage(wire.where(~later).select("value"), "log"), new_folder(spark, "delivered")
     index = LogIndex(spark, source, new_folder(spark, "index"))
     end = index.end()
-    wire.where(later).select("value").write.mode("append").text(source)
-    run_batch(index.read_after(end), FOUR.with_(start_after=end), files(out, by_partition=True))
+    _append(wire.where(later).select("value"), source)
+    run_batch(index.read_after(end), FOUR.with_(start_after=end), files(out, by_partition=True, compression=PACKED))
     found = parse(read_files(spark, out), keep=["topic", "partition"], before=True)
     ids = [F.col(c).cast("bigint").alias(c) for c in ("row_id", "before_id")]
     return found.select("topic", "partition", "op", *ids)
@@ -765,7 +772,7 @@ def snapshot_resumed(spark: SparkSession, folder: str) -> DataFrame:
     source, out, place = new_folder(spark, "log"), new_folder(spark, "delivered"), new_folder(spark, "chunks")
 
     def append(low: int, high: int) -> None:
-        encode(changes.where(F.col("stretch").between(low, high))).write.mode("append").text(source)
+        _append(encode(changes.where(F.col("stretch").between(low, high))), source)
 
     reads: list[int] = []
 
@@ -782,7 +789,7 @@ def snapshot_resumed(spark: SparkSession, folder: str) -> DataFrame:
     last = read_parquet(spark, folder, "orders").agg(F.max("o_orderkey")).first()[0]
     table = ChunkedTable(rows, [last * i // 4 for i in (1, 2, 3)])
     index = LogIndex(spark, source, new_folder(spark, "index"))
-    opts, target = FOUR.with_(databases="test"), files(out, by_partition=True)
+    opts, target = FOUR.with_(databases="test"), files(out, by_partition=True, compression=PACKED)
     try:
         snapshot_chunks(index, opts, target, "test.tb_order", table, f"{place}/test.tb_order")
     except ConnectionError:
