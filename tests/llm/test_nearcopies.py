@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from rowrelay.llm import nearcopies
+from rowrelay.llm import nearcopies, simhash
 from test_simhash import roots_of
 
 
@@ -122,3 +122,28 @@ def test_bands_find_pairs_at_the_limit():
         assert nearcopies.similar(a, b) and not nearcopies.similar(a, b, 0.81)
         found += bool(set(nearcopies.bands(a)[:, 0].tolist()) & set(nearcopies.bands(b)[:, 0].tolist()))
     assert found >= 998
+
+
+def test_tries_bring_near_copies_together(spark, monkeypatch):
+    """Without any band, what the fingerprint tries join is checked and goes; a close print alone is no link."""
+    monkeypatch.setattr(nearcopies, "bands", lambda found: np.zeros((0, 1 + nearcopies.ORDERS), np.int64))
+    texts = [" ".join(f"g{g}w{i}" for i in range(300)) for g in range(3)]
+    texts += [t + " the end" for t in texts] + [texts[0].upper(), "", None]
+    prints = [simhash.fingerprint((t or "").encode(), nearcopies.SHINGLE) for t in texts]
+    assert all(0 < bin(prints[g] ^ prints[g + 3]).count("1") <= simhash.BUDGET for g in range(3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 1, 2, 7]
+    assert nearcopies.deduplicated(docs, similarity=0.9999).where("doc_id < 6").count() == 6
+
+
+def test_trie_buckets_against_all_pairs(spark):
+    rng = random.Random(4)
+    prints = [rng.getrandbits(64) for _ in range(60)]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 6))) for p in prints[:40]]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = spark.createDataFrame([(i, 9, p) for i, p in enumerate(signed)], "code long, n long, fp long")
+    found = {r.code: r.bucket for r in nearcopies.trie_buckets(rows).collect()}
+    near = [(i, j) for i in range(100) for j in range(i + 1, 100) if bin(prints[i] ^ prints[j]).count("1") <= simhash.BUDGET]
+    roots = roots_of(near, 100)
+    assert near and len(found) == 100
+    assert all((found[i] == found[j]) == (roots[i] == roots[j]) for i in range(100) for j in range(100))
