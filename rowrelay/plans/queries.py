@@ -581,9 +581,13 @@ def waves_order(spark: SparkSession, folder: str) -> DataFrame:
     source, out = _stage(wire_log(spark, folder), "waves-log"), new_folder(spark, "waves")
     opts = FOUR.with_(job_id="waves", order="partition", in_waves=True, sink_parallelism=12, checkpoint_dir=new_folder(spark, "job"))
     start_stream(stream_text(spark, source, opts), opts, _into_table(out), available_now=True).awaitTermination()
-    sent = Window.partitionBy("topic", "partition").orderBy("wave", "place")
-    got = spark.read.parquet(out).withColumn("sequence", F.row_number().over(sent).cast("bigint") - 1)
-    return parse(got, keep=["topic", "partition", "sequence"], position=True).select("topic", "partition", "file", "pos", "sequence")
+    got, own = spark.read.parquet(out), ["topic", "partition", "wave"]
+    # Numbered inside a wave, after the records of the waves before; the texts stay behind.
+    earlier = Window.partitionBy("topic", "partition").orderBy("wave").rowsBetween(Window.unboundedPreceding, -1)
+    before = got.groupBy(*own).count().select(*own, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    rows = parse(got, keep=[*own, "place"], position=True).select(*own, "file", "pos", "place")
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(*own).orderBy("place")))
+    return rows.join(before, own).select("topic", "partition", "file", "pos", (F.col("before") + F.col("at") - 1).alias("sequence"))
 
 
 # --- outgoing records --------------------------------------------------------

@@ -23,11 +23,19 @@ from rowrelay.operators.ordering import GROUP, exclusive_order, fragments
 from rowrelay.streaming.folders import file_system, names_in, put_text
 
 
+#: Bytes of text in a fragment; a larger batch is cut into more fragments than ``parallelism``.
+FRAGMENT = 128 << 20
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    system, success = file_system(spark, f"{path}/_SUCCESS")
+    return system.exists(success)
+
+
 def _kept(frame: DataFrame, path: str, schema: StructType) -> DataFrame:
     """The frame as written to the path, now or by an earlier start that finished it."""
     spark = frame.sparkSession
-    system, success = file_system(spark, f"{path}/_SUCCESS")
-    if not system.exists(success):
+    if not _written(spark, path):
         folders = [c for c in ("fragment",) if c in frame.columns]
         frame.write.mode("overwrite").partitionBy(*folders).parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -38,6 +46,23 @@ def _forget(spark: SparkSession, path: str) -> None:
     system.delete(there, True)
 
 
+def _cut(batch: DataFrame, here: str, parallelism: int | None) -> DataFrame:
+    """The batch's records with their fragments, ``parallelism`` or as many as keep each near ``FRAGMENT``.
+
+    The batch is written as it comes first, so that it is parsed once, although it is measured and
+    a range exchange reads its input twice.
+    """
+    spark, path = batch.sparkSession, f"{here}/rows"
+    schema = StructType([*batch.schema.fields]).add("fragment", IntegerType())
+    if not _written(spark, path):
+        whole = _kept(batch, f"{here}/batch", batch.schema)
+        size = whole.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        pieces = max(parallelism or 1, -(-size // FRAGMENT))
+        _kept(fragments(whole, pieces), path, schema)
+    _forget(spark, f"{here}/batch")
+    return spark.read.schema(schema).parquet(path)
+
+
 def spans(rows: DataFrame) -> DataFrame:
     """(topic, partition, first, last): the fragments of each topic partition, which are consecutive."""
     return rows.groupBy(*GROUP).agg(F.min("fragment").alias("first"), F.max("fragment").alias("last"))
@@ -77,7 +102,7 @@ def deliver_waves(
             _forget(spark, f"{place}/{name}")
     if "done" in names_in(spark, here):
         return json.loads(spark.read.text(f"{here}/done", wholetext=True).first().value)
-    rows = _kept(fragments(batch, parallelism), f"{here}/rows", StructType(batch.schema.fields).add("fragment", IntegerType()))
+    rows = _cut(batch, here, parallelism)
     found = spans(rows)
     ranges = _kept(found, f"{here}/spans", found.schema)
     longest = ranges.agg(F.max(F.col("last") - F.col("first"))).first()[0]

@@ -13,6 +13,7 @@ from rowrelay.plans.job import Table, run_job
 from rowrelay.plans.tablelog import wire_log
 from rowrelay.sinks.targets import Target
 from rowrelay.sources.changelog import stream_text
+from rowrelay.streaming import waves
 from rowrelay.streaming.waves import deliver_waves
 
 
@@ -116,6 +117,16 @@ def test_a_batch_is_sent_once_and_earlier_ones_are_forgotten(spark, tmp_path):
     assert len(got) == 300 and os.listdir(place) == ["1"]
 
 
+def test_a_large_batch_has_more_fragments_than_writers(spark, tmp_path, monkeypatch):
+    """A task's part is bounded by its bytes, whatever the parallelism."""
+    monkeypatch.setattr(waves, "FRAGMENT", 400, raising=False)
+    got, rows = [], [("t", i % 2, f"value{i:05d}", "bin.1", i, 0, "c") for i in range(400)]
+    deliver_waves(routed(spark, rows), 0, str(tmp_path / "waves"), lambda frame: got.append(frame.collect()), progress_columns(), 2)
+    assert max(len(wave) for wave in got) < 160 and sum(map(len, got)) == 400
+    for part in (0, 1):
+        assert [r.pos for wave in got for r in wave if r.partition == part] == list(range(part, 400, 2))
+
+
 def test_a_snapshot_before_ordered_changes(spark, source, opts, tmp_path):
     out = str(tmp_path / "out")
     plain = table(out)
