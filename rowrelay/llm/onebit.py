@@ -23,8 +23,10 @@ BITS, BOUND = 4, 4.0
 SEED = 42
 #: Vectors and queries that one task holds, and tasks at least that the vectors are dealt out to.
 BLOCK, ASKED, DEALT = 1 << 17, 1 << 13, 16
+#: Components of the vectors that give every query its first limit: 16,384 vectors of 64.
+SAMPLE = 1 << 20
 #: Vectors and queries of one step, and pairs that are reranked at once.
-_ROWS, _ASKS, _PAIRS = 4096, 512, 1 << 15
+_ROWS, _ASKS, _PAIRS = 4096, 512, 1 << 11
 #: Room for the rounding of estimates, which are single precision.
 _SLACK = 1e-5
 
@@ -65,6 +67,26 @@ def products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
     return out
 
 
+def reaching(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, product) of the pairs of rows x[i] and y[j] whose product is least[i] or more.
+
+    A product in any order of addition, which is fast, leaves out most pairs; a pair within
+    its rounding of the limit is added from left to right.
+    """
+    room = x.shape[1] * 2 * np.finfo(float).eps
+    low, high = room * np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+    near = np.empty(i.size, bool)
+    for a in range(0, i.size, _PAIRS):
+        some = slice(a, a + _PAIRS)
+        with np.errstate(all="ignore"):
+            fast = np.einsum("ij,ij->i", x[i[some]], y[j[some]])
+            near[some] = ~(fast + low[i[some]] * high[j[some]] < least[i[some]])
+    i, j = i[near], j[near]
+    score = products(x, y, i, j)
+    near = ~(score < least[i])
+    return i[near], j[near], score[near]
+
+
 def _best(ask: np.ndarray, row: np.ndarray, score: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """Which entries are among the n best of their query: by score, then by the row's first id."""
     order = np.lexsort((first[row], -score, ask))
@@ -74,10 +96,13 @@ def _best(ask: np.ndarray, row: np.ndarray, score: np.ndarray, first: np.ndarray
     return order[place < n]
 
 
-def search(x: np.ndarray, first: np.ndarray, codes: tuple, q: np.ndarray, centre: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search(
+    x: np.ndarray, first: np.ndarray, codes: tuple, q: np.ndarray, centre: np.ndarray, n: int, limits: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, score) of the n nearest rows of x to each row of q, all of them if fewer.
 
     ``codes`` is what :func:`encoded` gives for x, ``first`` the smallest id of each row.
+    Rows below a query's number in ``limits`` are left out, so there can be fewer.
     """
     bits, factor, bound = codes
     turn = rotation(x.shape[1])
@@ -91,7 +116,7 @@ def search(x: np.ndarray, first: np.ndarray, codes: tuple, q: np.ndarray, centre
         asks = slice(a, min(a + _ASKS, len(q)))
         many = asks.stop - a
         ask, row, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        least = np.full(many, -np.inf)
+        least = np.full(many, -np.inf) if limits is None else limits[asks].astype(float)
         for b in range(0, len(x), _ROWS):
             rows = slice(b, min(b + _ROWS, len(x)))
             signs = np.unpackbits(bits[rows], axis=1).astype(np.float32) * 2 - 1
@@ -101,22 +126,36 @@ def search(x: np.ndarray, first: np.ndarray, codes: tuple, q: np.ndarray, centre
             if b == 0 and len(x) > n:  # the best estimates give a first limit
                 top = np.argpartition(-near, n - 1, axis=1)[:, :n]
                 exact = products(q[asks], x, np.repeat(np.arange(many), n), top.ravel())
-                least = exact.reshape(many, n).min(axis=1)
+                least = np.fmax(least, exact.reshape(many, n).min(axis=1))
             with np.errstate(all="ignore"):
                 limit = (least / length[asks] / scale).astype(np.float32)
                 near += small[1][rows]
             i, j = np.nonzero(~(near < (limit - np.abs(limit) * 1e-6)[:, None]))
-            j += b
-            ask, row, score = np.append(ask, i), np.append(row, j), np.append(score, products(q[asks], x, i, j))
+            i, j, exact = reaching(q[asks], x[rows], i, j, least)
+            ask, row, score = np.append(ask, i), np.append(row, j + b), np.append(score, exact)
             keep = _best(ask, row, score, first, n)
             ask, row, score = ask[keep], row[keep], score[keep]
             counts = np.bincount(ask, minlength=many)
             full = counts >= n
-            least[full] = score[np.cumsum(counts)[full] - 1]
+            least[full] = np.fmax(least[full], score[np.cumsum(counts)[full] - 1])
         found.append((ask + a, row, score))
     return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
+def first_limits(some: np.ndarray, codes: tuple, q: np.ndarray, centre: np.ndarray, n: int) -> np.ndarray:
+    """The n-th best product of each row of q with the rows of ``some``; no limit if they are fewer."""
+    ask, _, score = search(some, np.arange(len(some)), codes, q, centre, n)
+    limits = np.full(len(q), np.inf)
+    np.minimum.at(limits, ask, score)
+    limits[np.bincount(ask, minlength=len(q)) < n] = -np.inf
+    return limits
+
+
+def _codes(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bits = np.stack([np.frombuffer(b.as_py(), np.uint8) for b in rows.column("code")])
+    return bits, rows.column("factor").to_numpy(), rows.column("bound").to_numpy()
+
+
 def _matrix(column_: pa.ChunkedArray, size: int) -> np.ndarray:
     flat = column_.combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64).reshape(-1, size)
@@ -133,7 +172,9 @@ def nearest(vectors: DataFrame, ask: Column, k: int = 20, id_col: str = "vec_id"
 
     Equal vectors are searched as one, and of them the k + 1 smallest ids can be in a
     list, so many copies of a vector neither gather in a task nor multiply. Vectors are
-    dealt out evenly in blocks of a bounded size and meet the queries in blocks, too.
+    dealt out evenly in blocks of a bounded size and meet the queries in blocks, too. A
+    sample of a fixed size comes to the driver first and gives each query a limit that its
+    list reaches in any case; every vector is still met, and none of a list is lost by it.
     """
     spark = vectors.sparkSession
     kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
@@ -170,8 +211,20 @@ def nearest(vectors: DataFrame, ask: Column, k: int = 20, id_col: str = "vec_id"
     asks = saved(rows.where("ask").join(classes.select("key", "vec"), "vec").select(F.col("id").alias("query_id"), "key"), "asks")
     wanted = classes.join(asks.select("key").distinct(), "key", "left_semi").select(F.col("key").alias("asked"), F.col("vec").alias("q"))
 
-    blocks = max(DEALT, -(-classes.count() // BLOCK))
+    many = classes.count()
+    blocks = max(DEALT, -(-many // BLOCK))
     parts = max(1, -(-wanted.count() // ASKED))
+    drawn = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / size / max(many, 1)))
+    sample = classes.where(drawn).select("vec", "code", "factor", "bound").toArrow()
+
+    def limited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = sample.num_rows <= k
+        some, codes = (None, None) if few else (_matrix(sample.column("vec"), size), _codes(sample))
+        for batch in batches:
+            if batch.num_rows:
+                q = _matrix(pa.chunked_array([batch.column(1)]), size)
+                limits = np.full(len(q), -np.inf) if few else first_limits(some, codes, q, centre, k + 1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(limits)], names=["asked", "q", "least"])
 
     def dealt(key: str, name: str, n: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(name)
@@ -180,6 +233,7 @@ def nearest(vectors: DataFrame, ask: Column, k: int = 20, id_col: str = "vec_id"
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
 
     left = classes.select("*", dealt("key", "block", blocks), spread("part", parts)).groupBy("block", "part")
+    wanted = wanted.mapInArrow(limited, f"asked long, q array<{kind}>, least double")
     right = wanted.select("*", dealt("asked", "of", parts), spread("at", blocks)).groupBy("at", "of")
 
     names = ["key", "row", "ids", "score"]
@@ -191,8 +245,7 @@ def nearest(vectors: DataFrame, ask: Column, k: int = 20, id_col: str = "vec_id"
         x, q = _matrix(some.column("vec"), size), _matrix(asked.column("q"), size)
         ids = some.column("ids").combine_chunks()
         first = ids.flatten().to_numpy()[ids.offsets.to_numpy()[:-1] - ids.offsets[0].as_py()]
-        bits = np.stack([np.frombuffer(b.as_py(), np.uint8) for b in some.column("code")])
-        ask, row, score = search(x, first, (bits, some.column("factor").to_numpy(), some.column("bound").to_numpy()), q, centre, k + 1)
+        ask, row, score = search(x, first, _codes(some), q, centre, k + 1, asked.column("least").to_numpy())
         return pa.Table.from_arrays([asked.column("asked").take(pa.array(ask)), some.column("key").take(pa.array(row)), some.column("ids").take(pa.array(row)), pa.array(score)], names=names)
 
     met = left.cogroup(right).applyInArrow(meet, "key long, row long, ids array<long>, score double")

@@ -74,6 +74,32 @@ def test_recall():
     assert score == pytest.approx(exact[ask, row])
 
 
+def test_shared_limits(monkeypatch):
+    """A limit from a sample loses no neighbour, and a block adds up few products although it is a small part."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((24000, 64)).astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[9] = x[20]  # a tie at the limit's side
+    ids, centre, q = np.arange(24000), np.round(x.mean(axis=0), 3), x[::400]
+    codes = onebit.encoded(x, centre)
+    some = rng.permutation(24000)[:8000]
+    limits = onebit.first_limits(x[some], [c[some] for c in codes], q, centre, 21)
+    exact = q @ x.T
+    assert limits == pytest.approx(-np.sort(-exact[:, some], axis=1)[:, 20])
+    added, products = [], onebit.products
+    monkeypatch.setattr(onebit, "products", lambda x, y, i, j: added.append(i.size) or products(x, y, i, j))
+    found = []
+    for b in range(16):
+        own = np.arange(b, 24000, 16)
+        ask, row, score = onebit.search(x[own], ids[own], [c[own] for c in codes], q, centre, 21, limits)
+        found += zip(ask.tolist(), (-score).tolist(), own[row].tolist())
+    got = [[j for a, _, j in sorted(found) if a == i][:21] for i in range(60)]
+    hits = sum(len(set(g) & set(np.argsort(-exact[i], kind="stable")[:21])) for i, g in enumerate(got))
+    assert hits >= 0.999 * 60 * 21
+    assert sum(added) < 0.05 * 60 * 24000
+    assert np.isneginf(onebit.first_limits(x[:20], [c[:20] for c in codes], q, centre, 21)).all()
+
+
 def test_copies_and_ties(spark):
     """Many copies of a vector: the smallest ids win, a query is not its own neighbour; equal scores tie."""
     hot, side = [0.6, 0.8, 0.0], [0.8, 0.6, 0.0]
