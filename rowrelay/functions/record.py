@@ -45,9 +45,14 @@ def source_struct(
     )
 
 
+def encoded_value() -> Column:
+    """The JSON text of a change frame's row, in ``value``."""
+    return F.to_json(F.struct(*ENVELOPE), KEEP_NULLS).alias("value")
+
+
 def encode(changes: DataFrame) -> DataFrame:
     """Change frame (the ``ENVELOPE`` columns) to one JSON text per row, nulls written."""
-    return changes.select(F.to_json(F.struct(*ENVELOPE), KEEP_NULLS).alias("value"))
+    return changes.select(encoded_value())
 
 
 def decode(wire: DataFrame, image: str) -> DataFrame:

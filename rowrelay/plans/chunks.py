@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from rowrelay.functions.position import BEFORE_ALL, Position, is_after
 from rowrelay.functions.record import parse
-from rowrelay.operators.filters import include
 from rowrelay.options import Options
-from rowrelay.plans.delivery import run_batch, table_snapshot
+from rowrelay.plans.delivery import routed_records, run_routed, snapshot_records
 from rowrelay.sinks.targets import Target
+from rowrelay.sources.changelog import check_start
 from rowrelay.sources.logindex import LogIndex
 from rowrelay.streaming.folders import file_system, staged
 
@@ -111,11 +111,12 @@ def _own(texts: DataFrame, name: str, opts: Options) -> DataFrame:
 def unchanged(rows: DataFrame, index: LogIndex, name: str, opts: Options, low: Position, high: Position) -> DataFrame:
     """The rows without those that changed after ``low`` and up to ``high``.
 
-    Only the log's files between the marks are read. A truncate between them ends all rows.
+    Only the log's files between the marks are read, and once: the keys that changed are
+    written to the session's folder. A truncate between them ends all rows.
     """
     texts = index.read_after(low, high)
     between = _own(texts, name, opts).where(is_after(low, "") & ~is_after(high, ""))
-    keys = between.select(record_key(between).alias("_changed"), F.col("op").alias("_op")).distinct()
+    keys = staged(between.select(record_key(between).alias("_changed"), F.col("op").alias("_op")).distinct(), "changed")
     key = F.col(f"`{opts.key_column}`").cast("decimal(38,0)")
     if not keys.where("_op = 't'").isEmpty():
         return rows.limit(0)
@@ -130,6 +131,7 @@ def snapshot_chunks(index: LogIndex, opts: Options, target: Target, name: str, t
     anew with new marks (at least once). The rows of a chunk are written to the shared
     folder before its high mark is taken, because a second read could see other rows.
     """
+    check_start(opts)
     spark, ledger, done = index.spark, Ledger(index.spark, place), []
     db, table_name = name.split(".", 1)
     for chunk in ledger.ranges(table.cuts):
@@ -139,7 +141,8 @@ def snapshot_chunks(index: LogIndex, opts: Options, target: Target, name: str, t
             rows = staged(table.read(chunk), "chunk")
             high = index.end() or BEFORE_ALL
             left = unchanged(rows, index, name, opts, low, high)
-            run_batch(table_snapshot(left, opts, db, table_name, low, table.sql_types), opts, target)
+            records = snapshot_records(left, opts, db, table_name, low, table.sql_types)
+            run_routed(routed_records(records, opts), opts, target)
             old = Chunk(chunk.number, chunk.lower, chunk.upper, low, high)
             ledger.add(old)
         done.append(old)
@@ -175,8 +178,11 @@ def live(records: DataFrame, snapshots: Mapping[str, Sequence[Chunk]]) -> DataFr
 def capture_in_chunks(
     index: LogIndex, opts: Options, target: Target, tables: Mapping[str, ChunkedTable], place: str
 ) -> None:
-    """Deliver the tables' snapshots in chunks, then the log's changes after them, as far as it goes now."""
+    """Deliver the tables' snapshots in chunks, then the log's changes after them, as far as it goes now.
+
+    A change is parsed once, for its chunk's mark and for its route.
+    """
     found = {n: snapshot_chunks(index, opts, target, n, t, f"{place}/{n}") for n, t in tables.items()}
     start = min((c.low for own in found.values() for c in own), default=BEFORE_ALL)
     records = parse(index.read_after(start), key_column=opts.key_column, position=True, before=True)
-    run_batch(live(include(records, opts.databases, opts.tables, opts.include_schema_changes), found).select("value"), opts, target)
+    run_routed(routed_records(live(records, found), opts), opts, target)

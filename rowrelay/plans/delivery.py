@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowrelay import fixed
 from rowrelay.functions.position import Position, is_after
-from rowrelay.functions.record import encode, parse
+from rowrelay.functions.record import encode, encoded_value, id_number, parse
 from rowrelay.operators.capture import since, snapshot
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.filters import include
@@ -69,6 +69,32 @@ def table_snapshot(
     return encode(snapshot(convert_row(rows, sql_types, opts.zone), db, table, mark=mark))
 
 
+def snapshot_records(
+    rows: DataFrame,
+    opts: Options,
+    db: str,
+    table: str,
+    mark: Position,
+    sql_types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """As :func:`table_snapshot`, with the columns that a parse of the texts would give.
+
+    The rows are at hand, so no text is parsed. As there, a row without its id fails the job.
+    """
+    changes = snapshot(convert_row(rows, sql_types, opts.zone), db, table, mark=mark)
+    key = opts.key_column
+    named = key in changes.schema["after"].dataType.names
+    text = F.col("after").getField(key).cast("string") if named else F.lit(None).cast("string")
+    return changes.select(
+        encoded_value(),
+        *[F.col(f"source.{c}").alias(c) for c in ("db", "table", "file", "pos", "row")],
+        F.col("source.ts_ms").alias("source_ts_ms"),
+        "op",
+        id_number(text, key).alias("row_id"),
+        F.lit(None).cast("decimal(38,0)").alias("before_id"),
+    )
+
+
 def progress_columns() -> list[Column]:
     """Counters for ``DataFrame.observe``: all records, each operation, schema changes."""
     ops = [F.count_if(F.col("op") == op).alias(f"op_{op}") for op in OPERATIONS]
@@ -89,7 +115,11 @@ def run_batch(wire: DataFrame, opts: Options, target: Target) -> None:
     ``available_now=True`` and a rate limit.
     """
     check_start(opts)
-    routed = deliveries(wire, opts)
+    run_routed(deliveries(wire, opts), opts, target)
+
+
+def run_routed(routed: DataFrame, opts: Options, target: Target) -> None:
+    """As :func:`run_batch`, of records that were parsed and routed already."""
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     if opts.order == "partition" and target.single_writer:
         raise ValueError("ordered delivery to a live target runs as a stream")

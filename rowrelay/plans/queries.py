@@ -17,7 +17,7 @@ from rowrelay.functions.position import Position, is_after, position_order
 from rowrelay.functions.record import decode, encode, parse
 from rowrelay.operators import capture, filters, rangediff, routing
 from rowrelay.operators.convert import convert_row
-from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records
+from rowrelay.operators.replay import apply_changes, last_changes, replay, replay_records, row_key
 from rowrelay.operators.timeline import column_lists, decode_by_timeline
 from rowrelay.options import Options
 from rowrelay.plans import orders as order_rules
@@ -786,8 +786,8 @@ def snapshot_resumed(spark: SparkSession, folder: str) -> DataFrame:
             raise ConnectionError("the database went away")
         seen = 3 + 2 * chunk.number
         append(seen, seen + 1)
-        now = replay(changes.where(F.col("stretch") <= seen)).select("after.*")
-        return now.where(chunk.holds(F.col("id")))
+        # As a database reads a range of keys: other rows' changes are left out before they are ranked.
+        return replay(changes.where((F.col("stretch") <= seen) & chunk.holds(row_key("id")))).select("after.*")
 
     append(0, 2)
     last = read_parquet(spark, folder, "orders").agg(F.max("o_orderkey")).first()[0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowrelay import Options, Position
 from rowrelay.functions.record import parse
+from rowrelay.plans import chunks, delivery
 from rowrelay.plans.chunks import Chunk, ChunkedTable, Ledger, capture_in_chunks, live, snapshot_chunks
 from rowrelay.sinks.targets import files
 from rowrelay.sources.changelog import read_files
@@ -129,3 +130,30 @@ def test_ranges(spark, tmp_path):
     for cuts in ([3, 3], [4, 1], list(range(1000))):
         with pytest.raises(ValueError, match="cuts"):
             Ledger(spark, str(tmp_path / "two")).ranges(cuts)
+
+
+def test_changes_are_parsed_once(spark, world, monkeypatch):
+    """A chunk's rows aren't parsed, and the changes between its marks and after the snapshot once each."""
+    plan = [([], [("u", 2, "w2")], False), ([], [("u", 5, "w5")], False)]
+    database, index, out, place = world(plan, START)
+    parsed = []
+    for module in (chunks, delivery):
+        monkeypatch.setattr(module, "parse", lambda *args, own=module, **options: (parsed.append(own), parse(*args, **options))[1])
+    capture_in_chunks(index, OPTS, files(out, by_partition=True), {NAME: ChunkedTable(database.read, [4])}, place)
+    assert parsed == [chunks] * 3
+    rows = [("r", i, f"v{i}", 60) for i in (1, 3)] + [("r", i, f"v{i}", 70) for i in (4, 6)]
+    assert delivered(spark, out) == sorted([*rows, ("u", 2, "w2", 70), ("u", 5, "w5", 80)])
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "decimal(18,0)", "decimal(9,2)", "double"])
+def test_snapshot_records(spark, kind):
+    """The columns are those that a parse of the texts gives."""
+    rows = spark.sql(f"SELECT CAST(v AS {kind}) AS id, v AS `a.b`, CAST(NULL AS date) AS d FROM VALUES (0), (-7), (123456) AS t(v)")
+    mark = Position(2, 30, 1)
+    got = delivery.snapshot_records(rows, OPTS, "test", "tb_a", mark).drop("value", "source_ts_ms")
+    wanted = parse(delivery.table_snapshot(rows, OPTS, "test", "tb_a", mark), position=True, before=True).select(got.columns)
+    assert got.schema.simpleString() == wanted.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    for bad in (rows.drop("id"), rows.withColumn("id", F.lit(None).cast(kind))):
+        with pytest.raises(Exception, match="without 'id'"):
+            delivery.snapshot_records(bad, OPTS, "test", "tb_a", mark).collect()
