@@ -9,17 +9,22 @@ them one after another (:mod:`rowrelay.streaming.waves`).
 
 ``range_order`` is for input of any size: a topic partition of any weight is cut
 into consecutive position ranges handled by different tasks, and output files
-follow the order of the tasks.
+follow the order of the tasks. ``write_ranges`` cuts so many that none holds much.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowrelay.functions.position import position_order
+from rowrelay.streaming.folders import file_system, new_folder
 
 GROUP = ("topic", "partition")
+#: Bytes of text in a range at most or nearly, and those for which another core is used.
+RANGE, SHARE = 64 << 20, 4 << 20
 
 
 def exclusive_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
@@ -51,6 +56,34 @@ def range_order(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     return arranged.select(*routed.columns)
 
 
+def ranges_of(size: int, cores: int) -> int:
+    """How many ranges texts of that many bytes are cut into."""
+    return max(1, -(-size // RANGE), min(cores, -(-size // SHARE)))
+
+
+def write_ranges(routed: DataFrame, write: Callable[[DataFrame], None], parallelism: int | None = None) -> None:
+    """Write the records in range order, in ``parallelism`` ranges or as many as keep each near ``RANGE``.
+
+    Spark merges ranges by their compressed size, and change records shrink to a tenth or less, so
+    a task would sort some hundred MB of texts, more as the input grows. The records are written to
+    the session's folder first: they are parsed once, although they are measured and the
+    range exchange reads its input twice.
+    """
+    if parallelism:
+        write(range_order(routed, parallelism))
+        return
+    spark = routed.sparkSession
+    path = new_folder(spark, "arrived")
+    system, there = file_system(spark, path)
+    try:
+        routed.write.parquet(path)
+        whole = spark.read.schema(routed.schema).parquet(path)
+        size = whole.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        write(range_order(whole, ranges_of(size, spark.sparkContext.defaultParallelism)))
+    finally:
+        system.delete(there, True)
+
+
 def fragments(routed: DataFrame, parallelism: int | None = None) -> DataFrame:
     """The records with the number of their range of (topic, partition, position), in ``fragment``.
 

@@ -13,7 +13,7 @@ from rowrelay.functions.record import encode, encoded_value, id_number, parse
 from rowrelay.operators.capture import since, snapshot
 from rowrelay.operators.convert import convert_row
 from rowrelay.operators.filters import include
-from rowrelay.operators.ordering import gather, narrow, range_order, spread
+from rowrelay.operators.ordering import gather, narrow, spread, write_ranges
 from rowrelay.operators.routing import route
 from rowrelay.options import Options
 from rowrelay.sinks.targets import Target
@@ -123,5 +123,8 @@ def run_routed(routed: DataFrame, opts: Options, target: Target) -> None:
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
     if opts.order == "partition" and target.single_writer:
         raise ValueError("ordered delivery to a live target runs as a stream")
-    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": range_order}[opts.order]
+    if opts.order == "partition":
+        write_ranges(routed, target.write, parallelism)
+        return
+    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather}[opts.order]
     target.write(arrange(routed, parallelism))

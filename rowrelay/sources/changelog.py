@@ -33,8 +33,9 @@ def read_delivered(spark: SparkSession, path: str) -> DataFrame:
 
     ``sequence`` counts the records of a topic partition from 0 in the order of its
     files: by the number of the task that wrote a file, which is in the file's name.
-    Records are numbered inside a part of a file that one task reads, and the records
-    of the parts before come from a small table of counts, so no task needs a whole
+    The lines of a part of a file, which one task reads, have consecutive numbers. A table
+    with a row a part, which is broadcast, tells the first of them and the records of
+    the parts before, so texts are neither shuffled nor sorted and no task needs a whole
     topic partition. One batch delivery per folder: files of two have no common order.
     """
     files = read_files(spark, path)
@@ -50,11 +51,10 @@ def read_delivered(spark: SparkSession, path: str) -> DataFrame:
     group = [F.coalesce("topic", F.lit("")), F.coalesce("partition", F.lit(-1))]
     task = F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1).cast("bigint")
     earlier = Window.partitionBy(*group).orderBy(task, *part).rowsBetween(Window.unboundedPreceding, -1)
-    counts = lines.groupBy("topic", "partition", *part).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy(*part).orderBy("_line")) - 1
-    numbered = lines.withColumn("_place", place).join(offsets, part)
-    return numbered.select("value", "topic", "partition", (F.col("_before") + F.col("_place")).alias("sequence"))
+    counts = lines.groupBy("topic", "partition", *part).agg(F.count(F.lit(1)).alias("_n"), F.min("_line").alias("_first"))
+    offsets = counts.select(*part, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = lines.join(F.broadcast(offsets), part)
+    return numbered.select("value", "topic", "partition", (F.col("_before") + F.col("_line") - F.col("_first")).alias("sequence"))
 
 
 def limit_files(reader: DataStreamReader, opts: Options) -> DataStreamReader:

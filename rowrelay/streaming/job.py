@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rowrelay import fixed
-from rowrelay.operators.ordering import exclusive_order, gather, narrow, range_order, spread
+from rowrelay.operators.ordering import exclusive_order, gather, narrow, spread, write_ranges
 from rowrelay.options import Options
 from rowrelay.plans.delivery import deliveries, progress_columns
 from rowrelay.sinks.targets import Target
@@ -57,12 +57,12 @@ def start_stream(
     place = checkpoint_location(wire.sparkSession, opts)
     counters = Counters(wire.sparkSession, counters_location(place))
     parallelism = opts.sink_parallelism if (opts.sink_parallelism or 1) > 1 else None
-    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": range_order}[opts.order]
+    arrange = {"none": narrow if opts.narrow else spread, "gathered": gather, "partition": exclusive_order}[opts.order]
+    in_ranges = opts.order == "partition" and not target.single_writer
     in_waves = opts.in_waves and target.single_writer
     if opts.order == "partition" and target.single_writer and not in_waves:
         if not opts.bounded_batches:
             raise ValueError("ordered delivery to a live target needs a max_batch_* limit or in_waves")
-        arrange = exclusive_order
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if in_waves:
@@ -71,7 +71,14 @@ def start_stream(
             return
         # Counted behind the exchange: a range exchange reads its input twice.
         seen = Observation()
-        target.write(arrange(batch, parallelism).observe(seen, *progress_columns()))
+
+        def write(arranged: DataFrame) -> None:
+            target.write(arranged.observe(seen, *progress_columns()))
+
+        if in_ranges:
+            write_ranges(batch, write, parallelism)
+        else:
+            write(arrange(batch, parallelism))
         counters.add(batch_id, seen.get)
 
     pace = {"availableNow": True} if available_now else {"processingTime": trigger}

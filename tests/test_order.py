@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from rowrelay import Options, deliveries, run_batch
 from rowrelay.functions.position import position_order
 from rowrelay.functions.record import parse
+from rowrelay.operators import ordering
 from rowrelay.operators.ordering import exclusive_order, gather, narrow, range_order, spread
 from rowrelay.plans.queries import order_projection
 from rowrelay.plans.session import cluster_conf
 from rowrelay.plans.tablelog import wire_log
 from rowrelay.sinks.targets import files, kafka
 from rowrelay.sources.changelog import read_delivered
+from rowrelay.streaming.folders import names_in, session_folder
 
 OPTS = Options(partitions=4, order="partition")
 
@@ -189,3 +191,54 @@ def test_more_writers_than_the_input_has_parts(spark, small):
     assert sorted(placed[0]) == sorted(placed[1])
     assert sorted(r.value for r in placed[0]) == sorted(r.value for r in frame.collect())
     assert spread(frame, 2).select(F.spark_partition_id()).distinct().count() == 2
+
+
+def test_ranges_are_bounded_by_their_bytes(spark, small, tmp_path, monkeypatch):
+    """However well the texts shrink, a task sorts little of them; they are parsed once and nothing stays behind."""
+    out, bound, parsed = str(tmp_path / "out"), 32 << 10, spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        parsed.add(1)
+        return text
+
+    monkeypatch.setattr(ordering, "RANGE", bound)
+    wire = wire_log(spark, small)
+    size, many = wire.agg(F.sum(F.octet_length("value")), F.count("value")).first()
+    run_batch(wire.select(counted("value").alias("value")), OPTS, files(out, by_partition=True, compression="lz4"))
+    assert parsed.value == many
+    assert not [n for n in names_in(spark, session_folder(spark)) if n.startswith("arrived")]
+    tasks = {}
+    for row in spark.read.text(out).select(F.regexp_extract(F.col("_metadata.file_path"), r"part-(\d+)", 1).alias("t"), F.octet_length("value").alias("n")).collect():
+        tasks[row.t] = tasks.get(row.t, 0) + row.n
+    assert sum(tasks.values()) == size > 16 * bound
+    assert max(tasks.values()) < 2 * bound
+
+
+def test_ranges_of_sizes():
+    assert [ordering.ranges_of(n, 8) for n in (0, 1, 5 << 20, 30 << 20, 600 << 20, 6000 << 20)] == [1, 1, 2, 8, 10, 94]
+
+
+def test_numbering_moves_no_texts(spark, small, tmp_path):
+    """Parts of several files in a task, cut files and many tasks: places without a shuffle or a sort of the texts."""
+    out = str(tmp_path / "out")
+    run_batch(wire_log(spark, small), OPTS.with_(sink_parallelism=7), files(out, by_partition=True))
+    conf = {"spark.sql.files.maxPartitionBytes": "50000", "spark.sql.files.openCostInBytes": "1000"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        numbered = read_delivered(spark, out)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "row_number" not in plan and "SortMergeJoin" not in plan
+        rows = parse(numbered, keep=["topic", "partition", "sequence"], position=True)
+        found = sorted((r.topic, r.partition, r.sequence, r.s, r.p, r.r) for r in rows.select("topic", "partition", "sequence", *[c.alias(n) for c, n in zip(position_order(""), "spr")]).collect())
+        assert numbered.rdd.getNumPartitions() > 10
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    groups = {}
+    for topic, part, sequence, *place in found:
+        groups.setdefault((topic, part), []).append((sequence, place))
+    for places in groups.values():
+        assert [s for s, _ in places] == list(range(len(places)))
+        assert [p for _, p in places] == sorted(p for _, p in places)
