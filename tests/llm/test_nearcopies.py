@@ -147,3 +147,43 @@ def test_trie_buckets_against_all_pairs(spark):
     roots = roots_of(near, 100)
     assert near and len(found) == 100
     assert all((found[i] == found[j]) == (roots[i] == roots[j]) for i in range(100) for j in range(100))
+
+
+def test_every_similar_pair_of_a_bucket_is_linked(spark, monkeypatch):
+    """Pairs that neither lead the one bucket of all texts nor stand next to each other in its orders."""
+    monkeypatch.setattr(nearcopies, "bands", lambda found: np.array([[7, *(int(x >> np.uint64(1)) for x in found[:3])]], np.int64))
+    monkeypatch.setattr(nearcopies, "trie_buckets", lambda rows: rows.limit(0).selectExpr("code", "n", "code AS bucket", "code AS order0", "code AS order1", "code AS order2"))
+    rng, texts = random.Random(6), []
+    for g in range(150):
+        own = [f"g{g}w{i}" for i in range(60)]
+        texts += [" ".join(own), " ".join(["new", *own[4:]]), " ".join([*own[:40], *(f"g{g}v{i}" for i in range(20))])]
+    rng.shuffle(texts)
+    assert len(slow_pairs(texts)) == 150
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id for r in nearcopies.deduplicated(docs).collect()}
+    roots = roots_of(slow_pairs(texts), len(texts))
+    assert left == {i for i, r in enumerate(roots) if r == i}
+
+
+def test_pairs_that_are_apart_against_all_pairs(spark):
+    """With buckets in one part and in several, whatever pairs may be similar are named, and none that is connected."""
+    rng = random.Random(8)
+    texts = []
+    for g in range(25):
+        base = [f"g{g}w{i}" for i in range(90 + 5 * (g % 3))]
+        for i in range(8):
+            texts.append(" ".join(w if rng.random() > 0.03 * i else f"e{i}" for w in base))
+    sets = [nearcopies.shingles(t.encode()) for t in texts]
+    shared = spark.createDataFrame([(b, i, s.size) for i, s in enumerate(sets) for b in {i % 3, 9}], "bucket long, code long, n long")
+    classes = spark.createDataFrame([(i, bytearray(nearcopies.sketch(s))) for i, s in enumerate(sets)], "code long, sketch binary")
+    near = [(i, j) for i in range(200) for j in range(i + 1, 200) if nearcopies.similar(sets[i], sets[j])]
+    known = {i: 0 for i in range(8)}
+    roots = spark.createDataFrame(list(known.items()), "node long, root long")
+    for part in (1000, 30):
+        found = {tuple(r) for r in nearcopies._apart(shared, classes, roots, 0.8, part).collect()}
+        assert {(i, j) for i, j in near if j >= 8} <= found
+        assert not any(j < 8 for _, j in found) and len(found) < 3 * len(near)
+    for i, j in near[::7] + [(0, 9), (3, 199), (20, 21)]:
+        only = np.setxor1d(sets[i], sets[j]).size
+        differ = np.bitwise_count(np.frombuffer(nearcopies.sketch(sets[i]), np.uint8) ^ np.frombuffer(nearcopies.sketch(sets[j]), np.uint8)).sum()
+        assert differ <= only
